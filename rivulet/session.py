@@ -16,10 +16,12 @@ from pyspark.sql import SparkSession
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def builder(master: str | None = None, app_name: str = "rivulet", shuffle_partitions: int | None = None):
+def builder(master: str | None = None, app_name: str = "rivulet", shuffle_partitions: int | None = None,
+            driver_memory: str | None = None):
     b = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -34,11 +36,14 @@ def builder(master: str | None = None, app_name: str = "rivulet", shuffle_partit
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", driver_memory)
     return b
 
 
-def get_session(master: str | None = None, app_name: str = "rivulet", shuffle_partitions: int | None = None) -> SparkSession:
-    spark = builder(master, app_name, shuffle_partitions).getOrCreate()
+def get_session(master: str | None = None, app_name: str = "rivulet", shuffle_partitions: int | None = None,
+                driver_memory: str | None = None) -> SparkSession:
+    spark = builder(master, app_name, shuffle_partitions, driver_memory).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark

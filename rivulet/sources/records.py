@@ -70,7 +70,7 @@ def _fields(sep: str) -> Column:
 def _delimited(lines: DataFrame, schema: T.StructType, sep: str, time_unit: str) -> Parsed:
     """Positional fields; every field trimmed and cast; the line must hold all of them."""
     parts = _fields(sep)
-    cols = [F.try_cast(F.trim(F.get(parts, i)), f.dataType.simpleString()).alias(f.name) if f.dataType != T.StringType()
+    cols = [F.trim(F.get(parts, i)).try_cast(f.dataType).alias(f.name) if f.dataType != T.StringType()
             else F.trim(F.get(parts, i)).alias(f.name)
             for i, f in enumerate(schema.fields)]
     typed = lines.select(F.col("value"), *cols)
