@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,29 +108,56 @@ _EPISODE_SCHEMA = T.StructType([
 ])
 
 
-def _chain_run(pdf: pd.DataFrame, w_us: int, min_fails: int) -> pd.DataFrame:
-    """Greedy episodes of one run of fails: start at the first fail, take fails <= t0+W, repeat.
+def _fold_runs(pdf: pd.DataFrame, w_us: int, min_fails: int) -> pd.DataFrame:
+    """Greedy episodes of complete runs, rows sorted by (run, time, seq).
 
-    A run's fails are sorted; episode ends come from one ``searchsorted``, so
-    the Python loop is per episode, not per row. A trailing reset at or before
-    the last episode's t0+W cancels that episode.
+    Per run: start at the first fail, take the fails <= t0+W (one
+    ``searchsorted`` gives every episode's end), repeat from the next fail. A
+    run's trailing non-fail at or before the last episode's t0+W cancels it.
+    Runs with fewer fails than ``min_fails`` are skipped without a loop.
     """
-    pdf = pdf.sort_values(["_us", "_seq"], kind="mergesort")
-    fails = pdf[pdf["_fail"]]
-    resets = pdf[~pdf["_fail"]]
-    ts = fails["_us"].to_numpy()
-    seqs = fails["_seq"].to_numpy()
-    ends = ts.searchsorted(ts + w_us, side="right")
-    reset_us = resets["_us"].min() if len(resets) else None
+    u, rus, rsq = (pdf[c].to_numpy() for c in ("_u", "_run_us", "_run_seq"))
+    us, seq, fail = pdf["_us"].to_numpy(), pdf["_seq"].to_numpy(), pdf["_fail"].to_numpy(dtype=bool)
+    n = len(pdf)
+    brk = np.ones(n, dtype=bool)
+    brk[1:] = (u[1:] != u[:-1]) | (rus[1:] != rus[:-1]) | (rsq[1:] != rsq[:-1])
+    starts = np.flatnonzero(brk)
+    stops = np.append(starts[1:], n)
+    nfails = np.add.reduceat(fail.astype(np.int64), starts)
     out = []
-    i, m = 0, len(ts)
-    while i < m:
-        j = int(ends[i])
-        cancelled = j == m and reset_us is not None and reset_us <= ts[i] + w_us
-        if j - i >= min_fails and not cancelled:
-            out.append((int(pdf["_u"].iloc[0]), int(ts[i]), int(ts[j - 1]), int(seqs[i]), j - i))
-        i = j
-    return pd.DataFrame(out, columns=_EPISODE_SCHEMA.fieldNames())
+    for a, b in zip(starts[nfails >= min_fails], stops[nfails >= min_fails]):
+        f = fail[a:b]
+        f_us, f_seq = us[a:b][f], seq[a:b][f]
+        resets = us[a:b][~f]
+        reset_us = resets.min() if len(resets) else None
+        ends = np.searchsorted(f_us, f_us + w_us, side="right")
+        i, m = 0, len(f_us)
+        while i < m:
+            j = int(ends[i])
+            cancelled = j == m and reset_us is not None and reset_us <= f_us[i] + w_us
+            if j - i >= min_fails and not cancelled:
+                out.append((int(u[a]), int(f_us[i]), int(f_us[j - 1]), int(f_seq[i]), j - i))
+            i = j
+    return pd.DataFrame(out, columns=_EPISODE_SCHEMA.fieldNames()).astype("int64")
+
+
+def _episodes_of_partition(batches, w_us: int, min_fails: int):
+    """Stream a partition sorted by run; only an unfinished run is carried to the next batch."""
+    carry: list[pd.DataFrame] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        last = pdf.iloc[-1]
+        tail = ((pdf["_u"] == last["_u"]) & (pdf["_run_us"] == last["_run_us"])
+                & (pdf["_run_seq"] == last["_run_seq"])).to_numpy()
+        head = pdf[~tail]
+        if len(head):
+            done = pd.concat(carry + [head]) if carry else head
+            carry = []
+            yield _fold_runs(done, w_us, min_fails)
+        carry.append(pdf[tail])
+    if carry:
+        yield _fold_runs(pd.concat(carry), w_us, min_fails)
 
 
 def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
@@ -148,8 +176,12 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     predecessor: inside (user, day-block) partitions by ``lag``, and for a
     block's first row from a per-(user, block) summary of last rows - a table
     of one row per block, so no partition ever holds a whole user. Each run is
-    then folded by ``applyInPandas``; a run is the unit of true sequential
+    then folded in Python; a run is the unit of true sequential
     dependency (a burst of fails with no W-long pause).
+
+    The fold is one ``mapInPandas`` pass over runs hash-partitioned by run
+    and sorted inside each partition - not one Python call per group - so
+    the Python cost is per batch of rows, and memory is one run at most.
     Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count, msg.
     """
     w_us = duration_ms(within) * 1000
@@ -190,8 +222,10 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     runs = runs.select("_u", "_us", "_seq", "_fail", F.col("_run._us").alias("_run_us"),
                        F.col("_run._seq").alias("_run_seq"))
 
-    episodes = runs.groupBy("_u", "_run_us", "_run_seq").applyInPandas(
-        lambda pdf: _chain_run(pdf, w_us, min_fails), schema=_EPISODE_SCHEMA)
+    # all rows of a run in one partition, in order; one pass folds every run
+    ordered = (runs.repartition("_u", "_run_us", "_run_seq")
+               .sortWithinPartitions("_u", "_run_us", "_run_seq", "_us", "_seq"))
+    episodes = ordered.mapInPandas(lambda it: _episodes_of_partition(it, w_us, min_fails), schema=_EPISODE_SCHEMA)
     return episodes.select(
         F.col("_u").alias(user_col),
         F.floor(F.col("first_us") / 1_000_000).alias("first_fail_time"),

@@ -67,22 +67,37 @@ def _fields(sep: str) -> Column:
     return F.split(F.col("value"), sep)
 
 
+def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str]) -> Parsed:
+    """Build each record once; keep it when every field parsed.
+
+    ``inline(filter(array(rec), all fields non-null))`` yields 0 or 1 rows
+    per line without a Filter node: a filter on parsed columns would be
+    pushed down to the scan with the parse expressions inlined, evaluating
+    them twice and before any repartitioning.
+    """
+    recs = lines.select(F.col("value"), F.struct(*[c.alias(n) for c, n in zip(fields, names)]).alias("_rec"))
+
+    def valid(r):
+        cond = F.lit(True)
+        for n in names:
+            cond = cond & r[n].isNotNull()
+        return cond
+
+    kept = F.filter(F.array(F.col("_rec")), valid)
+    rows = recs.select(F.inline(kept))
+    rejects = recs.where(F.size(kept) == 0).select("value")
+    return Parsed(rows, rejects)
+
+
 def _delimited(lines: DataFrame, schema: T.StructType, sep: str, time_unit: str) -> Parsed:
     """Positional fields; every field trimmed and cast; the line must hold all of them."""
     parts = _fields(sep)
-    cols = [F.trim(F.get(parts, i)).try_cast(f.dataType).alias(f.name) if f.dataType != T.StringType()
-            else F.trim(F.get(parts, i)).alias(f.name)
+    cols = [F.trim(F.get(parts, i)).try_cast(f.dataType) if f.dataType != T.StringType() else F.trim(F.get(parts, i))
             for i, f in enumerate(schema.fields)]
-    typed = lines.select(F.col("value"), *cols)
-    ok = F.lit(True)
-    for f in schema.fields:
-        ok = ok & F.col(f.name).isNotNull()
+    parsed = _keep_valid(lines, cols, schema.fieldNames())
     ts = F.col("ts")
     event_time = F.timestamp_seconds(ts) if time_unit == "s" else F.timestamp_millis(ts)
-    flagged = typed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    rows = flagged.where("_ok").select(*[f.name for f in schema.fields], event_time.alias("event_time"))
-    rejects = flagged.where(~F.col("_ok")).select("value")
-    return Parsed(rows, rejects)
+    return Parsed(parsed.rows.withColumn("event_time", event_time), parsed.rejects)
 
 
 def parse_user_behavior(lines: DataFrame) -> Parsed:
@@ -108,19 +123,6 @@ def parse_marketing(lines: DataFrame) -> Parsed:
 def parse_apache_log(lines: DataFrame) -> Parsed:
     """Split on single spaces; tokens 0 ip, 1 user, 3 time, 5 method, 6 url."""
     parts = _fields(" ")
-    typed = lines.select(
-        F.col("value"),
-        F.trim(F.get(parts, 0)).alias("ip"),
-        F.trim(F.get(parts, 1)).alias("user_id"),
-        parse_log_time(F.trim(F.get(parts, 3))).alias("event_time"),
-        F.trim(F.get(parts, 5)).alias("method"),
-        F.trim(F.get(parts, 6)).alias("url"),
-    )
-    ok = F.coalesce(
-        F.col("ip").isNotNull() & F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
-        & F.col("method").isNotNull() & F.col("url").isNotNull(),
-        F.lit(False),
-    )
-    flagged = typed.withColumn("_ok", ok)
-    rows = flagged.where("_ok").select(*APACHE_LOG.fieldNames())
-    return Parsed(rows, flagged.where(~F.col("_ok")).select("value"))
+    cols = [F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1)), parse_log_time(F.trim(F.get(parts, 3))),
+            F.trim(F.get(parts, 5)), F.trim(F.get(parts, 6))]
+    return _keep_valid(lines, cols, APACHE_LOG.fieldNames())

@@ -34,8 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+
+    A file with one row group is one scan task, and everything before the
+    first shuffle (parsing, window expansion, partial aggregation) would run
+    in it. Large inputs have many splits and pass through unchanged, so this
+    costs a shuffle only where the input is small.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events")
+    return spread(table(spark, sf_dir, "events"))
 
 
 def _k() -> Column:
