@@ -150,13 +150,16 @@ def _pane_stream(df, keys, time_col, size_ms, slide_ms, count_name, window_struc
 
 
 def _null_safe_on(left: str, right: str, keys: list[str], extra: list[str]) -> Column:
+    """Join condition, null-safe on every column.
+
+    Null-safe equality also keeps Catalyst from inferring ``isnotnull``
+    filters on one side only; both sides of the self-joins here then stay the
+    same plan, and their shuffle is computed once and reused.
+    """
     cond = None
-    for k in keys:
+    for k in list(keys) + list(extra):
         c = F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
         cond = c if cond is None else cond & c
-    for k in extra:
-        c = F.col(f"{left}.{k}") == F.col(f"{right}.{k}")
-        cond = c if cond is None else cond & c
     return cond
 
 
@@ -164,9 +167,9 @@ def _delta(df, keys, time_col, size_ms, slide_ms, count_name, block_slots: int =
     n = size_ms // slide_ms
     panes = _panes(df, keys, time_col, slide_ms)
     # slot s = the window ending at s * slide; pane p is inside windows p+1 .. p+n
-    plus = panes.select(*keys, (F.col("_pane") + 1).alias("_slot"), F.col("_c").alias("_d"))
-    minus = panes.select(*keys, (F.col("_pane") + 1 + n).alias("_slot"), (-F.col("_c")).alias("_d"))
-    deltas = (plus.unionByName(minus).groupBy(*keys, "_slot").agg(F.sum("_d").alias("_d"))
+    pm = F.array(F.struct((F.col("_pane") + 1).alias("s"), F.col("_c").alias("d")),
+                 F.struct((F.col("_pane") + 1 + n).alias("s"), (-F.col("_c")).alias("d")))
+    deltas = (panes.select(*keys, F.inline(pm)).groupBy(*keys, F.col("s").alias("_slot")).agg(F.sum("d").alias("_d"))
               .withColumn("_blk", F.floor(F.col("_slot") / F.lit(block_slots))))
 
     # level 1: per (key, block) totals -> offset carried into each block, and the

@@ -81,11 +81,13 @@ def q_item_average_time(spark, sf_dir):
 
 
 def q_marketing_total(spark, sf_dir):
-    return jobs.marketing_total(tables.marketing(tables.events(spark, sf_dir)))
+    res = jobs.marketing_total(tables.marketing(tables.events(spark, sf_dir)))
+    return jobs.epoch_ms(res, "window_start", "window_end")
 
 
 def q_marketing_by_channel(spark, sf_dir):
-    return jobs.marketing_by_channel(tables.marketing(tables.events(spark, sf_dir)))
+    res = jobs.marketing_by_channel(tables.marketing(tables.events(spark, sf_dir)))
+    return jobs.epoch_ms(res, "window_start", "window_end")
 
 
 def _ads(spark, sf_dir):
@@ -101,7 +103,7 @@ def q_ad_blacklist(spark, sf_dir):
 
 
 def q_ad_clicks_by_province(spark, sf_dir):
-    return _ads(spark, sf_dir).by_province
+    return jobs.epoch_ms(_ads(spark, sf_dir).by_province, "window_end")
 
 
 def q_login_fail_warnings(spark, sf_dir):

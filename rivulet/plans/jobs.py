@@ -130,16 +130,24 @@ def _marketing_rows(events: DataFrame, excluded: str, watermark) -> DataFrame:
 
 
 def _as_marketing_record(counts: DataFrame, channel, behavior) -> DataFrame:
-    return counts.select(
-        sql_timestamp_string("window_start").alias("window_start"),
-        sql_timestamp_string("window_end").alias("window_end"),
-        channel.alias("channel"), behavior.alias("behavior"), F.col("count"),
-    )
+    return counts.select("window_start", "window_end", channel.alias("channel"), behavior.alias("behavior"),
+                         F.col("count"))
+
+
+def as_printed(df: DataFrame, *cols: str) -> DataFrame:
+    """Sink-side rendering of TIMESTAMP columns as ``Timestamp.toString`` text (the reference's records)."""
+    for c in cols:
+        df = df.withColumn(c, sql_timestamp_string(c))
+    return df
 
 
 def marketing_total(events: DataFrame, size="1 hour", slide="10 seconds", excluded: str = "UNINSTALL",
                     watermark="0 seconds", method: str = "auto") -> DataFrame:
-    """All non-excluded marketing events per sliding window (MarketingViewCount rows)."""
+    """All non-excluded marketing events per sliding window.
+
+    MarketingViewCount rows with TIMESTAMP bounds; ``as_printed`` renders them
+    as the reference's text at the sink.
+    """
     rows = _marketing_rows(events, excluded, watermark)
     counts = sliding_count(rows, [], "event_time", size, slide, method=method)
     return _as_marketing_record(counts, F.lit(MARKETING_TOTAL_CHANNEL), F.lit(MARKETING_TOTAL_BEHAVIOR))
@@ -157,7 +165,7 @@ def marketing_by_channel(events: DataFrame, size="1 hour", slide="10 seconds", e
 
 @dataclass
 class AdStatistics:
-    by_province: DataFrame  # CountByProvince: window_end (Timestamp text), province, count
+    by_province: DataFrame  # CountByProvince: window_end (TIMESTAMP), province, count
     blacklist: DataFrame  # BlackListWarning: user_id, ad_id, ts, msg
     passed: DataFrame  # clicks under the cap
 
@@ -167,7 +175,7 @@ def ad_clicks_by_province(clicks: DataFrame, max_count: int = 100, size="1 hour"
     """Batch form; the streaming form is ``rivulet.streaming.jobs.ad_clicks_by_province_stream``."""
     capped = click_cap(clicks, ("user_id", "ad_id"), "event_time", "seq", max_count)
     counts = sliding_count(capped.passed, "province", "event_time", size, slide, method=method)
-    by_province = counts.select(sql_timestamp_string("window_end").alias("window_end"), "province", "count")
+    by_province = counts.select("window_end", "province", "count")
     return AdStatistics(by_province, capped.warnings, capped.passed)
 
 

@@ -17,7 +17,6 @@ DAY_US = 86_400_000_000
 LOGIN_W_US = 6 * H_US
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
-_TS_TEXT = "strftime(make_timestamp({us}), '%Y-%m-%d %H:%M:%S') || '.0'"  # whole-second window bounds
 _DATE_TEXT = "strftime(make_timestamp({us}), '%a %b %d %H:%M:%S UTC %Y')"
 _PROVINCE = "['beijing', 'guangdong', 'hebei', 'henan', 'jiangsu', 'shanghai', 'zhejiang'][user_id % 7 + 1]"
 _AD_ID = "CAST(list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) AS BIGINT)"
@@ -70,11 +69,8 @@ _HOT_URLS = _top(_URL, "url", "", 5_000_000, 12, 5, True)
 
 _MARKETING_SRC = ("SELECT ['wechat', 'weibo', 'appstore', 'huaweistore'][" + _K + " % 4 + 1] AS channel, "
                   "upper(event_type) AS behavior, epoch_us(ts) // 10000000 AS p FROM events WHERE event_type <> 'signup'")
-_MARKETING_SELECT = (
-    f"{_TS_TEXT.format(us='(slot - 360) * 10000000')} AS window_start, "
-    f"{_TS_TEXT.format(us='slot * 10000000')} AS window_end, {{channel}} AS channel, {{behavior}} AS behavior, "
-    "cnt AS \"count\""
-)
+_MARKETING_SELECT = ("(slot - 360) * 10000 AS window_start, slot * 10000 AS window_end, "
+                     "{channel} AS channel, {behavior} AS behavior, cnt AS \"count\"")
 
 _ADS_RANKED = f"""
 SELECT user_id, {_AD_ID} AS ad_id, {_PROVINCE} AS province, epoch_us(ts) // 1000000 AS ts, event_id AS seq,
@@ -167,7 +163,7 @@ SELECT user_id, ad_id, ts, 'click over {AD_CAP} times today.' AS msg FROM ({_ADS
     "ad_clicks_by_province": _sliding_text(
         f"SELECT province, us // 5000000 AS p FROM ({_ADS_RANKED}) WHERE rn <= {AD_CAP + 1}",
         ["province"], 5_000_000, 720,
-        f"{_TS_TEXT.format(us='slot * 5000000')} AS window_end, province, cnt AS \"count\""),
+        "slot * 5000 AS window_end, province, cnt AS \"count\""),
     "login_fail_warnings": _LOGIN_EPISODES,
     "login_fail_bursts": _LOGIN_BURSTS,
     "parse_access_log": f"""
