@@ -125,7 +125,7 @@ def q_parse_user_behavior(spark, sf_dir):
     b = _behavior(spark, sf_dir)
     lines = b.select(F.concat_ws(", ", *[F.col(c).cast("string") for c in
                                          ("user_id", "item_id", "category_id", "behavior", "ts")]).alias("value"))
-    return parse_user_behavior(lines).rows.drop("event_time")
+    return parse_user_behavior(lines).rows.drop("event_time", "seq")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

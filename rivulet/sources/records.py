@@ -75,7 +75,9 @@ def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str]) -> Par
     pushed down to the scan with the parse expressions inlined, evaluating
     them twice and before any repartitioning.
     """
-    recs = lines.select(F.col("value"), F.struct(*[c.alias(n) for c, n in zip(fields, names)]).alias("_rec"))
+    # seq: a content hash of the line, a deterministic tie-breaker for rows with equal event times
+    recs = lines.select(F.col("value"), F.struct(*[c.alias(n) for c, n in zip(fields, names)],
+                                                 F.xxhash64("value").alias("seq")).alias("_rec"))
 
     def valid(r):
         cond = F.lit(True)
