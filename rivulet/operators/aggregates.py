@@ -96,17 +96,18 @@ def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, val
     t = _col(time_col)
     base = df.select(*keys, slot_index(t, size_ms).alias("_win"), F.unix_micros(t).alias("_us"),
                      F.col(seq_col).alias("_seq"), _col(value_col).alias("_v"))
-    firsts = (base.groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
-              .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"),
-                      F.lit(1).alias("_w"), F.lit(0).alias("_kind")))
-    rows = base.select(*keys, "_win", "_us", "_seq", F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
     sub_us = sub_ms * 1000
-    both = firsts.unionByName(rows).withColumn("_sub", ((F.col("_us") - F.pmod("_us", F.lit(sub_us))) / sub_us).cast("long"))
-
-    subs = both.groupBy(*keys, "_win", "_sub").agg(F.sum("_w").alias("_sw"))
+    sub_of = lambda c: ((F.col(c) - F.pmod(c, F.lit(sub_us))) / sub_us).cast("long")
+    firsts = (base.groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
+              .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"))
+              .withColumn("_sub", sub_of("_us")))
+    # sub-window offsets count first sightings only, so they come from `firsts` (its shuffle is reused)
+    subs = firsts.groupBy(*keys, "_win", "_sub").agg(F.count(F.lit(1)).alias("_sw"))
     ws = Window.partitionBy(*keys, "_win").orderBy("_sub")
     subs = subs.select(*keys, "_win", "_sub",
                        F.coalesce(F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    rows = base.select(*keys, "_win", "_us", "_seq", sub_of("_us").alias("_sub"), F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
+    both = firsts.select(*keys, "_win", "_us", "_seq", "_sub", F.lit(1).alias("_w"), F.lit(0).alias("_kind")).unionByName(rows)
     a, b = both.alias("a"), subs.alias("b")
     joined = a.join(b, _null_safe_on("a", "b", keys, ["_win", "_sub"])).select(
         *[F.col(f"a.{k}").alias(k) for k in keys], "a._win", "a._sub", "a._us", "a._seq", "a._w", "a._kind", "b._off")
