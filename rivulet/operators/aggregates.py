@@ -101,11 +101,23 @@ def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, val
     firsts = (base.groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
               .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"))
               .withColumn("_sub", sub_of("_us")))
-    # sub-window offsets count first sightings only, so they come from `firsts` (its shuffle is reused)
-    subs = firsts.groupBy(*keys, "_win", "_sub").agg(F.count(F.lit(1)).alias("_sw"))
+    # Sub-window offsets count first sightings only, so they come from `firsts` (its shuffle is
+    # reused). A sub-window holding a first sighting covers the following ones up to the next such
+    # sub-window (or the window end): rows may fall where no value is new. The earliest row of a
+    # window is always a first sighting, so nothing precedes the first covered sub-window.
+    per = size_ms // sub_ms
+    counts = firsts.groupBy(*keys, "_win", "_sub").agg(F.count(F.lit(1)).alias("_sw"))
     ws = Window.partitionBy(*keys, "_win").orderBy("_sub")
-    subs = subs.select(*keys, "_win", "_sub",
-                       F.coalesce(F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    covered = counts.select(
+        *keys, "_win", "_sub",
+        F.coalesce(F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_excl"),
+        F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, 0)).alias("_incl"),
+        F.coalesce(F.lead("_sub").over(ws), (F.col("_win") + 1) * per).alias("_nxt"),
+    )
+    subs = covered.select(*keys, "_win", "_sub", "_excl", "_incl",
+                          F.explode(F.sequence("_sub", F.col("_nxt") - 1)).alias("_s")).select(
+        *keys, "_win", F.col("_s").alias("_sub"),
+        F.when(F.col("_s") == F.col("_sub"), F.col("_excl")).otherwise(F.col("_incl")).alias("_off"))
     rows = base.select(*keys, "_win", "_us", "_seq", sub_of("_us").alias("_sub"), F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
     both = firsts.select(*keys, "_win", "_us", "_seq", "_sub", F.lit(1).alias("_w"), F.lit(0).alias("_kind")).unionByName(rows)
     a, b = both.alias("a"), subs.alias("b")
