@@ -46,3 +46,16 @@ def read_kafka(
     if group_id:
         reader = reader.option("kafka.group.id", group_id)
     return reader.load().selectExpr("CAST(value AS STRING) AS value")
+
+
+def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str) -> None:
+    """K2: replay lines (a ``value`` string column) into a topic, as a batch write.
+
+    Needs the spark-sql-kafka connector; without it this raises rather than
+    silently doing nothing. (The reference configured a deserializer on its
+    producer; the connector serializes ``value`` itself.)
+    """
+    if not kafka_available(df.sparkSession):
+        raise RuntimeError("the spark-sql-kafka connector is not on the classpath")
+    (df.selectExpr("CAST(value AS STRING) AS value").write.format("kafka")
+     .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
