@@ -28,8 +28,12 @@ LOGIN_WITHIN = "6 hours"  # a 2 s window finds no bursts at ~14 rows/hour
 LOGIN_MAX_FAILS = 2
 
 
-def _behavior(spark, sf_dir):
-    return tables.user_behavior(tables.events(spark, sf_dir))
+def _behavior(spark, sf_dir, only=None):
+    return tables.user_behavior(tables.events(spark, sf_dir), only)
+
+
+def _pv(spark, sf_dir):
+    return _behavior(spark, sf_dir, only=("pv",))
 
 
 def _logs(spark, sf_dir):
@@ -37,31 +41,31 @@ def _logs(spark, sf_dir):
 
 
 def q_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.epoch_ms(jobs.page_views(_behavior(spark, sf_dir)), "window_start", "window_end")
+    return jobs.epoch_ms(jobs.page_views(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_unique_visitors(spark, sf_dir):
-    return jobs.epoch_ms(jobs.unique_visitors(_behavior(spark, sf_dir)), "window_start", "window_end")
+    return jobs.epoch_ms(jobs.unique_visitors(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_unique_visitors_bitmap(spark, sf_dir):
-    return jobs.epoch_ms(jobs.unique_visitors_bitmap(_behavior(spark, sf_dir)), "window_start", "window_end")
+    return jobs.epoch_ms(jobs.unique_visitors_bitmap(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_unique_visitors_running(spark, sf_dir):
-    return jobs.epoch_ms(jobs.unique_visitors_running(_behavior(spark, sf_dir)), "window_start", "window_end")
+    return jobs.epoch_ms(jobs.unique_visitors_running(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_unique_visitors_sketch(spark, sf_dir):
-    return jobs.epoch_ms(jobs.unique_visitors_sketch(_behavior(spark, sf_dir)), "window_start", "window_end")
+    return jobs.epoch_ms(jobs.unique_visitors_sketch(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_hot_items(spark, sf_dir):
-    return jobs.epoch_ms(jobs.hot_items(_behavior(spark, sf_dir)), "window_end")
+    return jobs.epoch_ms(jobs.hot_items(_pv(spark, sf_dir)), "window_end")
 
 
 def q_hot_items_report(spark, sf_dir):
-    return jobs.epoch_ms(jobs.item_report(jobs.hot_items(_behavior(spark, sf_dir))), "window_end")
+    return jobs.epoch_ms(jobs.item_report(jobs.hot_items(_pv(spark, sf_dir))), "window_end")
 
 
 def q_hot_urls(spark, sf_dir):
@@ -74,19 +78,23 @@ def q_hot_urls_report(spark, sf_dir):
 
 def q_item_average_time(spark, sf_dir):
     """A4 (defined, unused in the reference): integer-division mean of event seconds per item and day."""
-    pv = _behavior(spark, sf_dir).where(F.col("behavior") == "pv")
+    pv = _pv(spark, sf_dir).where(F.col("behavior") == "pv")
     res = tumbling_aggregate(pv, "item_id", "event_time", "1 day", integer_average("ts").alias("avg_ts"),
                              count_name=None)
     return res.select(to_epoch_millis("window_end").alias("window_end"), "item_id", "avg_ts")
 
 
+def _marketing(spark, sf_dir):
+    return tables.marketing(tables.events(spark, sf_dir), exclude=(tables.EXCLUDED_MARKETING_BEHAVIOR,))
+
+
 def q_marketing_total(spark, sf_dir):
-    res = jobs.marketing_total(tables.marketing(tables.events(spark, sf_dir)))
+    res = jobs.marketing_total(_marketing(spark, sf_dir))
     return jobs.epoch_ms(res, "window_start", "window_end")
 
 
 def q_marketing_by_channel(spark, sf_dir):
-    res = jobs.marketing_by_channel(tables.marketing(tables.events(spark, sf_dir)))
+    res = jobs.marketing_by_channel(_marketing(spark, sf_dir))
     return jobs.epoch_ms(res, "window_start", "window_end")
 
 

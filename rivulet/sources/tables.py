@@ -60,8 +60,17 @@ def _t() -> Column:
     return F.col("ts").cast("timestamp")
 
 
-def user_behavior(ev: DataFrame) -> DataFrame:
-    """UserBehavior: item = props.k, category = k div 10, 'view' plays 'pv'."""
+def user_behavior(ev: DataFrame, only=None) -> DataFrame:
+    """UserBehavior: item = props.k, category = k div 10, 'view' plays 'pv'.
+
+    ``only``: the behaviours the caller keeps. Catalyst cannot invert the
+    CASE mapping, so the raw event types that can map to them are filtered
+    here, where the predicate reaches the parquet scan (``PushedFilters``).
+    The job's own filter still decides; this only drops rows it would drop.
+    """
+    if only is not None:
+        raw = {("view" if b == "pv" else b) for b in only} | set(only)
+        ev = ev.where(F.col("event_type").isin(*sorted(raw)))
     return ev.select(
         F.col("user_id"),
         _k().alias("item_id"),
@@ -94,8 +103,14 @@ def apache_log_lines(ev: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
-def marketing(ev: DataFrame) -> DataFrame:
-    """MarketingUserBehavior: 'signup' plays UNINSTALL, channel by k mod 4."""
+def marketing(ev: DataFrame, exclude=None) -> DataFrame:
+    """MarketingUserBehavior: 'signup' plays UNINSTALL, channel by k mod 4.
+
+    ``exclude``: behaviours the caller drops; for UNINSTALL the raw 'signup'
+    rows are dropped at the scan (see ``user_behavior``).
+    """
+    if exclude is not None and EXCLUDED_MARKETING_BEHAVIOR in exclude:
+        ev = ev.where(F.col("event_type") != "signup")
     channels = F.array(*[F.lit(c) for c in CHANNELS])
     return ev.select(
         F.col("user_id").cast("string").alias("user_id"),
