@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rivulet.plans.catalog import QUERIES  # noqa: E402
-from rivulet.session import get_session  # noqa: E402
+from rivulet.session import get_session, size_shuffle_partitions  # noqa: E402
 
 HEADLINE = [
     "unique_visitors", "page_views", "unique_visitors_bitmap", "unique_visitors_running", "hot_items", "hot_urls",
@@ -27,7 +27,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in sys.argv[1:] if q in QUERIES] or HEADLINE
-    spark = get_session(f"local[{cpus}]", "rivulet-bench", shuffle_partitions=2 * cpus, driver_memory="16g")
+    spark = get_session(f"local[{cpus}]", "rivulet-bench", driver_memory="16g")
+    size_shuffle_partitions(spark, os.path.join(sf_dir, "events.parquet"))
     times = {}
     for name in only:
         df = QUERIES[name](spark, sf_dir)

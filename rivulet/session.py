@@ -69,3 +69,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of a named streaming query under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20,
+                            max_partitions: int = 200_000) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input bytes (one partition per ``target_bytes``).
+
+    At 100 TB the default 200 partitions would be ~500 GB each and spill;
+    this gives ~400k at 256 MB, capped, and never fewer than the task slots.
+    AQE then coalesces partitions that turn out small (filters, partial
+    aggregation), so the number is an upper bound, not a fixed cost.
+    """
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API for sizes
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hconf).getContentSummary(path).getLength()
+    n = max(spark.sparkContext.defaultParallelism, min(max_partitions, -(-total // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
