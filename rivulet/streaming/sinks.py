@@ -71,3 +71,26 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", ma
     """A directory as a stream of files (each file a micro-batch with ``max_files_per_trigger=1``)."""
     return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger))
             .load(path))
+
+
+def top_n_per_batch(counts: DataFrame, name: str, path: str, key_col: str, n: int, count_col: str = "count",
+                    checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Streaming top-N without list state.
+
+    ``counts`` is a windowed count in append mode (``window_start``,
+    ``window_end``, key, count). The watermark is global, so every key of a
+    window is emitted in the same micro-batch; ranking each micro-batch as a
+    batch DataFrame (``WindowGroupLimit``) is therefore exact. Each batch is
+    written to ``path/batch_id=N`` with overwrite, so replays are idempotent.
+    """
+    from rivulet.operators.topn import top_n
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ranked = top_n(batch, "window_end", key_col, count_col, n).select("window_end", "rank", key_col, count_col)
+        ranked.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+
+    w = (counts.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+         .option("checkpointLocation", checkpoint or stream_checkpoint(counts.sparkSession, name)))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.plans import jobs
 from rivulet.sources import parse_ad_clicks, parse_logins, tables
 from rivulet.streaming.jobs import click_cap_stream, login_fail_warnings_stream
-from rivulet.streaming.sinks import read_latest, start, upsert_latest
+from rivulet.streaming.sinks import read_latest, start, top_n_per_batch, upsert_latest
 
 
 def _text_stream(spark, scratch, lines, per_file, sentinel):
@@ -108,3 +108,18 @@ def test_upsert_latest_keeps_last_value(spark, scratch):
     cutoff = exp.agg(F.max("window_end")).first()[0]
     latest = read_latest(spark, path, "window_end").where(F.col("window_end") <= cutoff)
     assert sorted((r.window_end, r.uv) for r in latest.collect()) == sorted((r.window_end, r.uv) for r in exp.collect())
+
+
+def test_top_n_per_batch_sink_equals_batch(spark, scratch):
+    from rivulet.operators.windows import sliding_count
+
+    stream, _ = _behavior_stream(spark, scratch)
+    batch = tables.user_behavior(tables.events(spark, SF001))
+    pv = stream.where("behavior = 'pv'").withWatermark("event_time", "0 seconds")
+    counts = sliding_count(pv, "item_id", "event_time", "1 hour", "5 minutes", method="direct")
+    path = os.path.join(scratch, "top")
+    q = top_n_per_batch(counts, "t_topbatch", path, "item_id", 3, checkpoint=os.path.join(scratch, "ckpt", "top"))
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(path).drop("batch_id").where("item_id <> -1")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, jobs.hot_items(batch).collect()))
