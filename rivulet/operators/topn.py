@@ -8,8 +8,9 @@ reference keeps arrival order for ties).
 
 Streaming refuses ranking windows. Counts arrive once per (window, key) in
 append mode; a second aggregation keeps the N best of each hash bucket of
-keys, a third merges the buckets. Both lists are bounded by N x buckets, and
-the buckets spread a large window over many tasks. For very many keys per
+keys, a third merges the buckets (N x buckets entries). The first list holds
+the keys of one bucket of one window until the window closes; the buckets
+spread a large window over many tasks. For very many keys per
 window, ``rivulet.streaming.sinks.top_n_per_batch`` ranks each micro-batch
 of final counts as a batch instead and keeps no list state at all.
 """

@@ -1,4 +1,3 @@
-from collections import Counter
 
 from conftest import SF01, fixture_path
 from pyspark.sql import functions as F
