@@ -108,61 +108,187 @@ _EPISODE_SCHEMA = T.StructType([
 ])
 
 
-def _fold_runs(pdf: pd.DataFrame, w_us: int, min_fails: int) -> pd.DataFrame:
-    """Greedy episodes of complete runs, rows sorted by (run, time, seq).
+_RUN = ["_u", "_run_us", "_run_seq"]
+_RUN_BLOCK = _RUN + ["_rblk"]
 
-    Per run: start at the first fail, take the fails <= t0+W (one
-    ``searchsorted`` gives every episode's end), repeat from the next fail. A
-    run's trailing non-fail at or before the last episode's t0+W cancels it.
-    Runs with fewer fails than ``min_fails`` are skipped without a loop.
-    """
-    u, rus, rsq = (pdf[c].to_numpy() for c in ("_u", "_run_us", "_run_seq"))
-    us, seq, fail = pdf["_us"].to_numpy(), pdf["_seq"].to_numpy(), pdf["_fail"].to_numpy(dtype=bool)
-    n = len(pdf)
-    brk = np.ones(n, dtype=bool)
-    brk[1:] = (u[1:] != u[:-1]) | (rus[1:] != rus[:-1]) | (rsq[1:] != rsq[:-1])
-    starts = np.flatnonzero(brk)
-    stops = np.append(starts[1:], n)
-    nfails = np.add.reduceat(fail.astype(np.int64), starts)
-    out = []
-    for a, b in zip(starts[nfails >= min_fails], stops[nfails >= min_fails]):
-        f = fail[a:b]
-        f_us, f_seq = us[a:b][f], seq[a:b][f]
-        resets = us[a:b][~f]
-        reset_us = resets.min() if len(resets) else None
-        ends = np.searchsorted(f_us, f_us + w_us, side="right")
-        i, m = 0, len(f_us)
-        while i < m:
-            j = int(ends[i])
-            cancelled = j == m and reset_us is not None and reset_us <= f_us[i] + w_us
-            if j - i >= min_fails and not cancelled:
-                out.append((int(u[a]), int(f_us[i]), int(f_us[j - 1]), int(f_seq[i]), j - i))
-            i = j
-    return pd.DataFrame(out, columns=_EPISODE_SCHEMA.fieldNames()).astype("int64")
-
-
-def _episodes_of_partition(batches, w_us: int, min_fails: int):
-    """Stream a partition sorted by run; only an unfinished run is carried to the next batch."""
+_EXITS_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in
+                              _RUN_BLOCK + ["cand_us", "cand_seq", "exit_us", "exit_seq"]])
+_ENTRY_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in _RUN_BLOCK + ["entry_us", "entry_seq"]])
+
+
+def _complete_groups(batches, keys: list[str]):
+    """Sorted Arrow batches -> frames of complete groups; only an unfinished group is carried over."""
     carry: list[pd.DataFrame] = []
     for pdf in batches:
         if pdf.empty:
             continue
         last = pdf.iloc[-1]
-        tail = ((pdf["_u"] == last["_u"]) & (pdf["_run_us"] == last["_run_us"])
-                & (pdf["_run_seq"] == last["_run_seq"])).to_numpy()
+        tail = np.ones(len(pdf), dtype=bool)
+        for k in keys:
+            tail &= (pdf[k] == last[k]).to_numpy()
         head = pdf[~tail]
         if len(head):
-            done = pd.concat(carry + [head]) if carry else head
+            yield pd.concat(carry + [head]) if carry else head
             carry = []
-            yield _fold_runs(done, w_us, min_fails)
         carry.append(pdf[tail])
     if carry:
-        yield _fold_runs(pd.concat(carry), w_us, min_fails)
+        yield pd.concat(carry)
+
+
+def _groups(pdf: pd.DataFrame, keys: list[str]):
+    """Group index per row and group start/end offsets of a frame sorted by ``keys``."""
+    n = len(pdf)
+    brk = np.zeros(n, dtype=bool)
+    brk[0] = True
+    for k in keys:
+        v = pdf[k].to_numpy()
+        brk[1:] |= v[1:] != v[:-1]
+    gid = np.cumsum(brk) - 1
+    starts = np.flatnonzero(brk)
+    return gid, starts, np.append(starts[1:], n)
+
+
+def _successors(us: np.ndarray, gid: np.ndarray, starts: np.ndarray, w_us: int, span: int) -> np.ndarray:
+    """Per row, the first row of its own group later than t + W (group end if none), for all groups at once.
+
+    Times are rebased per group and groups laid ``span`` apart (span > a
+    group's time range + W), so one ``searchsorted`` never crosses a group.
+    """
+    key = (us - us[starts][gid]) + gid * span
+    return np.searchsorted(key, key + w_us, side="right")
+
+
+def _nullable(values: np.ndarray, valid: np.ndarray) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(values.astype("int64"), ~valid)
+
+
+def _block_exits(batches, w_us: int, b_us: int):
+    """Pass 1, per (run, block): from every possible entry fail, where the greedy chain leaves the block.
+
+    Rows are the block's fails plus a halo of the next block's first 2W,
+    sorted by time (home rows first). The entry of block 0 is the run's first
+    fail; that of block b > 0 lies in its first 2W. All candidate chains of
+    all groups in a batch are walked together.
+    """
+    span = b_us + 3 * w_us + 1
+    for pdf in _complete_groups(batches, _RUN_BLOCK):
+        gid, gs, ge = _groups(pdf, _RUN_BLOCK)
+        us, seq = pdf["_us"].to_numpy(), pdf["_seq"].to_numpy()
+        halo = pdf["_halo"].to_numpy(dtype=bool)
+        run_us, blk = pdf["_run_us"].to_numpy(), pdf["_rblk"].to_numpy()
+        home_end = gs + np.add.reduceat((~halo).astype(np.int64), gs)
+        succ = _successors(us, gid, gs, w_us, span)
+        idx = np.arange(len(pdf))
+        cand = ~halo & np.where(blk == 0, idx == gs[gid], us <= run_us + blk * b_us + 2 * w_us)
+        cands = np.flatnonzero(cand)
+        pos, he = cands.copy(), home_end[gid[cands]]
+        active = pos < he
+        while active.any():
+            pos[active] = succ[pos[active]]
+            active = pos < he
+        has_exit = pos < ge[gid[cands]]
+        safe = np.where(has_exit, pos, 0)
+        out = pdf.iloc[cands][_RUN_BLOCK].reset_index(drop=True)
+        out["cand_us"], out["cand_seq"] = us[cands], seq[cands]
+        out["exit_us"] = _nullable(us[safe], has_exit)
+        out["exit_seq"] = _nullable(seq[safe], has_exit)
+        yield out
+
+
+def _block_entries(batches):
+    """Per run, follow entry -> exit from block 0 over the candidate table (not the run's rows)."""
+    for pdf in _complete_groups(batches, _RUN):
+        gid, gs, ge = _groups(pdf, _RUN)
+        blk = pdf["_rblk"].to_numpy()
+        multi = np.maximum.reduceat(blk, gs) > 0
+        # single-block runs: the one candidate of block 0 is the entry
+        single_rows = np.flatnonzero(~multi[gid])
+        out = [pdf.iloc[single_rows][_RUN_BLOCK + ["cand_us", "cand_seq"]].rename(
+            columns={"cand_us": "entry_us", "cand_seq": "entry_seq"})]
+        rows = []
+        for g in np.flatnonzero(multi):
+            sub = pdf.iloc[gs[g]:ge[g]]
+            head = [int(sub[c].iloc[0]) for c in _RUN]
+            exits = dict(zip(zip(sub["_rblk"].tolist(), sub["cand_us"].tolist(), sub["cand_seq"].tolist()),
+                             zip(sub["exit_us"].tolist(), sub["exit_seq"].tolist())))
+            first = sub[sub["_rblk"] == 0].iloc[0]
+            b, e = 0, (int(first["cand_us"]), int(first["cand_seq"]))
+            while True:
+                rows.append(head + [b, e[0], e[1]])
+                nxt = exits.get((b, e[0], e[1]))
+                if nxt is None or pd.isna(nxt[0]):
+                    break
+                b, e = b + 1, (int(nxt[0]), int(nxt[1]))
+        out.append(pd.DataFrame(rows, columns=_ENTRY_SCHEMA.fieldNames()))
+        yield pd.concat(out, ignore_index=True).astype("int64")
+
+
+def _block_episodes(batches, w_us: int, min_fails: int, b_us: int):
+    """Pass 2, per (run, block): walk the chain from the block's entry and emit its episodes.
+
+    An episode counts the fails in [t0, t0+W] (the halo holds those past the
+    block end). The run's last episode is cancelled by the run's trailing
+    non-fail at or before t0+W. All groups of a batch are walked together.
+    """
+    span = b_us + 3 * w_us + 1
+    for pdf in _complete_groups(batches, _RUN_BLOCK):
+        gid, gs, ge = _groups(pdf, _RUN_BLOCK)
+        us, seq = pdf["_us"].to_numpy(), pdf["_seq"].to_numpy()
+        halo = pdf["_halo"].to_numpy(dtype=bool)
+        home_end = gs + np.add.reduceat((~halo).astype(np.int64), gs)
+        succ = _successors(us, gid, gs, w_us, span)
+        is_entry = (us == pdf["entry_us"].to_numpy()) & (seq == pdf["entry_seq"].to_numpy())
+        pos = np.flatnonzero(is_entry)  # one per group, in group order
+        grp = gid[pos]
+        starts = []
+        active = pos < home_end[grp]
+        while active.any():
+            starts.append(pos[active])
+            pos[active] = succ[pos[active]]
+            active = pos < home_end[grp]
+        s_idx = np.concatenate(starts) if starts else np.array([], dtype=np.int64)
+        q = succ[s_idx]
+        n = q - s_idx
+        reset = pdf["_reset_us"].to_numpy(dtype="float64")[s_idx]  # NaN: the run has no trailing non-fail
+        cancelled = (q == ge[gid[s_idx]]) & ~np.isnan(reset) & (reset <= us[s_idx] + w_us)
+        keep = (n >= min_fails) & ~cancelled
+        s_idx, q, n = s_idx[keep], q[keep], n[keep]
+        yield pd.DataFrame({"_u": pdf["_u"].to_numpy()[s_idx], "first_us": us[s_idx], "last_us": us[q - 1],
+                            "first_seq": seq[s_idx], "fail_count": n}).astype("int64")
+
+
+def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int) -> DataFrame:
+    """Greedy episodes of every run, with no run gathered into one task.
+
+    Consecutive episode starts are more than W apart and a run has no gap
+    over W, so the first start inside a block of length B > 2W lies in the
+    block's first 2W. Pass 1 finds, per (run, block), the exit of the chain
+    from each such candidate; a per-run walk over that candidate table (about
+    2W/B of the run's rows) fixes each block's entry; pass 2 re-walks every
+    block from its entry. Rows are split by (run, block) throughout.
+    """
+    fails = runs.where("_fail").select(*_RUN, "_us", "_seq")
+    resets = runs.where(~F.col("_fail")).groupBy(*_RUN).agg(F.min("_us").alias("_reset_us"))
+    off = F.col("_us") - F.col("_run_us")
+    home = F.floor(off / F.lit(b_us))
+    in_head = (home >= 1) & (off - home * b_us <= 2 * w_us)  # also the previous block's halo
+    copies = fails.select("*", home.alias("_home"), F.explode(F.sequence(
+        home - F.when(in_head, 1).otherwise(0), home)).alias("_rblk"))
+    copies = copies.select(*_RUN, "_rblk", "_us", "_seq", (F.col("_rblk") != F.col("_home")).alias("_halo"))
+
+    def by_block(df):
+        return df.repartition(*_RUN_BLOCK).sortWithinPartitions(*_RUN_BLOCK, "_us", "_seq")
+
+    exits = by_block(copies).mapInPandas(lambda it: _block_exits(it, w_us, b_us), schema=_EXITS_SCHEMA)
+    entries = (exits.repartition(*_RUN).sortWithinPartitions(*_RUN, "_rblk")
+               .mapInPandas(_block_entries, schema=_ENTRY_SCHEMA))
+    walked = copies.join(entries, _RUN_BLOCK).join(resets, _RUN, "left")
+    return by_block(walked).mapInPandas(lambda it: _block_episodes(it, w_us, min_fails, b_us), schema=_EPISODE_SCHEMA)
 
 
 def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
                         type_col: str = "event_type", fail_value: str = "fail", within="2 seconds",
-                        min_fails: int = 2, block="1 day") -> DataFrame:
+                        min_fails: int = 2, block="1 day", run_block=None) -> DataFrame:
     """T4: the reference's timer rule in event time, deterministic.
 
     An episode opens at a fail t0 when none is open, holds the fails with
@@ -175,13 +301,14 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     the one non-fail that may end them). Finding runs needs each row's
     predecessor: inside (user, day-block) partitions by ``lag``, and for a
     block's first row from a per-(user, block) summary of last rows - a table
-    of one row per block, so no partition ever holds a whole user. Each run is
-    then folded in Python; a run is the unit of true sequential
-    dependency (a burst of fails with no W-long pause).
-
-    The fold is one ``mapInPandas`` pass over runs hash-partitioned by run
-    and sorted inside each partition - not one Python call per group - so
-    the Python cost is per batch of rows, and memory is one run at most.
+    of one row per block, so no partition ever holds a whole user.
+
+    Each run is then folded by ``_fold_runs_by_blocks``: a run (a burst of
+    fails with no W-long pause, possibly huge) is cut into blocks of
+    ``run_block`` (default max(4W, 1 hour)), and only a table of candidate
+    entries per block - not the run's rows - is followed in order. The Python
+    passes are ``mapInPandas`` over hash-partitioned, sorted data, so the
+    Python cost is per batch of rows, not per group.
     Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count, msg.
     """
     w_us = duration_ms(within) * 1000
@@ -222,10 +349,10 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     runs = runs.select("_u", "_us", "_seq", "_fail", F.col("_run._us").alias("_run_us"),
                        F.col("_run._seq").alias("_run_seq"))
 
-    # all rows of a run in one partition, in order; one pass folds every run
-    ordered = (runs.repartition("_u", "_run_us", "_run_seq")
-               .sortWithinPartitions("_u", "_run_us", "_run_seq", "_us", "_seq"))
-    episodes = ordered.mapInPandas(lambda it: _episodes_of_partition(it, w_us, min_fails), schema=_EPISODE_SCHEMA)
+    rb_us = (duration_ms(run_block) * 1000) if run_block is not None else max(4 * w_us, 3_600_000_000)
+    if rb_us <= 2 * w_us:
+        raise ValueError("run_block must be longer than twice `within`")
+    episodes = _fold_runs_by_blocks(runs, w_us, min_fails, rb_us)
     return episodes.select(
         F.col("_u").alias(user_col),
         F.floor(F.col("first_us") / 1_000_000).alias("first_fail_time"),

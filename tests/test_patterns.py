@@ -99,3 +99,47 @@ def test_login_bursts_blocks_do_not_change_result(spark):
     for block in ("6 hours", "13 hours", "3 days"):
         assert sorted(tuple(r) for r in login_fail_bursts(logins, within="6 hours", block=block).collect()) == base
     assert len(base) == 158
+
+
+def _synthetic_logins(spark, rows):
+    """rows: (user, seconds as float, type, seq) -> LoginEvent-shaped frame."""
+    import pandas as pd
+
+    pdf = pd.DataFrame(rows, columns=["user_id", "t", "event_type", "seq"])
+    pdf["event_time"] = pd.to_datetime((pdf["t"] * 1e6).round().astype("int64"), unit="us")
+    return spark.createDataFrame(pdf[["user_id", "event_type", "event_time", "seq"]])
+
+
+def _check_against_fold(spark, rows, within_s, n_min, run_block):
+    df = _synthetic_logins(spark, rows)
+    plain = df.select("user_id", "event_type", "seq", F.unix_micros("event_time").alias("us")).collect()
+    expected = _python_episodes(plain, int(within_s * 1e6), n_min)
+    got = sorted((r.user_id, r.first_fail_time, r.last_fail_time, r.first_seq, r.fail_count) for r in
+                 login_fail_episodes(df, within=f"{int(within_s * 1000)} milliseconds", min_fails=n_min,
+                                     block="1 hour", run_block=run_block).collect())
+    assert got == [(u, t0 // 10**6, tl // 10**6, s0, n) for u, t0, tl, s0, n in expected]
+    return got
+
+
+def test_long_runs_split_into_blocks_periodic(spark):
+    """Fails every 1.5 s with W = 2 s: one run for minutes, chains from different entries never merge."""
+    rows = [(1, 1000 + 1.5 * i, "fail", i) for i in range(400)]
+    rows += [(1, 1000 + 1.5 * 400 + 0.5, "success", 400)]  # trailing success cancels the last episode
+    rows += [(2, 5000 + 0.7 * i, "fail", 1000 + i) for i in range(300)]
+    got = _check_against_fold(spark, rows, 2, 2, "5 seconds")
+    assert len(got) > 200
+
+
+def test_long_runs_split_into_blocks_random(spark):
+    import random
+
+    for seed in range(3):
+        rnd = random.Random(seed)
+        rows, t, seq = [], 0.0, 0
+        for _ in range(1500):
+            t += rnd.choice([0.0, 0.2, 0.9, 1.3, 2.0, 2.0, 3.5])  # ties, exact-W gaps, breaks
+            kind = "success" if rnd.random() < 0.03 else "fail"
+            rows.append((rnd.choice([7, 8]), 10_000 + t, kind, seq))
+            seq += 1
+        _check_against_fold(spark, rows, 2, 2, "4100 milliseconds")
+        _check_against_fold(spark, rows, 2, 3, "1 minute")
