@@ -22,6 +22,7 @@ from rivulet.functions.timefmt import duration_ms
 from rivulet.operators.windows import _col, _key_cols, _null_safe_on
 
 DAY_MS = 86_400_000
+HOUR_MS = 3_600_000
 
 
 @dataclass
@@ -65,14 +66,14 @@ def login_fail_bursts(df: DataFrame, user_col: str = "user_id", time_col: str =
     ``count(fail) OVER (user, seg ORDER BY t RANGE BETWEEN CURRENT ROW AND W FOLLOWING)``.
 
     A user's rows are not one partition: time is cut into blocks (default
-    max(W, 1 day)) and each block also receives the rows of the first W after
+    max(W, 1 hour)) and each block also receives the rows of the first W after
     its end (a halo), which is all a frame starting in the block can reach.
     Partitions are (user, block), so a user holding a third of all rows is
     spread over its blocks.
     Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count.
     """
     w_us = duration_ms(within) * 1000
-    b_us = (duration_ms(block) if block is not None else max(duration_ms(within), DAY_MS)) * 1000
+    b_us = (duration_ms(block) if block is not None else max(duration_ms(within), HOUR_MS)) * 1000
     us = F.unix_micros(_col(time_col))
     base = df.select(F.col(user_col).alias("_u"), us.alias("_us"), F.col(seq_col).alias("_seq"),
                      _is_fail(type_col, fail_value).alias("_fail"))
@@ -288,7 +289,7 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
 
 def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
                         type_col: str = "event_type", fail_value: str = "fail", within="2 seconds",
-                        min_fails: int = 2, block="1 day", run_block=None) -> DataFrame:
+                        min_fails: int = 2, block="1 hour", run_block=None) -> DataFrame:
     """T4: the reference's timer rule in event time, deterministic.
 
     An episode opens at a fail t0 when none is open, holds the fails with
@@ -299,7 +300,7 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     after the previous row, so the input splits into independent *runs* (a
     fail after such a break, the fails that follow within W of each other, and
     the one non-fail that may end them). Finding runs needs each row's
-    predecessor: inside (user, day-block) partitions by ``lag``, and for a
+    predecessor: inside (user, hour-block) partitions by ``lag``, and for a
     block's first row from a per-(user, block) summary of last rows - a table
     of one row per block, so no partition ever holds a whole user.
 
