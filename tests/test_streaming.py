@@ -151,3 +151,52 @@ def test_marketing_pane_chain_stream_equal_batch(spark, scratch):
     exp = jobs.marketing_by_channel(batch, size="10 minutes", slide="10 seconds")
     assert got.count() == exp.count() > 0
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_ads_job_stream_equal_batch(spark, scratch):
+    """Keyed stateful cap, then a windowed count on its output, in one streaming query."""
+    from rivulet.streaming.jobs import ad_clicks_by_province_stream
+
+    lines = open(fixture_path("ad_clicks.csv")).read().splitlines()
+    raw = _text_stream(spark, scratch, lines, 50, "1,1,zz,zz,1511800000")
+    res = ad_clicks_by_province_stream(parse_ad_clicks(raw).rows, max_count=100, size="1 minute", slide="5 seconds")
+    got = _run(res.by_province, scratch, "t_ads_prov").where("province <> 'zz'")
+    batch = jobs.ad_clicks_by_province(parse_ad_clicks(spark.read.text(fixture_path("ad_clicks.csv"))).rows,
+                                       max_count=100, size="1 minute", slide="5 seconds")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.by_province.collect()))
+
+
+def test_hot_urls_stream_allowed_lateness(spark, scratch):
+    """The watermark trails by 1 s out-of-orderness + 60 s lateness; later rows are dropped."""
+    import datetime as dt
+
+    from rivulet.sources import parse_apache_log
+
+    def line(t, url):
+        stamp = dt.datetime.fromtimestamp(t, dt.timezone.utc).strftime("%d/%m/%Y:%H:%M:%S")
+        return f"10.0.0.1 u - {stamp} +0000 GET {url}"
+
+    src = os.path.join(scratch, "logs")
+    os.makedirs(src)
+    batches = [
+        [line(1_000_000 + i, "/a") for i in range(5)] + [line(1_000_005, "/b")],
+        [line(1_000_100, "/a")],  # watermark -> 1_000_100 - 61 s = 1_000_039
+        # Spark filters late rows by the previous batch's watermark: one more batch before it applies
+        [line(1_000_100, "/a")],
+        [line(1_000_050, "/b"), line(1_000_000, "/c")],  # 50 s late; 100 s late
+        [line(1_100_000, "/z")],  # sentinel
+    ]
+    for n, rows in enumerate(batches):
+        f = os.path.join(src, f"b{n}.txt")
+        with open(f, "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        os.utime(f, (1_600_000_000 + n, 1_600_000_000 + n))
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src)
+    out = _run(jobs.hot_urls(parse_apache_log(raw).rows), scratch, "t_urls")
+    at = lambda sec: dt.datetime(1970, 1, 1) + dt.timedelta(seconds=sec)
+    # like a windowed operator with allowed lateness: the 100 s late row is dropped from the windows the
+    # watermark (1_000_039) already closed, and still counted in the open ones (ends 1_000_040 .. 1_000_060)
+    assert sorted(r.window_end for r in out.where("url = '/c'").collect()) == [at(1_000_040 + 5 * i) for i in range(5)]
+    end = at(1_000_060)
+    b_counts = {r.window_end: r["count"] for r in out.where("url = '/b'").collect()}
+    assert b_counts[end] == 2  # the window [1_000_000, 1_000_060) holds /b at +5 s and the late /b at +50 s
