@@ -283,7 +283,12 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
     exits = by_block(copies).mapInPandas(lambda it: _block_exits(it, w_us, b_us), schema=_EXITS_SCHEMA)
     entries = (exits.repartition(*_RUN).sortWithinPartitions(*_RUN, "_rblk")
                .mapInPandas(_block_entries, schema=_ENTRY_SCHEMA))
-    walked = copies.join(entries, _RUN_BLOCK).join(resets, _RUN, "left")
+    # null-safe joins infer no isnotnull filters, so this branch keeps the same plan as pass 1's and
+    # shares its scan and shuffles
+    c, e = copies.alias("c"), entries.alias("e")
+    walked = c.join(e, _null_safe_on("c", "e", _RUN_BLOCK, [])).select("c.*", "e.entry_us", "e.entry_seq")
+    w, r = walked.alias("w"), resets.alias("r")
+    walked = w.join(r, _null_safe_on("w", "r", _RUN, []), "left").select("w.*", "r._reset_us")
     return by_block(walked).mapInPandas(lambda it: _block_episodes(it, w_us, min_fails, b_us), schema=_EPISODE_SCHEMA)
 
 
@@ -316,7 +321,9 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     b_us = duration_ms(block) * 1000
     base = df.select(F.col(user_col).alias("_u"), F.unix_micros(_col(time_col)).alias("_us"),
                      F.col(seq_col).alias("_seq"), _is_fail(type_col, fail_value).alias("_fail"))
-    base = base.withColumn("_blk", F.floor(F.col("_us") / F.lit(b_us)))
+    # hashed by (user, block) once: the window below needs exactly this, and every branch that
+    # reads `base` then shares the exchange (one scan, ReusedExchange) instead of re-reading the input
+    base = base.withColumn("_blk", F.floor(F.col("_us") / F.lit(b_us))).repartition("_u", "_blk")
     row = F.struct("_us", "_seq", "_fail")
 
     # last row of each (user, block), and the last row of the previous non-empty block
@@ -341,7 +348,9 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     in_block = members.withColumn("_run", F.last(start_key, ignorenulls=True).over(
         wi.rowsBetween(Window.unboundedPreceding, 0)))
     block_last_start = (members.where("_start").groupBy("_u", "_blk").agg(F.max(F.struct("_us", "_seq")).alias("_ls")))
-    fill = (members.select("_u", "_blk").distinct().join(block_last_start, ["_u", "_blk"], "left")
+    m, ls = members.select("_u", "_blk").distinct().alias("m"), block_last_start.alias("ls")
+    fill = (m.join(ls, _null_safe_on("m", "ls", ["_u"], ["_blk"]), "left")
+            .select("m._u", "m._blk", "ls._ls")
             .select("_u", "_blk", F.last("_ls", ignorenulls=True).over(
                 wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_run")))
     c, d = in_block.alias("c"), fill.alias("d")

@@ -53,3 +53,10 @@ def test_no_unchecked_broadcast(spark):
     for name, q in catalog.QUERIES.items():
         logical = q(spark, SF001)._jdf.queryExecution().analyzed().toString()
         assert "broadcast" not in logical.lower(), name
+
+
+def test_login_episodes_scan_once(spark):
+    """Every branch of the run/block pipeline shares one scan through reused shuffles."""
+    plan = _plan(catalog.q_login_fail_warnings(spark, SF001), final=True)
+    assert plan.count("FileScan parquet") == 1
+    assert "ReusedExchange" in plan
