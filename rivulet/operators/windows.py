@@ -6,8 +6,9 @@ reference. Results carry ``window_start`` / ``window_end`` TIMESTAMP columns.
 Sliding windows have three plans, picked by ``method``:
 
 ``direct``  ``F.window(t, size, slide)``. Catalyst expands each row into
-            size/slide windows before the partial aggregate. Good for small
-            ratios (the 12x windows of hot items / hot URLs); works on streams.
+            size/slide windows before the partial aggregate, which collapses
+            them before the shuffle. Best for small ratios (the 12x windows of
+            hot items / hot URLs: one shuffle); works on streams.
 
 ``pane``    count per slide-wide pane first (partial + final aggregate, so a
             hot key collapses map-side), then spread each pane over the
@@ -84,8 +85,8 @@ def sliding_count(df: DataFrame, keys, time_col: str, size, slide, method: str =
     if method == "auto":
         if df.isStreaming:
             method = "direct" if ratio <= DIRECT_MAX_RATIO else "pane"
-        else:
-            method = "direct" if ratio <= 1 else "delta"
+        else:  # measured at sf0.1: direct ~2x faster at 12x, delta ~4.5x faster than pane at 360x
+            method = "direct" if ratio <= DIRECT_MAX_RATIO else "delta"
     if window_struct and method not in ("direct", "pane"):
         raise ValueError("window_struct needs the 'direct' or 'pane' method")
     if method == "direct":
