@@ -200,3 +200,31 @@ def test_hot_urls_stream_allowed_lateness(spark, scratch):
     end = at(1_000_060)
     b_counts = {r.window_end: r["count"] for r in out.where("url = '/b'").collect()}
     assert b_counts[end] == 2  # the window [1_000_000, 1_000_060) holds /b at +5 s and the late /b at +50 s
+
+
+def test_login_stream_equal_batch_on_events(spark, scratch):
+    """Event-time timers across micro-batches give the batch episodes (input in time order)."""
+    import pandas as pd
+
+    from rivulet.operators.patterns import login_fail_episodes
+
+    lg = tables.logins(tables.events(spark, SF001)).select("user_id", "event_type", "event_time", "seq")
+    pdf = lg.toPandas().sort_values(["event_time", "seq"])
+    sentinel = pd.DataFrame({"user_id": [-1], "event_type": ["success"],
+                             "event_time": [pdf["event_time"].max() + pd.Timedelta(days=30)], "seq": [-1]})
+    src = os.path.join(scratch, "lg")
+    os.makedirs(src)
+    parts = [pdf.iloc[: len(pdf) // 3], pdf.iloc[len(pdf) // 3: 2 * len(pdf) // 3], pdf.iloc[2 * len(pdf) // 3:], sentinel]
+    for n, p in enumerate(parts):
+        f = os.path.join(src, f"p{n}.parquet")
+        spark.createDataFrame(p, schema=lg.schema).coalesce(1).write.parquet(f)
+        for root, _, files in os.walk(f):
+            for x in files:
+                os.utime(os.path.join(root, x), (1_600_000_000 + n, 1_600_000_000 + n))
+    stream = (spark.readStream.schema(lg.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    got = _run(login_fail_warnings_stream(stream, within="6 hours"), scratch, "t_lg_ev")
+    exp = login_fail_episodes(lg, within="6 hours")
+    cols = ["user_id", "first_fail_time", "last_fail_time", "first_seq", "fail_count", "msg"]
+    assert exp.count() > 0
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
