@@ -3,7 +3,10 @@
 ``h = fold(chars, 0, (h, c) -> h * seed + code(c))`` masked to ``bits`` bits.
 Each step is reduced modulo 2^bits: the result equals the 64-bit wrapping form
 followed by the mask (2^bits divides 2^64), and ANSI mode never overflows.
-It is a built-in higher-order expression, evaluated in the JVM.
+It is a built-in higher-order expression, evaluated in the JVM. Characters
+are taken by code point, which equals Java's UTF-16 ``charAt`` for every
+character in the Basic Multilingual Plane (ids are digits in the reference);
+a supplementary character (e.g. an emoji) would hash differently.
 """
 
 from __future__ import annotations

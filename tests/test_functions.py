@@ -46,3 +46,12 @@ def test_durations():
     assert duration_ms(dt.timedelta(minutes=5)) == 300_000
     with pytest.raises(ValueError):
         duration_ms("5 fortnights")
+
+
+def test_poly_hash_non_ascii_bmp(spark):
+    """Inside the BMP a character's code point is its UTF-16 unit, so the hash equals Java's."""
+    word = "用户é7"
+    r = 0
+    for ch in word:
+        r = (r * 61 + ord(ch)) & 0xFFFFFFFFFFFFFFFF
+    assert spark.range(1).select(poly_hash(F.lit(word))).first()[0] == r & ((1 << 29) - 1)

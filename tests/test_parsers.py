@@ -35,3 +35,13 @@ def test_apache_log(spark):
     assert len(rows) == 1 and rows[0].url == "/presentations/logstash" and rows[0].method == "GET"
     assert str(rows[0].event_time) == "2015-05-17 10:05:03"
     assert p.rejects.count() == 2
+
+
+def test_marketing_lines_use_epoch_millis(spark):
+    from rivulet.sources import parse_marketing
+
+    p = parse_marketing(_lines(spark, ["u-1, CLICK, wechat, 1511658000123", "u-2,INSTALL,weibo,notatime"]))
+    rows = p.rows.collect()
+    assert [(r.user_id, r.behavior, r.channel, r.ts) for r in rows] == [("u-1", "CLICK", "wechat", 1511658000123)]
+    assert str(rows[0].event_time) == "2017-11-26 01:00:00.123000"
+    assert p.rejects.count() == 1
