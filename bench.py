@@ -1,12 +1,14 @@
 """Bench: run the headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query runs to completion into Spark's ``noop`` sink (full execution,
-nothing collected), once to warm up and then timed. Prints one JSON line.
+nothing collected): once to warm up, then three timed runs, of which the
+median is reported. Prints one JSON line.
 """
 
 from __future__ import annotations
 
 import json
+import statistics
 import os
 import sys
 import time
@@ -33,9 +35,12 @@ def main() -> None:
     for name in only:
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()  # warm-up: JIT, Python workers, file listing
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(3):
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))
