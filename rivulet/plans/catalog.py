@@ -52,6 +52,10 @@ def q_unique_visitors_bitmap(spark, sf_dir):
     return jobs.epoch_ms(jobs.unique_visitors_bitmap(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
+def q_unique_visitors_bitmap_shards(spark, sf_dir):
+    return jobs.epoch_ms(jobs.unique_visitors_bitmap_shards(_pv(spark, sf_dir)), "window_start", "window_end")
+
+
 def q_unique_visitors_running(spark, sf_dir):
     return jobs.epoch_ms(jobs.unique_visitors_running(_pv(spark, sf_dir)), "window_start", "window_end")
 
@@ -140,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_views": q_page_views,
     "unique_visitors": q_unique_visitors,
     "unique_visitors_bitmap": q_unique_visitors_bitmap,
+    "unique_visitors_bitmap_shards": q_unique_visitors_bitmap_shards,
     "unique_visitors_running": q_unique_visitors_running,
     "unique_visitors_sketch": q_unique_visitors_sketch,
     "hot_items": q_hot_items,

@@ -20,6 +20,7 @@ from rivulet.functions.reports import HOT_ITEMS_STYLE, HOT_URLS_STYLE, ranked_re
 from rivulet.functions.timefmt import duration_str, sql_timestamp_string, to_epoch_millis
 from rivulet.operators.aggregates import (
     bitmap_distinct_count,
+    bitmap_shard_counts,
     bitmap_offset,
     distinct_count,
     running_distinct,
@@ -110,6 +111,16 @@ def unique_visitors_bitmap(behavior: DataFrame, size="1 hour", watermark="0 seco
     return bitmap_distinct_count(pv, [], "event_time", size, "user_id", "uv")
 
 
+def unique_visitors_bitmap_shards(behavior: DataFrame, size="1 hour", watermark="0 seconds") -> DataFrame:
+    """Per window and bitmap shard, the distinct offsets so far; on streams use update mode + ``upsert_latest``.
+
+    ``streaming.sinks.read_latest_sum`` turns the upserted shards back into
+    one exact count per window (the reference's Redis hash ``count``).
+    """
+    pv = _watermarked(_pv(behavior), watermark).withColumn("_offset", bitmap_offset("user_id"))
+    return bitmap_shard_counts(pv, [], "event_time", size, "_offset", "uv")
+
+
 def unique_visitors_running(behavior: DataFrame, size="1 hour") -> DataFrame:
     """Per page view, the bitmap count after it (the reference fires per element): seq, window_start, window_end, uv."""
     pv = _pv(behavior).withColumn("_offset", bitmap_offset("user_id"))

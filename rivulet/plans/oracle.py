@@ -133,6 +133,11 @@ ORACLE_SQL: dict[str, str] = {
     "page_views": _tumbling("count(*)", "pv"),
     "unique_visitors": _tumbling("count(DISTINCT v)", "uv"),
     "unique_visitors_bitmap": _tumbling("count(DISTINCT v)", "uv", value=poly_hash_sql("user_id")),
+    "unique_visitors_bitmap_shards": f"""
+SELECT w * {H_US // 1000} AS window_start, (w + 1) * {H_US // 1000} AS window_end,
+  CASE WHEN off = 0 THEN 0 ELSE (off - 1) // 32768 + 1 END AS shard, count(DISTINCT off) AS uv
+FROM (SELECT epoch_us(ts) // {H_US} AS w, {poly_hash_sql("user_id")} AS off FROM events WHERE event_type = 'view')
+GROUP BY w, shard""",
     "unique_visitors_running": f"""
 WITH pv AS (SELECT event_id AS seq, epoch_us(ts) AS us, epoch_us(ts) // {H_US} AS w,
               {poly_hash_sql("user_id")} AS off FROM events WHERE event_type = 'view'),

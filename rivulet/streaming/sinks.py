@@ -67,6 +67,13 @@ def read_latest(spark: SparkSession, path: str, key_cols) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 
 
+def read_latest_sum(spark: SparkSession, path: str, group_cols, shard_col: str, value_col: str) -> DataFrame:
+    """Upserted per-shard values summed per group (e.g. bitmap shards -> one count per window)."""
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    latest = read_latest(spark, path, groups + [shard_col])
+    return latest.groupBy(*groups).agg(F.sum(value_col).alias(value_col))
+
+
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
     """A directory as a stream of files (each file a micro-batch with ``max_files_per_trigger=1``)."""
     return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger))

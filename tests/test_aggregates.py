@@ -51,3 +51,10 @@ def test_sketch_rollup_daily(spark):
     j = daily.join(exact, daily.window_start == F.col("w.start"))
     assert j.count() == exact.count()
     assert j.where(F.abs(daily.uv - exact.uv) > 3).count() == 0
+
+
+def test_bitmap_shards_sum_to_bitmap_count(spark):
+    b = tables.user_behavior(tables.events(spark, SF01))
+    shards = jobs.unique_visitors_bitmap_shards(b).groupBy("window_end").agg(F.sum("uv").alias("uv"))
+    total = jobs.unique_visitors_bitmap(b).select("window_end", "uv")
+    assert sorted(map(tuple, shards.collect())) == sorted(map(tuple, total.collect()))

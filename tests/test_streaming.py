@@ -228,3 +228,20 @@ def test_login_stream_equal_batch_on_events(spark, scratch):
     cols = ["user_id", "first_fail_time", "last_fail_time", "first_seq", "fail_count", "msg"]
     assert exp.count() > 0
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+
+
+def test_bitmap_shards_update_mode_equal_batch(spark, scratch):
+    """W10/A6 on a stream: update-mode bitmap shards, upserted, summed per window = batch bitmap count."""
+    from rivulet.streaming.sinks import read_latest_sum
+
+    stream, _ = _behavior_stream(spark, scratch)
+    batch = tables.user_behavior(tables.events(spark, SF001))
+    path = os.path.join(scratch, "shards")
+    q = upsert_latest(jobs.unique_visitors_bitmap_shards(stream), "t_shards", path, ["window_end", "shard"], "uv",
+                      checkpoint=os.path.join(scratch, "ckpt", "shards"))
+    q.processAllAvailable()
+    q.stop()
+    exp = jobs.unique_visitors_bitmap(batch)
+    cutoff = exp.agg(F.max("window_end")).first()[0]
+    got = read_latest_sum(spark, path, "window_end", "shard", "uv").where(F.col("window_end") <= cutoff)
+    assert sorted(map(tuple, got.collect())) == sorted((r.window_end, r.uv) for r in exp.collect())
