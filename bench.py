@@ -19,7 +19,8 @@ from rivulet.plans.catalog import QUERIES  # noqa: E402
 from rivulet.session import get_session, size_shuffle_partitions  # noqa: E402
 
 HEADLINE = [
-    "unique_visitors", "page_views", "unique_visitors_bitmap", "unique_visitors_running", "hot_items", "hot_urls",
+    "unique_visitors", "page_views", "unique_visitors_bitmap", "unique_visitors_bitmap_shards", "unique_visitors_running",
+    "hot_items", "hot_urls",
     "marketing_total", "marketing_by_channel", "ad_clicks_by_province", "ad_blacklist", "login_fail_warnings",
     "login_fail_bursts",
 ]
