@@ -42,10 +42,12 @@ def spread(df: DataFrame) -> DataFrame:
     in it. Large inputs have many splits and pass through unchanged, so this
     costs a shuffle only where the input is small.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
