@@ -18,12 +18,16 @@ from rivulet.session import stream_checkpoint
 
 def start(df: DataFrame, name: str, fmt: str = "console", output_mode: str = "append", path: str | None = None,
           available_now: bool = False, processing_time: str | None = None, checkpoint: str | None = None,
-          **options) -> StreamingQuery:
+          prefix: str | None = None, **options) -> StreamingQuery:
     """K1 and friends: console, memory (tests), parquet, ...
 
-    The checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``: a
-    query restarted under the same name resumes where it stopped.
+    ``prefix`` labels every row (a leading ``sink`` column), like the
+    reference's ``print("pv count")``. The checkpoint defaults to
+    ``<spark.checkpoint.dir>/streams/<name>``: a query restarted under the
+    same name resumes where it stopped.
     """
+    if prefix is not None:
+        df = df.select(F.lit(prefix).alias("sink"), "*")
     w = (df.writeStream.queryName(name).format(fmt).outputMode(output_mode)
          .option("checkpointLocation", checkpoint or stream_checkpoint(df.sparkSession, name)))
     for k, v in options.items():

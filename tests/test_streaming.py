@@ -26,8 +26,8 @@ def _text_stream(spark, scratch, lines, per_file, sentinel):
     return spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src)
 
 
-def _run(df, scratch, name, mode="append"):
-    q = start(df, name, fmt="memory", output_mode=mode, checkpoint=os.path.join(scratch, "ckpt", name))
+def _run(df, scratch, name, mode="append", prefix=None):
+    q = start(df, name, fmt="memory", output_mode=mode, checkpoint=os.path.join(scratch, "ckpt", name), prefix=prefix)
     q.processAllAvailable()
     q.stop()
     return df.sparkSession.table(name)
@@ -36,7 +36,8 @@ def _run(df, scratch, name, mode="append"):
 def test_login_warnings_stream(spark, scratch):
     lines = open(fixture_path("logins.csv")).read().splitlines()
     raw = _text_stream(spark, scratch, lines, 20, "9999,1.1.1.1,success,1558500000")
-    out = _run(login_fail_warnings_stream(parse_logins(raw).rows), scratch, "t_login")
+    out = _run(login_fail_warnings_stream(parse_logins(raw).rows), scratch, "t_login", prefix="LoginFail")
+    assert {r.sink for r in out.collect()} == {"LoginFail"}
     got = [tuple(r) for r in out.select("user_id", "first_fail_time", "last_fail_time", "msg").collect()]
     assert got == [(1035, 1558430842, 1558430844, "login fail in 2 second for 3 times.")]
 
