@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.functions.timefmt import duration_ms, duration_str
 from rivulet.operators.windows import sliding_count
@@ -51,3 +52,56 @@ def login_fail_warnings_stream(logins: DataFrame, max_fails: int = 2, within="2
     return src.groupBy("user_id").transformWithStateInPandas(
         LoginFailProcessor(max_fails, duration_ms(within)), LOGIN_OUTPUT, "append", "EventTime",
         eventTimeColumnName="event_time")
+
+
+@dataclass
+class AdPipeline:
+    cap: StreamingQuery  # clicks -> tagged rows (pass / warn), parquet, exactly-once
+    by_province: StreamingQuery  # tagged 'pass' rows -> sliding counts, parquet
+    tagged_path: str
+    by_province_path: str
+
+    def blacklist(self, spark) -> DataFrame:
+        return spark.read.parquet(self.tagged_path).where(F.col("kind") == "warn").select("user_id", "ad_id", "ts", "msg")
+
+
+def start_ad_pipeline(clicks: DataFrame, root: str, max_count: int = 100, size="1 hour", slide="5 seconds",
+                      watermark="0 seconds", checkpoint_root: str | None = None,
+                      available_now: bool = False) -> AdPipeline:
+    """The ads job with the keyed cap computed once for both outputs.
+
+    Query 1 runs the stateful cap and appends its tagged rows to a parquet
+    table (the file sink is exactly-once through its checkpoint and log).
+    Query 2 streams that table into the sliding count by province; the
+    blacklist is the table's 'warn' rows. Two independent queries on the
+    clicks would each keep their own copy of the cap state.
+    """
+    import os
+
+    from pyspark.sql.types import StructType
+
+    from rivulet.session import checkpoint_dir
+
+    spark = clicks.sparkSession
+    ck = checkpoint_root or os.path.join(checkpoint_dir(spark), "streams", "ads")
+    tagged_path, prov_path = os.path.join(root, "tagged"), os.path.join(root, "by_province")
+
+    def run(w):
+        return (w.trigger(availableNow=True) if available_now else w).start()
+
+    # the second query may start before the first writes: create the table folder on the
+    # (shared) file system first, through Hadoop's API so any scheme works
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    hpath = jvm.org.apache.hadoop.fs.Path(tagged_path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)  # noqa: SLF001
+
+    cap = run(click_cap_stream(clicks, max_count, watermark).writeStream.format("parquet")
+              .option("path", tagged_path).option("checkpointLocation", os.path.join(ck, "cap")).outputMode("append"))
+    tagged = (spark.readStream.schema(StructType.fromDDL(CAP_OUTPUT)).parquet(tagged_path)
+              .withWatermark("event_time", duration_str(watermark)))
+    ratio = duration_ms(size) // duration_ms(slide)
+    counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size, slide,
+                           method="direct" if ratio <= 12 else "pane").select("window_end", "province", "count")
+    by_prov = run(counts.writeStream.format("parquet").option("path", prov_path)
+                  .option("checkpointLocation", os.path.join(ck, "by_province")).outputMode("append"))
+    return AdPipeline(cap, by_prov, tagged_path, prov_path)

@@ -246,3 +246,22 @@ def test_bitmap_shards_update_mode_equal_batch(spark, scratch):
     cutoff = exp.agg(F.max("window_end")).first()[0]
     got = read_latest_sum(spark, path, "window_end", "shard", "uv").where(F.col("window_end") <= cutoff)
     assert sorted(map(tuple, got.collect())) == sorted((r.window_end, r.uv) for r in exp.collect())
+
+
+def test_ad_pipeline_runs_the_cap_once(spark, scratch):
+    from rivulet.streaming.jobs import start_ad_pipeline
+
+    lines = open(fixture_path("ad_clicks.csv")).read().splitlines()
+    raw = _text_stream(spark, scratch, lines, 50, "1,1,zz,zz,1511800000")
+    p = start_ad_pipeline(parse_ad_clicks(raw).rows, os.path.join(scratch, "ads"), max_count=100,
+                          size="1 minute", slide="5 seconds", checkpoint_root=os.path.join(scratch, "ckpt", "ads"))
+    p.cap.processAllAvailable()
+    p.by_province.processAllAvailable()
+    p.cap.stop()
+    p.by_province.stop()
+    warn = [tuple(r) for r in p.blacklist(spark).collect()]
+    assert warn == [(937166, 1715, 1511661702, "click over 100 times today.")]
+    got = spark.read.parquet(p.by_province_path).where("province <> 'zz'")
+    batch = jobs.ad_clicks_by_province(parse_ad_clicks(spark.read.text(fixture_path("ad_clicks.csv"))).rows,
+                                       max_count=100, size="1 minute", slide="5 seconds")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.by_province.collect()))
