@@ -41,8 +41,9 @@ def distinct_count(df: DataFrame, keys, time_col: str, size, value_col, name: st
     if not df.isStreaming:
         return tumbling_aggregate(df, keys, time_col, size, F.count_distinct(value).alias(name), count_name=None)
     size_str = f"{duration_ms(size)} milliseconds"
-    per_value = df.groupBy(F.window(_col(time_col), size_str).alias("window"), *keys, value.alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n"))
+    # nulls are not values (as in count_distinct)
+    per_value = df.where(value.isNotNull()).groupBy(
+        F.window(_col(time_col), size_str).alias("window"), *keys, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     # re-window on the first window's event time: the same window, now without the value
     return (per_value.groupBy(F.window(F.window_time("window"), size_str).alias("window"), *keys)
             .agg(F.count(F.lit(1)).alias(name))
@@ -98,13 +99,14 @@ def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, val
                      F.col(seq_col).alias("_seq"), _col(value_col).alias("_v"))
     sub_us = sub_ms * 1000
     sub_of = lambda c: ((F.col(c) - F.pmod(c, F.lit(sub_us))) / sub_us).cast("long")
-    firsts = (base.groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
+    firsts = (base.where(F.col("_v").isNotNull())  # nulls are not values (as in count_distinct)
+              .groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
               .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"))
               .withColumn("_sub", sub_of("_us")))
     # Sub-window offsets count first sightings only, so they come from `firsts` (its shuffle is
     # reused). A sub-window holding a first sighting covers the following ones up to the next such
-    # sub-window (or the window end): rows may fall where no value is new. The earliest row of a
-    # window is always a first sighting, so nothing precedes the first covered sub-window.
+    # sub-window (or the window end): rows may fall where no value is new. Only rows with null values
+    # can precede a window's first sighting; they join no offset and get 0.
     per = size_ms // sub_ms
     counts = firsts.groupBy(*keys, "_win", "_sub").agg(F.count(F.lit(1)).alias("_sw"))
     ws = Window.partitionBy(*keys, "_win").orderBy("_sub")
@@ -121,8 +123,10 @@ def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, val
     rows = base.select(*keys, "_win", "_us", "_seq", sub_of("_us").alias("_sub"), F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
     both = firsts.select(*keys, "_win", "_us", "_seq", "_sub", F.lit(1).alias("_w"), F.lit(0).alias("_kind")).unionByName(rows)
     a, b = both.alias("a"), subs.alias("b")
-    joined = a.join(b, _null_safe_on("a", "b", keys, ["_win", "_sub"])).select(
-        *[F.col(f"a.{k}").alias(k) for k in keys], "a._win", "a._sub", "a._us", "a._seq", "a._w", "a._kind", "b._off")
+    # rows before a window's first sighting (null values) have no covered sub-window: offset 0
+    joined = a.join(b, _null_safe_on("a", "b", keys, ["_win", "_sub"]), "left").select(
+        *[F.col(f"a.{k}").alias(k) for k in keys], "a._win", "a._sub", "a._us", "a._seq", "a._w", "a._kind",
+        F.coalesce(F.col("b._off"), F.lit(0)).alias("_off"))
     wi = Window.partitionBy(*keys, "_win", "_sub").orderBy("_us", "_seq", "_kind")
     running = joined.withColumn("_run", F.col("_off") + F.sum("_w").over(wi.rowsBetween(Window.unboundedPreceding, 0)))
     return running.where(F.col("_kind") == 1).select(

@@ -58,3 +58,16 @@ def test_bitmap_shards_sum_to_bitmap_count(spark):
     shards = jobs.unique_visitors_bitmap_shards(b).groupBy("window_end").agg(F.sum("uv").alias("uv"))
     total = jobs.unique_visitors_bitmap(b).select("window_end", "uv")
     assert sorted(map(tuple, shards.collect())) == sorted(map(tuple, total.collect()))
+
+
+def test_nulls_are_not_distinct_values(spark):
+    import datetime as dt
+
+    from rivulet.operators.aggregates import distinct_count, running_distinct
+
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    rows = [(t0 + dt.timedelta(minutes=i), i, v) for i, v in enumerate([None, 1, None, 1, 2])]
+    df = spark.createDataFrame(rows, "t timestamp, seq long, v long")
+    assert [r.uv for r in distinct_count(df, [], "t", "1 hour", "v").collect()] == [2]
+    run = sorted((r.seq, r.uv) for r in running_distinct(df, [], "t", "seq", "1 hour", "v").collect())
+    assert run == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 2)]
