@@ -70,13 +70,14 @@ def login_fail_bursts(df: DataFrame, user_col: str = "user_id", time_col: str =
     its end (a halo), which is all a frame starting in the block can reach.
     Partitions are (user, block), so a user holding a third of all rows is
     spread over its blocks.
-    Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count.
+    Rows without a user or a time take no part. Output: user, first_fail_time,
+    last_fail_time (epoch s), first_seq, fail_count.
     """
     w_us = duration_ms(within) * 1000
     b_us = (duration_ms(block) if block is not None else max(duration_ms(within), HOUR_MS)) * 1000
     us = F.unix_micros(_col(time_col))
     base = df.select(F.col(user_col).alias("_u"), us.alias("_us"), F.col(seq_col).alias("_seq"),
-                     _is_fail(type_col, fail_value).alias("_fail"))
+                     _is_fail(type_col, fail_value).alias("_fail")).where("_u IS NOT NULL AND _us IS NOT NULL")
     home = F.floor(F.col("_us") / F.lit(b_us))
     first_halo = F.ceil((F.col("_us") - F.lit(w_us)) / F.lit(b_us)) - 1
     # home block plus every block whose halo [end, end + W] holds the row
@@ -315,12 +316,14 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     entries per block - not the run's rows - is followed in order. The Python
     passes are ``mapInPandas`` over hash-partitioned, sorted data, so the
     Python cost is per batch of rows, not per group.
+    Rows without a user or a time take no part.
     Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count, msg.
     """
     w_us = duration_ms(within) * 1000
     b_us = duration_ms(block) * 1000
     base = df.select(F.col(user_col).alias("_u"), F.unix_micros(_col(time_col)).alias("_us"),
-                     F.col(seq_col).alias("_seq"), _is_fail(type_col, fail_value).alias("_fail"))
+                     F.col(seq_col).alias("_seq"), _is_fail(type_col, fail_value).alias("_fail")
+                     ).where("_u IS NOT NULL AND _us IS NOT NULL")
     # hashed by (user, block) once: the window below needs exactly this, and every branch that
     # reads `base` then shares the exchange (one scan, ReusedExchange) instead of re-reading the input
     base = base.withColumn("_blk", F.floor(F.col("_us") / F.lit(b_us))).repartition("_u", "_blk")
