@@ -37,9 +37,7 @@ def ad_clicks_by_province_stream(clicks: DataFrame, max_count: int = 100, size="
                                  watermark="0 seconds") -> AdStatisticsStream:
     """The ads job on a stream. Each output is its own streaming query (own sink, own checkpoint)."""
     tagged = click_cap_stream(clicks, max_count, watermark)
-    ratio = duration_ms(size) // duration_ms(slide)
-    counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size, slide,
-                           method="direct" if ratio <= 12 else "pane")
+    counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size, slide)
     by_province = counts.select("window_end", "province", "count")
     blacklist = tagged.where(F.col("kind") == "warn").select("user_id", "ad_id", "ts", "msg")
     return AdStatisticsStream(by_province, blacklist)
@@ -99,9 +97,8 @@ def start_ad_pipeline(clicks: DataFrame, root: str, max_count: int = 100, size="
               .option("path", tagged_path).option("checkpointLocation", os.path.join(ck, "cap")).outputMode("append"))
     tagged = (spark.readStream.schema(StructType.fromDDL(CAP_OUTPUT)).parquet(tagged_path)
               .withWatermark("event_time", duration_str(watermark)))
-    ratio = duration_ms(size) // duration_ms(slide)
-    counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size, slide,
-                           method="direct" if ratio <= 12 else "pane").select("window_end", "province", "count")
+    counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size,
+                           slide).select("window_end", "province", "count")
     by_prov = run(counts.writeStream.format("parquet").option("path", prov_path)
                   .option("checkpointLocation", os.path.join(ck, "by_province")).outputMode("append"))
     return AdPipeline(cap, by_prov, tagged_path, prov_path)
