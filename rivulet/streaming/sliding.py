@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
@@ -99,6 +100,10 @@ def sliding_count_stream(df: DataFrame, keys: list[str], time_col: str, size, sl
     size_ms, slide_ms = duration_ms(size), duration_ms(slide)
     if size_ms % slide_ms:
         raise ValueError("slide must divide size")
+    keys = list(keys)
+    if not keys:  # a global window: one constant key (its state is pane counts only)
+        counts = sliding_count_stream(df.withColumn("_all", F.lit(0)), ["_all"], time_col, size, slide, count_name)
+        return counts.drop("_all")
     fields = [df.schema[k] for k in keys]
     schema = T.StructType(fields + [T.StructField("window_start", T.TimestampType()),
                                     T.StructField("window_end", T.TimestampType()),

@@ -299,3 +299,29 @@ def test_ad_pipeline_wide_windows_golden(spark, scratch):
         F.count("*").alias("n"), F.max("count").alias("mx")).collect()}
     assert stats == {"beijing": (1460, 102), "guangdong": (828, 5), "hebei": (720, 1), "henan": (735, 3),
                      "jiangsu": (730, 4), "shanghai": (780, 2), "zhejiang": (735, 5)}
+
+
+def test_marketing_total_stream_auto_equal_batch(spark, scratch):
+    """A global (keyless) 360x window on a stream through the pane-count processor."""
+    import pandas as pd
+
+    m = tables.marketing(tables.events(spark, SF001)).toPandas().sort_values("event_time")
+    src = os.path.join(scratch, "mt")
+    os.makedirs(src)
+    sentinel = m.iloc[:1].copy()
+    # one global key: the sentinel must lie beyond every window of the data (last row + size)
+    sentinel["event_time"] = m["event_time"].max() + pd.Timedelta(days=2)
+    sentinel["behavior"] = "CLICK"
+    for n, p in enumerate([m.iloc[: len(m) // 2], m.iloc[len(m) // 2:], sentinel]):
+        f = os.path.join(src, f"p{n}.parquet")
+        spark.createDataFrame(p).coalesce(1).write.parquet(f)
+        for root, _, files in os.walk(f):
+            for x in files:
+                os.utime(os.path.join(root, x), (1_600_000_000 + n, 1_600_000_000 + n))
+    schema = spark.read.parquet(os.path.join(src, "p0.parquet")).schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    batch = jobs.marketing_total(tables.marketing(tables.events(spark, SF001)))
+    cutoff = batch.agg(F.max("window_end")).first()[0]
+    got = _run(jobs.marketing_total(stream), scratch, "t_mt").where(F.col("window_end") <= cutoff)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
