@@ -15,3 +15,19 @@ def test_kafka_is_gated(spark):
         read_kafka(spark, "localhost:9092", "hotItems")
     with pytest.raises(RuntimeError):
         write_kafka(read_lines(spark, fixture_path("logins.csv")), "localhost:9092", "hotItems")
+
+
+def test_read_lines_stream(spark, scratch):
+    import os
+    import shutil
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    shutil.copy(fixture_path("logins.csv"), os.path.join(src, "a.csv"))
+    stream = read_lines(spark, src, streaming=True, max_files_per_trigger=1)
+    assert stream.isStreaming and stream.columns == ["value"]
+    q = (stream.writeStream.format("memory").queryName("t_lines")
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("t_lines").count() == 51
