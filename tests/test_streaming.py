@@ -5,6 +5,7 @@ reference; Spark's append mode needs the watermark to pass)."""
 
 import os
 
+import pytest
 from conftest import SF001, fixture_path
 from pyspark.sql import functions as F
 
@@ -126,8 +127,9 @@ def test_top_n_per_batch_sink_equals_batch(spark, scratch):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, jobs.hot_items(batch).collect()))
 
 
-def test_marketing_pane_chain_stream_equal_batch(spark, scratch):
-    """Wide sliding windows on a stream: two chained windowed aggregations (panes, then windows)."""
+@pytest.mark.parametrize("method", ["pane", "auto"])
+def test_marketing_pane_chain_stream_equal_batch(spark, scratch, method):
+    """Wide sliding windows on a stream: chained aggregations ('pane') or the pane-count processor ('auto')."""
     import pandas as pd
 
     m = tables.marketing(tables.events(spark, SF001)).toPandas().sort_values("event_time")
@@ -146,8 +148,8 @@ def test_marketing_pane_chain_stream_equal_batch(spark, scratch):
     schema = spark.read.parquet(os.path.join(src, "p0.parquet")).schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
-    got = _run(jobs.marketing_by_channel(stream, size="10 minutes", slide="10 seconds", method="pane"),
-               scratch, "t_mk").where("channel <> 'zz'")
+    got = _run(jobs.marketing_by_channel(stream, size="10 minutes", slide="10 seconds", method=method),
+               scratch, f"t_mk_{method}").where("channel <> 'zz'")
     batch = tables.marketing(tables.events(spark, SF001))
     exp = jobs.marketing_by_channel(batch, size="10 minutes", slide="10 seconds")
     assert got.count() == exp.count() > 0
