@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import language_id, mixing, sharding
+from rivulet.llm import decontamination, jaccard_join, language_id, mixing, sharding
 from rivulet.llm.common import materialize, table
 
 MIN_SCORE = 0.5  # posterior of the predicted language below which a document counts as in no language
@@ -25,6 +25,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1, five words at 0.8. The document with the smallest id of each component stays, once;
+    documents without words are no duplicates and stay."""
+    found = jaccard_join.jaccard_components(docs, k=5, percent=80)
+    drop = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    kept = docs.join(drop, "doc_id", "left_anti")
+    twice = found.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    twice = materialize(twice, "repeated")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    # ids that occur on several rows: one row of each stays
+    first = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, "doc_id", "left_anti").unionByName(first).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4. Documents that hold a passage of ``benchmark`` go."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7. Every document stays at least once; small sources repeat up to two times."""
     return mixing.mix_documents(docs, max_epochs=mixing.MAX_EPOCHS)
@@ -37,6 +57,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
     ("mix", mix),
     ("shard", shard),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import exact_dedup, language_id, mixing, sharding, token_ledger, warc
+from rivulet.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, sharding, token_ledger, warc
 from rivulet.llm.common import materialize, shared_path, table
 
 TOKENIZER = "byte_bpe_50k"
@@ -18,6 +18,10 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16)
 
@@ -28,6 +32,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -59,8 +67,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
     "op3_warc": op3_warc,
+    "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_mixing": op7_mixing,
     "op9_language_id": op9_language_id,
