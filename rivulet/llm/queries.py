@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import decontamination, exact_dedup, jaccard_join, language_id, mixing, sharding, token_ledger, warc
+from rivulet.llm import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, mixing, sharding, token_ledger, toxicity, warc
 from rivulet.llm.common import materialize, shared_path, table
 
 TOKENIZER = "byte_bpe_50k"
@@ -40,10 +40,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages, html_extraction.train(pages)).drop("html")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), max_epochs=mixing.MAX_EPOCHS)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(4) == 2)
+    labels = table(spark, sf_dir, "labels").where(remainder(4) != 2).select("doc_id", "toxic")
+    model = toxicity.train(docs.where(~F.col("held_out")), labels)
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder(5) == 0)
     model = language_id.train(docs.where(~F.col("held_out")).select("doc_id", "lang", "text"))
@@ -72,7 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_decontamination": op4_decontamination,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
