@@ -256,44 +256,61 @@ def features(dom: Dom) -> np.ndarray:
     return x
 
 
-SWITCH, NEUTRAL = 1.5, 0.7
+SWITCH, NEUTRAL, TURN = 1.2, 0.5, 0.7  # prices: a dropped part in content, a neutral container, a change between its children
 
 
 def decode(dom: Dom, p: np.ndarray) -> str:
     """Main text under the cheapest consistent labelling.
 
     Each node is content (its text stays), dropped (with its whole subtree) or a
-    neutral container (its own text goes, its children are free). Below a
-    dropped node everything is dropped; content may hold dropped parts, at a
-    price; only containers without own text can be neutral.
+    neutral container (its own text goes, its children are free, but each change
+    between kept and dropped neighbours has a price). Below a dropped node
+    everything is dropped; content may hold dropped parts, at a price; only
+    containers without own text can be neutral.
     """
     n = len(dom.tag)
     p = np.clip(p, 1e-4, 1 - 1e-4)
     keep, drop = (-np.log(p)).tolist(), (-np.log(1 - p)).tolist()
-    free = [NEUTRAL] * n
+    inf = float("inf")
+    text = [False] * n  # text somewhere in the subtree
     own = [False] * n
     for k in dom.run_node:
-        own[k] = True
-    keep[0], drop[0], free[0] = float("inf"), float("inf"), 0.0  # the document itself is neutral
-    loose = not any(own[:1])
-    for i in range(n):
-        if own[i] and i:
-            free[i] = float("inf")
+        own[k] = text[k] = True
     up = dom.parent
+    kids: list[list[int]] = [[] for _ in range(n)]
     for i in range(n - 1, 0, -1):
-        q = up[i]
-        drop[q] += drop[i]
-        keep[q] += min(keep[i], drop[i] + SWITCH)
-        free[q] += min(free[i], keep[i], drop[i])
-    state = [""] * n
-    state[0] = "free" if loose else "loose"
+        text[up[i]] = text[up[i]] or text[i]
     for i in range(1, n):
-        s = state[up[i]]
-        if dom.dead[i] or s == "drop":
-            state[i] = "drop"
-        elif s == "keep":
-            state[i] = "keep" if keep[i] <= drop[i] + SWITCH else "drop"
-        else:
-            best = min(free[i], keep[i], drop[i])
-            state[i] = "keep" if keep[i] == best else "free" if free[i] == best else "drop"
-    return " ".join(t for k, t in zip(dom.run_node, dom.run_text) if state[k] in ("keep", "loose"))
+        if text[i] and not dom.dead[i]:
+            kids[up[i]].append(i)
+    keep[0] = drop[0] = inf  # the document itself is neutral
+    free, path = [inf] * n, [()] * n
+    for i in range(n - 1, -1, -1):
+        if not text[i] or dom.dead[i]:
+            continue
+        for c in kids[i]:
+            keep[i] += min(keep[c], drop[c] + SWITCH)
+            drop[i] += drop[c]
+        if kids[i] and (i == 0 or not own[i]):
+            k, d, back = 0.0, 0.0, []  # cheapest ways that end in a kept or a dropped child
+            for j, c in enumerate(kids[i]):
+                kk, dd = (k, d + TURN if j else inf), (d, k + TURN if j else inf)
+                back.append((kk[1] < kk[0], dd[1] < dd[0]))
+                k, d = min(kk) + min(keep[c], free[c]), min(dd) + drop[c]
+            free[i] = (0.0 if i == 0 else NEUTRAL) + min(k, d)
+            kept, ways = k <= d, []
+            for to_kept, to_dropped in reversed(back):
+                ways.append(kept)
+                if to_kept if kept else to_dropped:
+                    kept = not kept
+            path[i] = ways[::-1]
+    state = ["drop"] * n
+    state[0] = "free"
+    for i in range(n):
+        if state[i] == "free":
+            for c, kept in zip(kids[i], path[i]):
+                state[c] = ("keep" if keep[c] <= free[c] else "free") if kept else "drop"
+        elif state[i] == "keep":
+            for c in kids[i]:
+                state[c] = "keep" if keep[c] <= drop[c] + SWITCH else "drop"
+    return " ".join(t for k, t in zip(dom.run_node, dom.run_text) if k == 0 or state[k] == "keep")

@@ -36,7 +36,7 @@ from rivulet.llm.html_dom import GROUPS, Dom, decode, features
 
 MAX_TRAIN_PAGES = 64   # pages whose words fill the layouts
 LAYOUTS = 700
-TREES, DEPTH = 24, 5
+TREES, DEPTH = 30, 6
 SEED = 3
 
 
@@ -189,9 +189,9 @@ class Layouts:
         return f"<!DOCTYPE html><html><head><title>{self.some(2, 8)}</title></head><body>{''.join(body + middle + tail)}</body></html>"
 
 
-def training_rows(words: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(features, 0/1) of the generated nodes; a container is what most of its text is."""
-    gen, xs, ys = Layouts(words, seed), [], []
+def training_rows(words: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, 0/1, weight) of the generated nodes; a container is what most of its text is, list items weigh less."""
+    gen, xs, ys, ws = Layouts(words, seed), [], [], []
     for _ in range(layouts):
         dom = Dom(gen.page())
         n = len(dom.tag)
@@ -209,7 +209,8 @@ def training_rows(words: list[str], layouts: int = LAYOUTS, seed: int = SEED) ->
         use = np.array([total[i] > 0 and dom.tag[i] not in ("#", "body") for i in range(n)])
         xs.append(features(dom)[use])
         ys.append((good[use] > 0.5 * total[use]).astype(int))
-    return np.concatenate(xs), np.concatenate(ys)
+        ws.append(np.where(np.array([t == "li" for t in dom.tag]), 0.2, 1.0)[use])
+    return np.concatenate(xs), np.concatenate(ys), np.concatenate(ws)
 
 
 class Forest:
@@ -264,10 +265,10 @@ def train(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES, layouts: int
     text = F.regexp_replace(F.substring(null_as_empty(F.col("html")), 1, 20000), "<[^>]*>", " ")  # filler words only
     rows = pages.select("page_id", text.alias("t")).orderBy(F.xxhash64("page_id"), "page_id").limit(max_train_pages).collect()
     words = sorted({w for r in rows for w in re.findall(r"[^\W\d_]{1,20}", html.unescape(r["t"]))})
-    x, y = training_rows(words, layouts)
-    rows = spark.createDataFrame(pd.DataFrame({"x": list(x), "y": y.astype("int64")}))
-    table = rows.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxMemoryInMB=512).fit(table)
+    x, y, w = training_rows(words, layouts)
+    rows = spark.createDataFrame(pd.DataFrame({"x": list(x), "y": y.astype("int64"), "w": w}))
+    table = rows.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), "w")
+    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxMemoryInMB=512, weightCol="w").fit(table)
     return Forest([_flatten(t.toDebugString) for t in fitted.trees], list(fitted.treeWeights))
 
 

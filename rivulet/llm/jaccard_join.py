@@ -270,9 +270,9 @@ def _filter_places(x: np.ndarray, bits: int) -> np.ndarray:
 
 
 def node_filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit per hashed node (8 or more bits a node up to 2^FILTER_BITS); false positives only cost time."""
+    """A bit per hashed node (64 or more bits a node up to 2^FILTER_BITS); false positives only cost time."""
     count = nodes.count()
-    bits = min(FILTER_BITS, max(15, (8 * count).bit_length()))
+    bits = min(FILTER_BITS, max(15, (64 * count).bit_length()))
 
     def places(it):
         for b in it:
@@ -375,18 +375,20 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     t = percent
     each = nodes.select("node", "n", "ordinary", F.posexplode("prefix").alias("pos", "token"))
     short = F.expr(f"n - ({2 * t} * n + {100 + t - 1}) div {100 + t} + 1")  # index prefix of the smaller set
-    rows = each.select("token", "node", "n", (F.col("pos") < short).alias("index"), (F.col("pos") >= F.col("ordinary")).alias("heavy"))
-    order = Window.partitionBy("token").orderBy("n", "node")
-    after = F.lead("n").over(order)
-    before = F.max(F.when(F.col("index"), F.col("n"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fits = (F.col("index") & (F.col("n") * 100 >= after * t)) | (before * 100 >= F.col("n") * t)
-    light = rows.where(~F.col("heavy")).withColumn("fits", fits).where("fits").select("token", "node", "n")
+    # size and index flag share one column (2n + flag): these are the rows of the largest shuffle
+    light = each.where(F.col("pos") < F.col("ordinary")).select("token", "node", (F.col("n") * 2 + (F.col("pos") < short).cast("int")).alias("m"))
+    n, index = F.shiftright("m", 1), F.col("m") % 2 == 1
+    order = Window.partitionBy("token").orderBy(n, "node")  # one order of the sets in all blocks
+    after = F.lead(n).over(order)
+    before = F.max(F.when(index, n)).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fits = (index & (n * 100 >= after * t)) | (before * 100 >= n * t)
+    light = light.withColumn("fits", fits).where("fits").select("token", "node")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    full = light.join(nodes.select("node", "bitmap"), "node").repartition(parts, "token").sortWithinPartitions("token", "n")
+    full = light.join(nodes.select("node", "n", "bitmap"), "node").repartition(parts, "token").sortWithinPartitions("token")
     trees = full.select("token", "node", "n", "bitmap").mapInArrow(lambda it: _candidate_links(it, t), "a long, b long")
     # blocks of frequent shingles: hubs per size class; fitting sizes are in one class or in neighbours
     size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / t)))).cast("long")
-    hot = rows.where("heavy").select("token", "node", size.alias("class"))
+    hot = each.where(F.col("pos") >= F.col("ordinary")).select("token", "node", size.alias("class"))
     hubs = hot.groupBy("token", "class").agg(F.min("node").alias("hub"))
     star = hot.join(hubs, ["token", "class"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     chain = hubs.alias("x").join(hubs.select("token", (F.col("class") - 1).alias("class"), F.col("hub").alias("next")), ["token", "class"])
@@ -401,8 +403,13 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: in
     key = dict(docs.dtypes)["doc_id"]
     sketch = materialize(docs.mapInArrow(
         lambda it: _sketches(it, k, percent, heavy),
-        f"doc_id {key}, n long, node long, prefix array<long>, ordinary int, bitmap binary"), "sketches")
-    nodes = materialize(sketch.where("prefix is not null").dropDuplicates(["node"]).drop("doc_id"), "nodes")
+        f"doc_id {key}, n long, node long, prefix array<long>, ordinary int, bitmap binary")
+        .withColumn("rid", F.monotonically_increasing_id()), "sketches")
+    # a node that several tasks saw first: one of its rows stays (only ids move)
+    seen = sketch.where("prefix is not null")
+    twice = seen.groupBy("node").agg(F.min("rid").alias("keep"), F.count("*").alias("k")).where("k > 1").select("node", "keep")
+    losers = materialize(seen.select("node", "rid").join(twice, "node").where("rid <> keep").select("rid"), "losers")
+    nodes = seen.join(losers, "rid", "left_anti").drop("rid", "doc_id")
     near = connected_components(_candidates(nodes, percent), "candidates")
     members = materialize(near.join(nodes.select("node", "n"), "node"), "members")
     labels = _components(docs, members, k, percent, chunk)
@@ -418,7 +425,6 @@ def _components(docs: DataFrame, members: DataFrame, k: int, percent: int, chunk
     """(node, component) of the verified links among candidate components."""
     wanted, bits = node_filter(members)
     sets = docs.select("text").mapInArrow(lambda it: _sets(it, k, wanted, bits), "node long, n long, shingles binary")
-    sets = materialize(sets, "sets")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / chunk).cast("int").alias("chunks"))
     rows = materialize(members.join(sizes, "component"), "chunks")
     large = rows.where("chunks > 1")
@@ -426,6 +432,7 @@ def _components(docs: DataFrame, members: DataFrame, k: int, percent: int, chunk
     own = rows.select("node", F.concat_ws("/", "component", F.pmod(F.xxhash64("node"), F.col("chunks"))).alias("block"))
     if large.isEmpty():
         return connected_components(_verify(sets, plain(own), percent), "links")
+    sets = materialize(sets, "sets")  # read in two rounds
     # hubs: the members with the smallest hashes of a large component meet every chunk
     rank = Window.partitionBy("component").orderBy("node")
     hubs = (large.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= HUBS)

@@ -241,9 +241,13 @@ def train(labelled: DataFrame, path: str = PIECES, max_train_docs: int = MAX_TRA
     spark = labelled.sparkSession
     bound_batches(spark)
     labelled = labelled.where("lang is not null and text is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (labelled.select("doc_id", "lang").withColumn("k", F.row_number().over(order))
-              .where(F.col("k") <= max_train_docs).select("doc_id", "lang").distinct())
+    # per language the rows with the smallest hashes: a share just above the bound by counts, then exactly the bound,
+    # so no task ranks a whole language
+    keys = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    share = keys.groupBy("lang").agg((F.lit(1.2 * max_train_docs + 50) / F.count("*")).alias("share"))
+    few = keys.join(share, "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.col("share"))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= max_train_docs).select("doc_id", "lang").distinct()
     # at most max_train_docs rows a language: bounded, so broadcast
     sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"], "left_semi")
     words = materialize(sample.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long")
