@@ -26,7 +26,8 @@ from rivulet.operators.windows import _col, _key_cols, _null_safe_on, slot_index
 
 def integer_average(col_name: str) -> Column:
     """sum / count with integral division, then as DOUBLE (the reference's AverageAgg)."""
-    return F.expr(f"CAST(sum({col_name}) div count({col_name}) AS DOUBLE)")
+    # DECIMAL(38) sums do not overflow, however many rows a group has
+    return F.expr(f"CAST(sum(CAST({col_name} AS DECIMAL(20, 0))) div count({col_name}) AS DOUBLE)")
 
 
 def bitmap_offset(value_col, seed: int = 61, bits: int = 29) -> Column:

@@ -45,7 +45,7 @@ def click_cap(df: DataFrame, key_cols=("user_id", "ad_id"), time_col: str = "eve
     ships at most max+2 rows per map task, never the whole key.
     """
     keys = _key_cols(key_cols)
-    day = F.to_date(_col(time_col))
+    day = F.floor(F.unix_seconds(_col(time_col)) / F.lit(86_400))  # the UTC day, whatever the session's zone
     w = Window.partitionBy(*keys, day).orderBy(_col(time_col), F.col(seq_col))
     passed = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_count + 1).drop("_rn")
     warned = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == max_count + 2)
@@ -371,5 +371,5 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
         F.floor(F.col("first_us") / 1_000_000).alias("first_fail_time"),
         F.floor(F.col("last_us") / 1_000_000).alias("last_fail_time"),
         "first_seq", "fail_count",
-        login_warning_message("fail_count").alias("msg"),
+        login_warning_message("fail_count", within).alias("msg"),
     )

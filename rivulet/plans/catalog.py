@@ -20,7 +20,7 @@ from rivulet.operators.aggregates import integer_average
 from rivulet.operators.windows import tumbling_aggregate
 from rivulet.plans import jobs
 from rivulet.sources import tables
-from rivulet.sources.records import parse_apache_log, parse_user_behavior
+from rivulet.sources.records import parse_ad_clicks, parse_apache_log, parse_logins, parse_user_behavior
 
 # stand-in parameters for the driver's events table
 AD_CAP = 1  # <= 5 clicks per (user, ad, day) in `events`; cap 1 -> click 3 warns
@@ -60,8 +60,24 @@ def q_unique_visitors_running(spark, sf_dir):
     return jobs.epoch_ms(jobs.unique_visitors_running(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
+SKETCH_LG_K = 12
+SKETCH_SIGMAS = 4  # stated bound: within 4 standard errors (1.04 / sqrt(2^k) of the count), or one visitor
+
+
 def q_unique_visitors_sketch(spark, sf_dir):
-    return jobs.epoch_ms(jobs.unique_visitors_sketch(_pv(spark, sf_dir)), "window_start", "window_end")
+    """The exact count of every window and whether the sketch's estimate keeps its stated error bound."""
+    pv = _pv(spark, sf_dir)
+    sketch = jobs.unique_visitors_sketch(pv, lg_config_k=SKETCH_LG_K).withColumnRenamed("uv", "estimate")
+    exact = jobs.unique_visitors(pv)
+    bound = F.greatest(F.lit(1.0), F.col("uv") * (SKETCH_SIGMAS * 1.04 / 2 ** (SKETCH_LG_K / 2)))
+    both = exact.join(sketch, ["window_start", "window_end"], "full").select(
+        "window_start", "window_end", "uv", (F.abs(F.col("estimate") - F.col("uv")) <= bound).alias("within_bound"))
+    return jobs.epoch_ms(both, "window_start", "window_end")
+
+
+def q_page_views_printed(spark, sf_dir):
+    """Page views with the window bounds as ``Timestamp.toString`` text."""
+    return jobs.as_printed(jobs.page_views(_pv(spark, sf_dir)), "window_start", "window_end")
 
 
 def q_hot_items(spark, sf_dir):
@@ -140,6 +156,17 @@ def q_parse_user_behavior(spark, sf_dir):
     return parse_user_behavior(lines).rows.drop("event_time", "seq")
 
 
+def q_parse_ad_clicks(spark, sf_dir):
+    """S4 over the whole table rendered as CSV lines; ``event_time`` is F3, ``seq`` the caller's order."""
+    rows = parse_ad_clicks(tables.ad_click_lines(tables.events(spark, sf_dir)), seq="seq").rows
+    return jobs.epoch_ms(rows, "event_time")
+
+
+def q_parse_logins(spark, sf_dir):
+    """S5 over the whole table rendered as CSV lines."""
+    return jobs.epoch_ms(parse_logins(tables.login_lines(tables.events(spark, sf_dir)), seq="seq").rows, "event_time")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_views": q_page_views,
     "unique_visitors": q_unique_visitors,
@@ -161,4 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "login_fail_bursts": q_login_fail_bursts,
     "parse_access_log": q_parse_access_log,
     "parse_user_behavior": q_parse_user_behavior,
+    "parse_ad_clicks": q_parse_ad_clicks,
+    "parse_logins": q_parse_logins,
+    "page_views_printed": q_page_views_printed,
 }

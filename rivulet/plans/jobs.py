@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.reports import HOT_ITEMS_STYLE, HOT_URLS_STYLE, ranked_report
-from rivulet.functions.timefmt import duration_str, sql_timestamp_string, to_epoch_millis
+from rivulet.functions.timefmt import duration_ms, duration_str, sql_timestamp_string, to_epoch_millis
 from rivulet.operators.aggregates import (
     bitmap_distinct_count,
     bitmap_shard_counts,
@@ -27,7 +27,7 @@ from rivulet.operators.aggregates import (
     sketch_distinct_count,
 )
 from rivulet.operators.patterns import click_cap, login_fail_bursts, login_fail_episodes
-from rivulet.operators.topn import top_n, top_n_stream
+from rivulet.operators.topn import report_stream, top_n, top_n_stream
 from rivulet.operators.windows import sliding_count, tumbling_aggregate
 
 # --- fixed values: labels that must equal the reference's output ----------
@@ -47,22 +47,31 @@ def _pv(behavior: DataFrame) -> DataFrame:
 
 # --- hot items / hot urls (E1): windowed count, then top-N per window end ---
 
-def _ranked(counts: DataFrame, key: str, top: int, slide, streaming: bool) -> DataFrame:
+def _hot(rows: DataFrame, key: str, top: int, size, slide, method: str, style=None) -> DataFrame:
+    """Ranked rows, or with ``style`` the report, per window end of a table or stream."""
+    streaming = rows.isStreaming
+    counts = sliding_count(rows, key, "event_time", size, slide, method="direct" if streaming else method,
+                           window_struct=streaming)
     if streaming:
-        ranked = top_n_stream(counts, slide, key, "count", top)
-    else:
-        ranked = top_n(counts, "window_end", key, "count", top).select("window_end", "rank", key, "count")
-    return ranked
+        return report_stream(counts, slide, key, "count", top, style) if style else top_n_stream(counts, slide, key, "count", top)
+    ranked = top_n(counts, "window_end", key, "count", top).select("window_end", "rank", key, "count")
+    return ranked_report(ranked, style, key=key) if style else ranked
 
 
 def hot_items(behavior: DataFrame, top: int = 3, size="1 hour", slide="5 minutes", watermark="0 seconds",
               method: str = "auto") -> DataFrame:
     """Top ``top`` items by page views per sliding window: window_end (TIMESTAMP), rank, item_id, count."""
-    pv = _watermarked(_pv(behavior), watermark)
-    streaming = pv.isStreaming
-    counts = sliding_count(pv, "item_id", "event_time", size, slide,
-                           method="direct" if streaming else method, window_struct=streaming)
-    return _ranked(counts, "item_id", top, slide, streaming)
+    return _hot(_watermarked(_pv(behavior), watermark), "item_id", top, size, slide, method)
+
+
+def hot_items_report(behavior: DataFrame, top: int = 3, size="1 hour", slide="5 minutes", watermark="0 seconds",
+                     method: str = "auto") -> DataFrame:
+    """F7 text per window end, of tables and streams: window_end, report."""
+    return _hot(_watermarked(_pv(behavior), watermark), "item_id", top, size, slide, method, HOT_ITEMS_STYLE)
+
+
+def _late_by(out_of_order, allowed_lateness) -> str:
+    return f"{duration_ms(out_of_order) + duration_ms(allowed_lateness)} milliseconds"
 
 
 def hot_urls(logs: DataFrame, top: int = 5, size="1 minute", slide="5 seconds", out_of_order="1 second",
@@ -71,19 +80,27 @@ def hot_urls(logs: DataFrame, top: int = 5, size="1 minute", slide="5 seconds",
 
     On streams the watermark trails by out-of-orderness + allowed lateness:
     a row up to that late still counts, and each window is emitted once,
-    final (the reference re-fires a window per late row instead).
+    final. ``streaming.jobs.start_url_revisions`` publishes a window at once
+    and again for each late row, as the reference does.
     """
-    from rivulet.functions.timefmt import duration_ms
-    delay = f"{duration_ms(out_of_order) + duration_ms(allowed_lateness)} milliseconds"
-    logs = _watermarked(logs, delay)
-    streaming = logs.isStreaming
-    counts = sliding_count(logs, "url", "event_time", size, slide,
-                           method="direct" if streaming else method, window_struct=streaming)
-    return _ranked(counts, "url", top, slide, streaming)
+    return _hot(_watermarked(logs, _late_by(out_of_order, allowed_lateness)), "url", top, size, slide, method)
+
+
+def hot_urls_report(logs: DataFrame, top: int = 5, size="1 minute", slide="5 seconds", out_of_order="1 second",
+                    allowed_lateness="60 seconds", method: str = "auto") -> DataFrame:
+    """F7 text per window end, of tables and streams: window_end, report."""
+    return _hot(_watermarked(logs, _late_by(out_of_order, allowed_lateness)), "url", top, size, slide, method, HOT_URLS_STYLE)
+
+
+def url_counts(logs: DataFrame, size="1 minute", slide="5 seconds", out_of_order="1 second",
+               allowed_lateness="60 seconds") -> DataFrame:
+    """window_end, url, count per sliding window; on streams for update mode, where each late row revises its windows."""
+    logs = _watermarked(logs, _late_by(out_of_order, allowed_lateness))
+    return sliding_count(logs, "url", "event_time", size, slide, method="direct").select("window_end", "url", "count")
 
 
 def item_report(ranked: DataFrame) -> DataFrame:
-    """F7 text per window end of ``hot_items`` output."""
+    """F7 text per window end of ``hot_items`` rows of a table."""
     return ranked_report(ranked, HOT_ITEMS_STYLE, key="item_id")
 
 

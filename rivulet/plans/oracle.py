@@ -125,13 +125,26 @@ closed AS (
   WHERE t0 IS NOT NULL AND n >= {_N}
 )
 SELECT user_id, t0 // 1000000 AS first_fail_time, tl // 1000000 AS last_fail_time, s0 AS first_seq,
-  CAST(n AS BIGINT) AS fail_count, printf('login fail in 2 second for %d times.', n) AS msg
+  CAST(n AS BIGINT) AS fail_count, printf('login fail in {_W // 1000000} second for %d times.', n) AS msg
 FROM closed"""
 
 
 ORACLE_SQL: dict[str, str] = {
     "page_views": _tumbling("count(*)", "pv"),
     "unique_visitors": _tumbling("count(DISTINCT v)", "uv"),
+    "unique_visitors_sketch": f"SELECT *, true AS within_bound FROM ({_tumbling('count(DISTINCT v)', 'uv')})",
+    "page_views_printed": f"""
+SELECT strftime(make_timestamp(w * {H_US}), '%Y-%m-%d %H:%M:%S.0') AS window_start,
+  strftime(make_timestamp((w + 1) * {H_US}), '%Y-%m-%d %H:%M:%S.0') AS window_end, count(*) AS pv
+FROM (SELECT epoch_us(ts) // {H_US} AS w FROM events WHERE event_type = 'view') GROUP BY w""",
+    "parse_ad_clicks": f"""
+SELECT user_id, {_AD_ID} AS ad_id, {_PROVINCE} AS province, {_PROVINCE} AS city, epoch_us(ts) // 1000000 AS ts,
+  event_id AS seq, (epoch_us(ts) // 1000000) * 1000 AS event_time
+FROM events""",
+    "parse_logins": f"""
+SELECT user_id, {_IP} AS ip, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type,
+  epoch_us(ts) // 1000000 AS ts, event_id AS seq, (epoch_us(ts) // 1000000) * 1000 AS event_time
+FROM events""",
     "unique_visitors_bitmap": _tumbling("count(DISTINCT v)", "uv", value=poly_hash_sql("user_id")),
     "unique_visitors_bitmap_shards": f"""
 SELECT w * {H_US // 1000} AS window_start, (w + 1) * {H_US // 1000} AS window_end,

@@ -3,12 +3,14 @@
 Everything here is a plain Spark config. The session time zone is pinned to
 UTC so that epoch windows, day boundaries and rendered dates do not depend on
 the machine. The checkpoint directory is read from ``spark.checkpoint.dir``;
-only when it is unset (local runs, tests) is a scratch folder created.
+when it is unset, a local master (tests) gets a scratch folder and any other
+master an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,13 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever the deployment put in
-    ``spark.checkpoint.dir`` (a shared file system). Only when it is unset,
-    as in local tests, a scratch folder is created and recorded.
+    ``spark.checkpoint.dir`` (a shared file system). When it is unset, a
+    scratch folder is created under a local master only: on a cluster the
+    executors would not share it, so that raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="rivulet-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
@@ -71,22 +77,34 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name)
 
 
-def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20,
-                            max_partitions: int = 200_000) -> int:
+def size_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20) -> int:
     """Size ``spark.sql.shuffle.partitions`` from the input bytes (one partition per ``target_bytes``).
 
     At 100 TB the default 200 partitions would be ~500 GB each and spill;
-    this gives ~400k at 256 MB, capped, and never fewer than the task slots.
-    AQE then coalesces partitions that turn out small (filters, partial
-    aggregation), so the number is an upper bound, not a fixed cost.
+    this gives ~400k at 256 MB, and never fewer than the task slots. AQE then
+    coalesces partitions that turn out small (filters, partial aggregation),
+    so the number is an upper bound, not a fixed cost.
     """
+    n = max(spark.sparkContext.defaultParallelism, -(-input_bytes(spark, paths) // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
+def raise_shuffle_partitions(spark: SparkSession, paths, target_bytes: int = 256 << 20) -> int:
+    """The same for a session whose number someone else chose: raises it where the input needs more, never lowers it."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    need = -(-input_bytes(spark, paths) // target_bytes)
+    if need > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(need))
+    return max(now, need)
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes under the paths, on any file system Spark reads."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API for sizes
     hconf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
     total = 0
     for p in ([paths] if isinstance(paths, str) else paths):
         path = jvm.org.apache.hadoop.fs.Path(p)
         total += path.getFileSystem(hconf).getContentSummary(path).getLength()
-    n = max(spark.sparkContext.defaultParallelism, min(max_partitions, -(-total // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
-    return n
+    return total

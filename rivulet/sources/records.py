@@ -67,7 +67,14 @@ def _fields(sep: str) -> Column:
     return F.split(F.col("value"), sep)
 
 
-def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str]) -> Parsed:
+_TRIMMED = "".join(map(chr, range(33)))  # every character up to the blank, as Java's String.trim
+
+
+def _trim(c: Column) -> Column:
+    return F.btrim(c, F.lit(_TRIMMED))
+
+
+def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str], seq: str | None = None) -> Parsed:
     """Build each record once; keep it when every field parsed.
 
     ``inline(filter(array(rec), all fields non-null))`` yields 0 or 1 rows
@@ -75,9 +82,10 @@ def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str]) -> Par
     pushed down to the scan with the parse expressions inlined, evaluating
     them twice and before any repartitioning.
     """
-    # seq: a content hash of the line, a deterministic tie-breaker for rows with equal event times
+    # seq orders rows with equal event times: the caller's column (offset, line number), else a content hash
+    order = F.xxhash64("value") if seq is None else F.col(seq)
     recs = lines.select(F.col("value"), F.struct(*[c.alias(n) for c, n in zip(fields, names)],
-                                                 F.xxhash64("value").alias("seq")).alias("_rec"))
+                                                 order.alias("seq")).alias("_rec"))
 
     def valid(r):
         cond = F.lit(True)
@@ -91,40 +99,40 @@ def _keep_valid(lines: DataFrame, fields: list[Column], names: list[str]) -> Par
     return Parsed(rows, rejects)
 
 
-def _delimited(lines: DataFrame, schema: T.StructType, sep: str, time_unit: str) -> Parsed:
+def _delimited(lines: DataFrame, schema: T.StructType, sep: str, time_unit: str, seq: str | None = None) -> Parsed:
     """Positional fields; every field trimmed and cast; the line must hold all of them."""
     parts = _fields(sep)
-    cols = [F.trim(F.get(parts, i)).try_cast(f.dataType) if f.dataType != T.StringType() else F.trim(F.get(parts, i))
+    cols = [_trim(F.get(parts, i)).try_cast(f.dataType) if f.dataType != T.StringType() else _trim(F.get(parts, i))
             for i, f in enumerate(schema.fields)]
-    parsed = _keep_valid(lines, cols, schema.fieldNames())
+    parsed = _keep_valid(lines, cols, schema.fieldNames(), seq)
     ts = F.col("ts")
     event_time = F.timestamp_seconds(ts) if time_unit == "s" else F.timestamp_millis(ts)
     return Parsed(parsed.rows.withColumn("event_time", event_time), parsed.rejects)
 
 
-def parse_user_behavior(lines: DataFrame) -> Parsed:
+def parse_user_behavior(lines: DataFrame, seq: str | None = None) -> Parsed:
     """S3: 'user,item,category,behavior,ts' -> UserBehavior."""
-    return _delimited(lines, USER_BEHAVIOR, ",", "s")
+    return _delimited(lines, USER_BEHAVIOR, ",", "s", seq)
 
 
-def parse_ad_clicks(lines: DataFrame) -> Parsed:
+def parse_ad_clicks(lines: DataFrame, seq: str | None = None) -> Parsed:
     """S4: 'user,ad,province,city,ts' -> AdClickEvent."""
-    return _delimited(lines, AD_CLICK, ",", "s")
+    return _delimited(lines, AD_CLICK, ",", "s", seq)
 
 
-def parse_logins(lines: DataFrame) -> Parsed:
+def parse_logins(lines: DataFrame, seq: str | None = None) -> Parsed:
     """S5: 'user,ip,type,ts' -> LoginEvent."""
-    return _delimited(lines, LOGIN, ",", "s")
+    return _delimited(lines, LOGIN, ",", "s", seq)
 
 
-def parse_marketing(lines: DataFrame) -> Parsed:
+def parse_marketing(lines: DataFrame, seq: str | None = None) -> Parsed:
     """'user,behavior,channel,ts_ms' -> MarketingUserBehavior."""
-    return _delimited(lines, MARKETING, ",", "ms")
+    return _delimited(lines, MARKETING, ",", "ms", seq)
 
 
-def parse_apache_log(lines: DataFrame) -> Parsed:
+def parse_apache_log(lines: DataFrame, seq: str | None = None) -> Parsed:
     """Split on single spaces; tokens 0 ip, 1 user, 3 time, 5 method, 6 url."""
     parts = _fields(" ")
-    cols = [F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1)), parse_log_time(F.trim(F.get(parts, 3))),
-            F.trim(F.get(parts, 5)), F.trim(F.get(parts, 6))]
-    return _keep_valid(lines, cols, APACHE_LOG.fieldNames())
+    cols = [_trim(F.get(parts, 0)), _trim(F.get(parts, 1)), parse_log_time(_trim(F.get(parts, 3))),
+            _trim(F.get(parts, 5)), _trim(F.get(parts, 6))]
+    return _keep_valid(lines, cols, APACHE_LOG.fieldNames(), seq)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.timefmt import LOG_TIME_FORMAT
+from rivulet.session import raise_shuffle_partitions
 
 # --- fixed values: names used by the reference's inputs -------------------
 CHANNELS = ["wechat", "weibo", "appstore", "huaweistore"]
@@ -34,24 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
-
-    A file with one row group is one scan task, and everything before the
-    first shuffle (parsing, window expansion, partial aggregation) would run
-    in it. Large inputs have many splits and pass through unchanged, so this
-    costs a shuffle only where the input is small.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events"))
+    """The table as its files split; shuffle partitions are raised to what its size needs."""
+    raise_shuffle_partitions(spark, os.path.join(sf_dir, "events.parquet"))
+    return table(spark, sf_dir, "events")
 
 
 def _k() -> Column:
@@ -105,6 +92,19 @@ def apache_log_lines(ev: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
+def ad_click_lines(ev: DataFrame) -> DataFrame:
+    """AdClickEvent rows rendered as CSV lines, with the tab and carriage return that the parser trims."""
+    c = ad_clicks(ev)
+    return c.select(F.concat_ws(",", *[F.col(x).cast("string") for x in ("user_id", "ad_id", "province", "city")],
+                                F.concat(F.lit("\t"), F.col("ts").cast("string"), F.lit("\r"))).alias("value"), "seq")
+
+
+def login_lines(ev: DataFrame) -> DataFrame:
+    """LoginEvent rows rendered as CSV lines."""
+    c = logins(ev)
+    return c.select(F.concat_ws(", ", *[F.col(x).cast("string") for x in ("user_id", "ip", "event_type", "ts")]).alias("value"), "seq")
+
+
 def marketing(ev: DataFrame, exclude=None) -> DataFrame:
     """MarketingUserBehavior: 'signup' plays UNINSTALL, channel by k mod 4.
 

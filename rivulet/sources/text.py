@@ -20,10 +20,10 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False, max_file
 
 
 def kafka_available(spark: SparkSession) -> bool:
-    """The Kafka connector is a separate package; probe the classpath."""
+    """The Kafka connector is a separate package; probe the class loader that also sees ``spark.jars``."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - classpath probe only
     try:
-        jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass("org.apache.spark.sql.kafka010.KafkaSourceProvider")
         return True
     except Exception:  # noqa: BLE001
         return False

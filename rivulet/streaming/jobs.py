@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.functions.timefmt import duration_ms, duration_str
+from rivulet.operators.topn import top_n
 from rivulet.operators.windows import sliding_count
+from rivulet.plans.jobs import url_counts
+from rivulet.streaming.sinks import read_latest, upsert_latest
 from rivulet.streaming.stateful import CAP_OUTPUT, LOGIN_OUTPUT, ClickCapProcessor, LoginFailProcessor
 
 
@@ -43,6 +46,19 @@ def ad_clicks_by_province_stream(clicks: DataFrame, max_count: int = 100, size="
     return AdStatisticsStream(by_province, blacklist)
 
 
+def start_url_revisions(logs: DataFrame, name: str, path: str, checkpoint: str | None = None, available_now: bool = False,
+                        **windows) -> StreamingQuery:
+    """URL counts per window in update mode, upserted under ``path``: a late row revises its windows' counts."""
+    return upsert_latest(url_counts(logs, **windows), name, path, ["window_end", "url"], "count",
+                         checkpoint=checkpoint, available_now=available_now)
+
+
+def read_url_ranking(spark, path: str, top: int = 5) -> DataFrame:
+    """The ranking of every window by the last revision of its counts: window_end, rank, url, count."""
+    latest = read_latest(spark, path, ["window_end", "url"])
+    return top_n(latest, "window_end", "url", "count", top).select("window_end", "rank", "url", "count")
+
+
 def login_fail_warnings_stream(logins: DataFrame, max_fails: int = 2, within="2 seconds",
                                out_of_order="5 seconds") -> DataFrame:
     """T4 on a stream (bounded out-of-orderness watermark, as the reference's 5 s)."""
@@ -95,6 +111,8 @@ def start_ad_pipeline(clicks: DataFrame, root: str, max_count: int = 100, size="
 
     cap = run(click_cap_stream(clicks, max_count, watermark).writeStream.format("parquet")
               .option("path", tagged_path).option("checkpointLocation", os.path.join(ck, "cap")).outputMode("append"))
+    if available_now:  # the second query ends with what it finds, so the first must be done
+        cap.awaitTermination()
     tagged = (spark.readStream.schema(StructType.fromDDL(CAP_OUTPUT)).parquet(tagged_path)
               .withWatermark("event_time", duration_str(watermark)))
     counts = sliding_count(tagged.where(F.col("kind") == "pass"), "province", "event_time", size,

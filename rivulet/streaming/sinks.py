@@ -39,22 +39,52 @@ def start(df: DataFrame, name: str, fmt: str = "console", output_mode: str = "ap
     return w.start(path) if path else w.start()
 
 
+COMPACT_EVERY = 64  # micro-batches between snapshots of an upserted table
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API, any scheme
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+
+
+def _bases(spark: SparkSession, path: str) -> list[int]:
+    """Snapshot ids of an upserted table whose first batch is complete, oldest first."""
+    fs, Path = _fs(spark, path)
+    if not fs.exists(Path(path)):
+        return []
+    ids = [int(s.getPath().getName()[5:]) for s in fs.listStatus(Path(path)) if s.getPath().getName().startswith("base=")]
+    return sorted(b for b in ids if fs.exists(Path(f"{path}/base={b}/batch_id={b}/_SUCCESS")))
+
+
 def upsert_latest(df: DataFrame, name: str, path: str, key_cols, order_col: str,
                   output_mode: str = "update", available_now: bool = False,
-                  checkpoint: str | None = None) -> StreamingQuery:
+                  checkpoint: str | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """K3: keep the latest value per key (the reference's Redis hash ``count``).
 
     Each micro-batch keeps its last row per key and writes it under
-    ``path/batch_id=N`` with overwrite: replaying a batch after a failure
-    rewrites the same folder, so the table is exactly-once. ``read_latest``
-    resolves the newest row per key.
+    ``path/base=B/batch_id=N`` with overwrite: replaying a batch after a
+    failure rewrites the same folder, so the table is exactly-once. Every
+    ``compact_every`` batches the table so far and the new batch are written
+    together as the first folder of a new base; once that is complete, bases
+    before the previous one are deleted (a reader may still be on that one).
+    ``read_latest`` reads the newest base only.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
         latest = batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-        latest.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        base = batch_id - batch_id % compact_every
+        older = [b for b in _bases(spark, path) if b < batch_id]
+        if batch_id == base and older:
+            before = read_latest(spark, path, keys, older[-1])
+            latest = latest.unionByName(before.join(latest.select(*keys), keys, "left_anti"))
+        latest.write.mode("overwrite").parquet(os.path.join(path, f"base={base}", f"batch_id={batch_id}"))
+        fs, Path = _fs(spark, path)
+        for b in older[:-1] if batch_id == base else []:
+            fs.delete(Path(f"{path}/base={b}"), True)
 
     w = (df.writeStream.queryName(name).outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", checkpoint or stream_checkpoint(df.sparkSession, name)))
@@ -63,10 +93,11 @@ def upsert_latest(df: DataFrame, name: str, path: str, key_cols, order_col: str,
     return w.start()
 
 
-def read_latest(spark: SparkSession, path: str, key_cols) -> DataFrame:
+def read_latest(spark: SparkSession, path: str, key_cols, base: int | None = None) -> DataFrame:
     """The upserted table: newest batch's row per key."""
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    df = spark.read.parquet(path)
+    base = _bases(spark, path)[-1] if base is None else base
+    df = spark.read.parquet(os.path.join(path, f"base={base}"))
     w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 

@@ -3,22 +3,25 @@
 Both run under ``transformWithStateInPandas`` in ``EventTime`` mode: Spark
 shuffles rows by key, keeps per-key state in the (RocksDB) state store with
 the query's checkpoint, and calls the processor once per key per
-micro-batch with that key's new rows. Rows inside a batch are sorted by
-(event time, seq) before the fold; across batches they are taken in arrival
-order, as a stream processor must.
+micro-batch with that key's new rows.
 
-The rules equal the batch operators in ``rivulet.operators.patterns``.
+The click cap counts in arrival order (sorted by (event time, seq) inside a
+micro-batch) per UTC day, and keeps each open day's count: rows of two days may
+interleave. The login rule takes rows in event-time order: they wait in state
+until the watermark passes them, so any input whose disorder stays within the
+watermark delay gives the batch operator's result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
-from rivulet.functions.reports import BLACKLIST_MESSAGE, LOGIN_WARNING_MESSAGE
+from rivulet.functions.reports import BLACKLIST_MESSAGE, LOGIN_WARNING_MESSAGE, seconds_text
 
 DAY_MS = 86_400_000
 
@@ -40,9 +43,10 @@ def _us(ts: pd.Series) -> np.ndarray:
 class ClickCapProcessor(StatefulProcessor):
     """Per (user, ad): the first ``max_count + 1`` clicks of a UTC day pass; click max+2 warns once.
 
-    State: clicks counted today, warned flag, the day. An event-time timer at
-    the next UTC midnight clears it (the reference's processing-time reset,
-    made repeatable). Output rows are tagged ``kind`` = 'pass' | 'warn'.
+    State: day -> clicks counted (up to the cap) and a warned flag. An
+    event-time timer at the end of a day removes its entry (the reference's
+    processing-time reset, made repeatable). Output rows are tagged ``kind`` =
+    'pass' | 'warn'.
     """
 
     def __init__(self, max_count: int = 100):
@@ -50,7 +54,7 @@ class ClickCapProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("cap", "day long, count long, warned boolean")
+        self.days = handle.getMapState("days", "day long", "count long, warned boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows)
@@ -58,21 +62,21 @@ class ClickCapProcessor(StatefulProcessor):
             return
         pdf = pdf.sort_values(["event_time", "seq"], kind="mergesort").reset_index(drop=True)
         days = _us(pdf["event_time"]) // (DAY_MS * 1000)
-        day, count, warned = (self.state.get() if self.state.exists() else (None, 0, False))
         keep = np.zeros(len(pdf), dtype=bool)
         warn = np.zeros(len(pdf), dtype=bool)
-        for d in np.unique(days):  # rows of one day are contiguous after the sort
+        for d in np.unique(days).tolist():  # rows of one day are contiguous after the sort
             idx = np.flatnonzero(days == d)
-            if day != d:
-                day, count, warned = int(d), 0, False
-                self.handle.registerTimer(int(d + 1) * DAY_MS)
+            if self.days.containsKey((d,)):
+                count, warned = self.days.getValue((d,))
+            else:
+                count, warned = 0, False
+                self.handle.registerTimer((d + 1) * DAY_MS)
             room = max(self.max_count + 1 - count, 0)
             keep[idx[:room]] = True
             if len(idx) > room and not warned:
                 warn[idx[room]] = True
                 warned = True
-            count = min(count + len(idx), self.max_count + 1)
-        self.state.update((day, count, warned))
+            self.days.updateValue((d,), (min(count + len(idx), self.max_count + 1), warned))
         passed = pdf[keep].assign(kind="pass", msg=None)
         warned_rows = pdf[warn].assign(kind="warn", msg=BLACKLIST_MESSAGE % self.max_count)
         out = pd.concat([passed, warned_rows], ignore_index=True)
@@ -80,10 +84,8 @@ class ClickCapProcessor(StatefulProcessor):
             yield out[[c.split()[0] for c in CAP_OUTPUT.split(", ")]]
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            day = self.state.get()[0]
-            if (day + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
-                self.state.clear()
+        for k in [k for k in self.days.keys() if (k[0] + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs()]:
+            self.days.removeKey(k)
         return iter([])
 
     def close(self) -> None:
@@ -93,69 +95,82 @@ class ClickCapProcessor(StatefulProcessor):
 class LoginFailProcessor(StatefulProcessor):
     """Per user: an episode opens at a fail t0, holds fails <= t0+W, warns at close if >= N; a non-fail cancels.
 
-    State: the open episode (t0, first seq, count, last fail). It closes when
-    a later row of the user passes t0+W, or when the watermark does (timer).
-    A cancelled or closed episode's timer is deleted, so no stale timer can
-    close a newer episode.
+    State: the rows the watermark has not passed yet, and the open episode
+    (t0, first seq, count, last fail). A timer at the earliest waiting row (or
+    at the open episode's end) folds every row at or before the watermark in
+    (event time, seq) order.
     """
 
     def __init__(self, max_fails: int = 2, within_ms: int = 2000, fail_value: str = "fail"):
         self.max_fails = max_fails
         self.w_us = within_ms * 1000
         self.fail_value = fail_value
+        self.seconds = seconds_text(timedelta(milliseconds=within_ms))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.waiting = handle.getListState("waiting", "us long, seq long, fail boolean")
         self.state = handle.getValueState("episode", "t0 long, s0 long, n long, tl long")
 
-    def _timer(self, t0_us: int) -> int:
-        return (t0_us + self.w_us) // 1000 + 1  # first ms after t0+W: the closed bound has passed
-
-    def _warning(self, user, ep) -> dict:
+    def _warning(self, user, ep, at_us: int) -> dict:
+        """``at_us``: the row's event time, just after the watermark that closed the episode."""
         t0, s0, n, tl = ep
         return {"user_id": user, "first_fail_time": t0 // 1_000_000, "last_fail_time": tl // 1_000_000,
-                "first_seq": s0, "fail_count": n, "msg": LOGIN_WARNING_MESSAGE % n,
-                "event_time": pd.Timestamp(tl, unit="us")}
+                "first_seq": s0, "fail_count": n, "msg": LOGIN_WARNING_MESSAGE % (self.seconds, n),
+                "event_time": pd.Timestamp(at_us, unit="us")}
+
+    def _set_timer(self, first_us: int | None, ep) -> None:
+        """One timer at the first millisecond after which a waiting row or the open episode is due."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        due = [x for x in (first_us, ep[0] + self.w_us if ep else None) if x is not None]
+        if due:
+            self.handle.registerTimer(min(due) // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["event_time", "seq"], kind="mergesort")
-        user = int(key[0])
-        ep = tuple(self.state.get()) if self.state.exists() else None
-        out = []
-        for us, seq, fail in zip(_us(pdf["event_time"]), pdf["seq"].to_numpy(),
-                                 (pdf["event_type"] == self.fail_value).to_numpy()):
-            us, seq = int(us), int(seq)
+        first = None
+        for pdf in rows:
+            if len(pdf):
+                us = _us(pdf["event_time"])
+                fail = (pdf["event_type"] == self.fail_value).to_numpy()
+                self.waiting.appendList([(int(a), int(b), bool(c)) for a, b, c in zip(us, pdf["seq"].to_numpy(), fail)])
+                first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:
+            if self.waiting.exists():
+                first = min(first, min(r[0] for r in self.waiting.get()))
+            self._set_timer(first, tuple(self.state.get()) if self.state.exists() else None)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        ready = [r for r in held if r[0] < mark]
+        rest = held[len(ready):]
+        user, ep, out = int(key[0]), tuple(self.state.get()) if self.state.exists() else None, []
+        for us, seq, fail in ready:
             if ep is not None and us > ep[0] + self.w_us:  # the episode's window has passed: close it
-                self.handle.deleteTimer(self._timer(ep[0]))
                 if ep[2] >= self.max_fails:
-                    out.append(self._warning(user, ep))
+                    out.append(self._warning(user, ep, mark + 1000))
                 ep = None
             if fail:
-                if ep is None:
-                    ep = (us, seq, 1, us)
-                    self.handle.registerTimer(self._timer(us))
-                else:
-                    ep = (ep[0], ep[1], ep[2] + 1, us)
-            elif ep is not None:  # any non-fail inside the window cancels the episode
-                self.handle.deleteTimer(self._timer(ep[0]))
+                ep = (us, seq, 1, us) if ep is None else (ep[0], ep[1], ep[2] + 1, us)
+            else:  # any non-fail inside the window cancels the episode
                 ep = None
-        if ep is None:
-            self.state.clear()
-        else:
+        if ep is not None and ep[0] + self.w_us < mark:
+            if ep[2] >= self.max_fails:
+                out.append(self._warning(user, ep, mark + 1000))
+            ep = None
+        if rest:
+            self.waiting.put(rest)
+        elif held:
+            self.waiting.clear()
+        if ep is not None:
             self.state.update(ep)
+        elif self.state.exists():
+            self.state.clear()
+        self._set_timer(rest[0][0] if rest else None, ep)
         if out:
             yield pd.DataFrame(out)
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            ep = tuple(self.state.get())
-            if self._timer(ep[0]) == expiredTimerInfo.getExpiryTimeInMs():
-                self.state.clear()
-                if ep[2] >= self.max_fails:
-                    yield pd.DataFrame([self._warning(int(key[0]), ep)])
-
     def close(self) -> None:
         pass

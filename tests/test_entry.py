@@ -6,6 +6,8 @@ import pytest
 from conftest import SF001
 
 import __spark_entry__ as entry
+from rivulet.plans.catalog import QUERIES
+from rivulet.plans.oracle import ORACLE_SQL
 
 TABLES = ["events"]
 
@@ -25,9 +27,9 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_the_sketch():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"unique_visitors_sketch"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_over_events_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(ORACLE_SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +40,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF001).toPandas()
     exp = duck.execute(entry.oracle_sql()[name]).df()
