@@ -23,7 +23,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
@@ -266,7 +265,7 @@ def train(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES, layouts: int
     rows = pages.select("page_id", text.alias("t")).orderBy(F.xxhash64("page_id"), "page_id").limit(max_train_pages).collect()
     words = sorted({w for r in rows for w in re.findall(r"[^\W\d_]{1,20}", html.unescape(r["t"]))})
     x, y, w = training_rows(words, layouts)
-    rows = spark.createDataFrame(pd.DataFrame({"x": list(x), "y": y.astype("int64"), "w": w}))
+    rows = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), w.tolist())), "x array<double>, y int, w double")
     table = rows.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), "w")
     fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, maxMemoryInMB=512, weightCol="w").fit(table)
     return Forest([_flatten(t.toDebugString) for t in fitted.trees], list(fitted.treeWeights))
