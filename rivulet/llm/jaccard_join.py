@@ -38,7 +38,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -192,10 +192,15 @@ def linked(x: Leaf, y: Leaf, percent: int) -> bool:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Token bitmap of a power-of-two width, as wide as the set is large (64 bits at least)."""
-    width = max(64, 1 << (len(shingles) - 1).bit_length())
+    """Token bitmap of a power-of-two width, half to once the set's size (64 bits at least).
+
+    It holds one fixed quarter of all shingles (by hash); a set's other shingles
+    count as excess, so the overlap bound stays an upper bound.
+    """
+    width = max(64, 1 << ((len(shingles) - 1) // 2).bit_length())
     bits = np.zeros(width, np.uint8)
-    bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
+    part = shingles[shingles >> np.uint64(40) & np.uint64(3) == 0]
+    bits[(part & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -370,27 +375,75 @@ def _verify(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
 
 # ---- the join ------------------------------------------------------------------
 
+def _size_class(n: Column) -> Column:
+    """Sizes in steps of one per cent."""
+    return F.floor(F.log(n.cast("double")) / F.lit(float(np.log(1.01)))).cast("long")
+
+
+def _fitting(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
+    """Rows (x, rid) sorted by x = block << 16 | size class << 1 | index flag: those with a partner of fitting size.
+
+    A pair fits if its classes are at most ``steps`` apart and the smaller set
+    (either, in one class) has the block's shingle in its index prefix.
+    """
+    carry = None
+    done = False
+    batches = iter(batches)
+    while not done:
+        b = next(batches, None)
+        done = b is None
+        if done:
+            if carry is None:
+                return
+            x, rid = carry
+        else:
+            x, rid = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if carry is not None:
+                x, rid = np.concatenate([carry[0], x]), np.concatenate([carry[1], rid])
+            if not len(x):
+                continue
+            end = int(np.searchsorted(x >> 16, x[-1] >> 16))  # the last block may go on in the next batch
+            carry, x, rid = (x[end:], rid[end:]), x[:end], rid[:end]
+        if not len(x):
+            continue
+        cls = x >> 1  # block and size class
+        first = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+        size = np.diff(np.r_[first, len(x)])
+        key, index = cls[first], np.maximum.reduceat(x & 1, first) == 1
+        block = key >> 15
+        more = np.zeros(len(key), bool)  # a larger class of the block fits
+        more[:-1] = (block[1:] == block[:-1]) & (key[1:] - key[:-1] <= steps)
+        last = np.maximum.accumulate(np.where(index, np.arange(len(key)), -1))  # nearest class up to this one with an index row
+        before = np.r_[-1, last[:-1]]
+        at = np.maximum(before, 0)
+        under = (before >= 0) & (block[at] == block) & (key - key[at] <= steps)
+        several = size > 1
+        whole = under | (several & index)  # every row of the class has an index partner that is not larger
+        each = np.repeat(np.arange(len(key)), size)
+        keep = whole[each] | ((x & 1 == 1) & (more | several)[each])
+        yield pa.RecordBatch.from_pydict({"token": pa.array(x[keep] >> 16), "rid": pa.array(rid[keep])})
+
+
 def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Candidate edges (a, b) from signature trees over the prefix blocks."""
+    """Candidate edges (a, b) of row ids from signature trees over the prefix blocks."""
     t = percent
-    each = nodes.select("node", "n", "ordinary", F.posexplode("prefix").alias("pos", "token"))
-    short = F.expr(f"n - ({2 * t} * n + {100 + t - 1}) div {100 + t} + 1")  # index prefix of the smaller set
-    # size and index flag share one column (2n + flag): these are the rows of the largest shuffle
-    light = each.where(F.col("pos") < F.col("ordinary")).select("token", "node", (F.col("n") * 2 + (F.col("pos") < short).cast("int")).alias("m"))
-    n, index = F.shiftright("m", 1), F.col("m") % 2 == 1
-    order = Window.partitionBy("token").orderBy(n, "node")  # one order of the sets in all blocks
-    after = F.lead(n).over(order)
-    before = F.max(F.when(index, n)).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fits = (index & (n * 100 >= after * t)) | (before * 100 >= n * t)
-    light = light.withColumn("fits", fits).where("fits").select("token", "node")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    full = light.join(nodes.select("node", "n", "bitmap"), "node").repartition(parts, "token").sortWithinPartitions("token")
-    trees = full.select("token", "node", "n", "bitmap").mapInArrow(lambda it: _candidate_links(it, t), "a long, b long")
+    each = nodes.select("rid", "n", "ordinary", F.posexplode("prefix").alias("pos", "token"))
+    short = F.expr(f"n - ({2 * t} * n + {100 + t - 1}) div {100 + t} + 1")  # index prefix of the smaller set
+    # the rows of the largest shuffle are two numbers: 48 bits of the shingle (shared ones only add candidates),
+    # 15 of the size class, the index flag; and the row id
+    x = F.shiftleft(F.col("token"), 16).bitwiseOR(F.shiftleft(_size_class(F.col("n")), 1)).bitwiseOR((F.col("pos") < short).cast("long"))
+    rows = each.where(F.col("pos") < F.col("ordinary")).select(x.alias("x"), "rid")
+    steps = int(np.ceil(np.log(100 / t) / np.log(1.01))) + 1
+    light = (rows.repartition(parts, F.shiftright("x", 16)).sortWithinPartitions("x")
+             .mapInArrow(lambda it: _fitting(it, steps), "token long, rid long"))
+    full = light.join(nodes.select("rid", "n", "bitmap"), "rid").repartition(parts, "token").sortWithinPartitions("token")
+    trees = full.select("token", F.col("rid").alias("node"), "n", "bitmap").mapInArrow(lambda it: _candidate_links(it, t), "a long, b long")
     # blocks of frequent shingles: hubs per size class; fitting sizes are in one class or in neighbours
     size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / t)))).cast("long")
-    hot = each.where(F.col("pos") >= F.col("ordinary")).select("token", "node", size.alias("class"))
-    hubs = hot.groupBy("token", "class").agg(F.min("node").alias("hub"))
-    star = hot.join(hubs, ["token", "class"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    hot = each.where(F.col("pos") >= F.col("ordinary")).select("token", "rid", size.alias("class"))
+    hubs = hot.groupBy("token", "class").agg(F.min("rid").alias("hub"))
+    star = hot.join(hubs, ["token", "class"]).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
     chain = hubs.alias("x").join(hubs.select("token", (F.col("class") - 1).alias("class"), F.col("hub").alias("next")), ["token", "class"])
     return trees.unionByName(star).unionByName(chain.select(F.col("hub").alias("a"), F.col("next").alias("b"))).where("a <> b")
 
@@ -409,9 +462,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: in
     seen = sketch.where("prefix is not null")
     twice = seen.groupBy("node").agg(F.min("rid").alias("keep"), F.count("*").alias("k")).where("k > 1").select("node", "keep")
     losers = materialize(seen.select("node", "rid").join(twice, "node").where("rid <> keep").select("rid"), "losers")
-    nodes = seen.join(losers, "rid", "left_anti").drop("rid", "doc_id")
-    near = connected_components(_candidates(nodes, percent), "candidates")
-    members = materialize(near.join(nodes.select("node", "n"), "node"), "members")
+    nodes = seen.join(losers, "rid", "left_anti").drop("doc_id")
+    near = connected_components(_candidates(nodes, percent), "candidates").withColumnRenamed("node", "rid")
+    members = materialize(near.join(nodes.select("rid", "node", "n"), "rid").drop("rid"), "members")
     labels = _components(docs, members, k, percent, chunk)
     # smallest doc_id of every component, through the (few) nodes
     first = sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
