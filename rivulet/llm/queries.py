@@ -94,6 +94,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        u AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS i FROM w),
+        v AS (SELECT doc_id, n, i, concat_ws(' ', x, lead(x) OVER p, lead(x, 2) OVER p, lead(x, 3) OVER p) AS t
+              FROM u WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+        e AS (SELECT DISTINCT doc_id, t FROM v WHERE i = 0 OR i <= n - 4),
+        s AS (SELECT doc_id, count(t) AS k FROM documents LEFT JOIN e USING (doc_id) GROUP BY doc_id),
+        f AS (SELECT * FROM e QUALIFY count(*) OVER (PARTITION BY t) > 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM f a JOIN f b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * c >= 85 * (a.k + b.k - c)),
+        r AS (SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.other)
+        SELECT doc_id, CAST(any_value(k) AS BIGINT) AS n_shingles, min(other) AS component_id
+        FROM r JOIN s USING (doc_id) GROUP BY doc_id""",
     "op3_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         k AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
