@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from rivulet.llm.common import materialize, table
+from rivulet.llm.common import materialize, table, without_ids
 
 MIN_SCORE = 0.5  # posterior of the predicted language below which a document counts as in no language
 
@@ -30,14 +30,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     documents without words are no duplicates and stay."""
     found = jaccard_join.jaccard_components(docs, k=5, percent=80)
     drop = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
+    kept = without_ids(docs, drop, "doc_id")
     twice = found.where("n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     twice = materialize(twice, "repeated")
     if twice.isEmpty():
         return kept.select(*docs.columns)
     # ids that occur on several rows: one row of each stays
     first = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, "doc_id", "left_anti").unionByName(first).select(*docs.columns)
+    return without_ids(kept, twice, "doc_id").unionByName(first.select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2. The documents with their shard and slot."""
-    return sharding.shard_documents(docs, 16, carry=docs.columns)
+    """Operator 2. The documents with their shard, 0 to 15."""
+    return sharding.assign_shards(docs, 16)
 
 
 STAGES = [

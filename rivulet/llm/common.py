@@ -44,3 +44,29 @@ def ascii_lower(c: Column) -> Column:
 
 def null_as_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
+
+
+FILTER_BITS = 27  # a broadcast id filter has at most 2^27 bits, 16 MB
+
+
+def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids`` (one column of that name), without moving most rows.
+
+    A bit filter of bounded size is broadcast; rows that miss it stay where they
+    are, only those that hit it (the ids and a few per cent more) meet ``ids`` in
+    an exact anti-join. With more ids than the filter can tell apart, more rows
+    take the join. A null key matches nothing.
+    """
+    ids = materialize(ids.select(key).where(F.col(key).isNotNull()), "ids")
+    bits = min(FILTER_BITS, max(15, (64 * ids.count()).bit_length()))
+    place = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
+    blocks = ids.select(place.alias("_at")).groupBy(F.shiftright("_at", 15).alias("_block")).agg(
+        F.bitmap_construct_agg(F.col("_at") % 32768).alias("_bits"))
+    at = F.col("_at") % 32768
+    byte = F.conv(F.hex(F.col("_bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.col("_bits").isNotNull() & (byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0)
+    marked = (df.withColumn("_at", place).withColumn("_block", F.shiftright("_at", 15))
+              .join(F.broadcast(blocks), "_block", "left").withColumn("_hit", F.coalesce(hit, F.lit(False))))
+    sure = marked.where(~F.col("_hit")).select(*df.columns)
+    rest = marked.where("_hit").select(*df.columns).join(ids, key, "left_anti")
+    return sure.unionByName(rest.select(*df.columns))

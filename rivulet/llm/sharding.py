@@ -43,11 +43,41 @@ def _running(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 def shard_documents(docs: DataFrame, n_shards: int = 16, text: str = "text", carry: Sequence[str] = (),
                     keep_groups: bool = True) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and the carried columns of every document."""
+    placed, cuts = _place(docs, n_shards, text, carry, keep_groups)
+    shard = sum((F.when(F.col("_row") >= F.lit(c), 1).otherwise(0) for c in cuts[1:]), F.lit(0))
+    first = F.element_at(F.array(*[F.lit(c).cast("long") for c in cuts]), F.col("shard") + 1)
+    out = placed.withColumn("shard", shard.cast("int"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                      (F.col("_row") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+                      *[c for c in carry if c != "doc_id"])
+
+
+def assign_shards(docs: DataFrame, n_shards: int = 16, text: str = "text", keep_groups: bool = True) -> DataFrame:
+    """``docs`` with its shard added: the same shards, found by comparing each row with the cut keys, so no text moves.
+
+    Repeated rows of one document stay together even where a cut falls between them.
+    """
+    placed, cuts = _place(docs, n_shards, text, (), keep_groups)
+    keys = {r["_row"]: (r["_g"], r["doc_id"]) for r in
+            placed.where(F.col("_row").isin(cuts[1:])).select("_row", "_g", "doc_id").collect()}  # a row per cut
+    kind = docs.schema["doc_id"].dataType
+    here = F.struct(_group(text).alias("g"), F.col("doc_id").alias("d"))
+    above = [here >= F.struct(F.lit(keys[c][0]).alias("g"), F.lit(keys[c][1]).cast(kind).alias("d")) for c in cuts[1:] if c in keys]
+    return docs.withColumn("shard", sum((F.when(a, 1).otherwise(0) for a in above), F.lit(0)).cast("int"))
+
+
+def _group(text: str):
+    """Hash that equal texts share; the order of the shards."""
+    return F.xxhash64(null_as_empty(F.col(text)))
+
+
+def _place(docs: DataFrame, n_shards: int, text: str, carry: Sequence[str], keep_groups: bool) -> tuple[DataFrame, list[int]]:
+    """(rows with their global row number and end byte, first global row of every shard)."""
     spark = docs.sparkSession
     t = null_as_empty(F.col(text))
     base = docs.select(
         "doc_id", (F.octet_length(t) + F.lit(1)).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"),
-        F.xxhash64(t).alias("_g"), *[F.col(c) for c in carry if c != "doc_id"])
+        _group(text).alias("_g"), *[F.col(c) for c in carry if c != "doc_id"])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = (base.repartitionByRange(n, "_g", "doc_id").sortWithinPartitions("_g", "doc_id")
             .withColumn("_pid", F.spark_partition_id()))
@@ -64,13 +94,7 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, text: str = "text", car
     starts = spark.createDataFrame([(p, row_at[p], byte_at[p]) for p, *_ in totals], "_pid int, row0 long, byte0 long")
     placed = ranked.join(F.broadcast(starts), "_pid").select(
         "*", (F.col("row0") + F.col("run_rows") - 1).alias("_row"), (F.col("byte0") + F.col("run_bytes")).alias("_end"))
-    cuts = _cuts(placed, total, rows, n_shards, keep_groups)
-    shard = sum((F.when(F.col("_row") >= F.lit(c), 1).otherwise(0) for c in cuts[1:]), F.lit(0))
-    first = F.element_at(F.array(*[F.lit(c).cast("long") for c in cuts]), F.col("shard") + 1)
-    out = placed.withColumn("shard", shard.cast("int"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                      (F.col("_row") - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-                      *[c for c in carry if c != "doc_id"])
+    return placed, _cuts(placed, total, rows, n_shards, keep_groups)
 
 
 def _cuts(placed: DataFrame, total: int, rows: int, n_shards: int, keep_groups: bool) -> list[int]:

@@ -53,6 +53,15 @@ def test_small_groups_of_equal_texts_stay_together(spark):
     assert all(len(s) == 1 for s in where.values())
 
 
+def test_assigned_shards_equal_the_shards(spark):
+    df = spark.createDataFrame(sharding_rows(n=300) + [(None, "no id")], "doc_id long, text string")
+    want = {(r.doc_id, r.text): r.shard for r in sharding.shard_documents(df, 16, carry=("doc_id", "text")).collect()}
+    got = sharding.assign_shards(df, 16)
+    assert got.columns == ["doc_id", "text", "shard"]
+    assert {(r.doc_id, r.text): r.shard for r in got.collect()} == want
+    assert sharding.assign_shards(df.limit(0), 16).count() == 0
+
+
 def test_sharding_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert sharding.shard_documents(empty, 16).collect() == []
@@ -242,3 +251,17 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
     text = "".join(r.choice(["ab", " cd", "  ", "\n", ", ", "12", " é", "x"]) for _ in range(5000))
     monkeypatch.setattr(token_ledger, "_PIECE", 100)
     assert token_ledger.count_tokens(text, enc) == len(enc.encode_ordinary(text))
+
+
+# ---- helper ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("bits", [3, 27])
+def test_without_ids_is_exact(spark, monkeypatch, bits):
+    from rivulet.llm import common
+
+    monkeypatch.setattr(common, "FILTER_BITS", max(bits, 15))
+    df = spark.range(5000).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    for ids in (spark.range(0, 5000, 3), spark.range(0), spark.range(4990, 9000)):
+        got = common.without_ids(df, ids.select(F.col("id").alias("doc_id")), "doc_id")
+        gone = {r.id for r in ids.collect()}
+        assert Counter(r.doc_id for r in got.collect()) == Counter(i if i % 100 else None for i in range(5000) if not (i % 100 and i in gone))
