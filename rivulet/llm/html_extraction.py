@@ -262,7 +262,10 @@ def train(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES, layouts: int
     """Fit on generated layouts filled with the words of a bounded, hash-chosen sample of pages."""
     spark: SparkSession = pages.sparkSession
     text = F.regexp_replace(F.substring(null_as_empty(F.col("html")), 1, 20000), "<[^>]*>", " ")  # filler words only
-    rows = pages.select("page_id", text.alias("t")).orderBy(F.xxhash64("page_id"), "page_id").limit(max_train_pages).collect()
+    # ids first: every task sends its few best ids, never page texts
+    ids = [r[0] for r in pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id")
+           .limit(max_train_pages).collect()]
+    rows = pages.where(F.col("page_id").isin(ids)).select("page_id", text.alias("t")).dropDuplicates(["page_id"]).collect()
     words = sorted({w for r in rows for w in re.findall(r"[^\W\d_]{1,20}", html.unescape(r["t"]))})
     x, y, w = training_rows(words, layouts)
     rows = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), w.tolist())), "x array<double>, y int, w double")

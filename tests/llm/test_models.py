@@ -133,7 +133,7 @@ def test_decontaminate_keeps_columns_and_clean_rows(spark, monkeypatch):
 
 @pytest.fixture(scope="module")
 def forest(spark):
-    return html_extraction.train(spark.read.parquet(f"{SF001}/pages.parquet"), layouts=250)
+    return html_extraction.train(spark.read.parquet(f"{SF001}/pages.parquet"))
 
 
 def truth(page):
