@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact check.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact sweep and check.
 
 Texts are words (A-Z and accented Latin-1 folded, other ASCII signs separate)
 and five-word shingles; an item with fewer words is one shingle. For an item of
@@ -11,6 +11,13 @@ all values within three bits of each of their blocks, so any fingerprint within
 within the radius are verified by the exact weighted Jaccard similarity of the
 shingle multisets (sum of minimum over sum of maximum counts).
 
+The votes are weighted by count, so one repeated shingle can carry a similar
+window outside the radius. The fingerprints alone therefore decide nothing:
+every document and item that share enough shingles are also swept, which gives
+the exact similarity of all windows from the places where each shared shingle
+enters and leaves them. No window of at least ``THRESHOLD`` is missed, whatever
+its Hamming distance.
+
 The item index is broadcast in blocks of at most ``MAX_INDEX_BYTES`` of item
 text, one pass over the documents a block; documents never move.
 
@@ -143,8 +150,12 @@ class Index:
             for d in np.unique(doc):
                 a, z = int(off[d]), int(off[d + 1])
                 places = defaultdict(list)  # item length -> anchored positions
+                shared = defaultdict(list)  # item -> positions of its shingles
                 for p in at[doc == d].tolist():
-                    for n in {self.items[i].n for i in self.owners[width][int(sh[p])]}:
+                    owners = self.owners[width][int(sh[p])]
+                    for i in owners:
+                        shared[i].append(p)
+                    for n in {self.items[i].n for i in owners}:
                         places[n].append(p)
                 best: dict[int, tuple] = {}
                 for n, ps in places.items():
@@ -156,12 +167,50 @@ class Index:
                         old = best.get(i)
                         if old is None or (-sim, dist, s) < old[:3]:
                             best[i] = (-sim, dist, s, size)
+                for i, ps in shared.items():
+                    size = min(self.items[i].n, z - a)
+                    if i in best and best[i][0] == -1:  # equal multisets have equal fingerprints
+                        continue
+                    for s, dist, sim in self._sweep(sh, np.array(ps), i, a, z, size, width):
+                        old = best.get(i)
+                        if old is None or (-sim, dist, s) < old[:3]:
+                            best[i] = (-sim, dist, s, size)
                 for i, (sim, dist, s, size) in sorted(best.items()):
                     yield int(d), i, s - a, size, dist, -sim
 
-    def _windows(self, sh, starts, size, width, length):
-        """Verified (start, item, distance, similarity) of windows, in runs of at most 2048 starts."""
-        k = size - width + 1  # shingles of a window
+    def _sweep(self, sh, ps, i, a, z, size, width):
+        """(start, distance, similarity) of the most similar windows of the text at ``a`` to ``z``, if similar enough.
+
+        Of a shingle that the item holds c times, an occurrence counts in the windows that hold it
+        but not its c-th predecessor; the sum over the occurrences is the size of the intersection.
+        """
+        it, k = self.items[i], size - width + 1
+        total = k + int(it.counts.sum())
+        if len(ps) < THRESHOLD * (total - len(ps)):
+            return
+        x = np.searchsorted(it.shingles, sh[ps])
+        order = np.argsort(x, kind="stable")
+        x, p = x[order], ps[order]
+        before = np.arange(len(p)) - it.counts[x]
+        full = (before >= 0) & (x[before] == x)
+        lo, hi = np.maximum(p - k + 1, a), np.minimum(p, z - size)
+        lo[full] = np.maximum(lo[full], p[before[full]] + 1)
+        ok = lo <= hi
+        cuts, at = np.unique(np.concatenate([lo[ok], hi[ok] + 1]), return_inverse=True)
+        n = int(ok.sum())
+        common = np.cumsum(np.bincount(at[:n], minlength=len(cuts)) - np.bincount(at[n:], minlength=len(cuts)))
+        top = int(common.max())
+        sim = top / (total - top)
+        if sim < THRESHOLD:
+            return
+        best = np.flatnonzero(common == top)  # never the last cut, where the count is 0
+        starts = np.concatenate([np.arange(cuts[c], cuts[c + 1]) for c in best.tolist()])
+        for part, prints in self._prints(sh, starts, k):
+            for s, d in zip(part.tolist(), np.bitwise_count(prints ^ it.print).sum(axis=1).tolist()):
+                yield s, d, sim
+
+    def _prints(self, sh, starts, k):
+        """(starts, fingerprints) of windows of k shingles, in runs of at most 2048 starts."""
         for c in range(0, len(starts), 2048):
             run = starts[c:c + 2048]
             cut = np.flatnonzero(np.diff(run) > k) + 1  # far apart anchors need no votes in between
@@ -169,12 +218,17 @@ class Index:
                 lo = int(part[0])
                 votes = signs(sh[lo:int(part[-1]) + k]).astype(np.int32)
                 sums = np.concatenate([np.zeros((1, 128), np.int32), np.cumsum(votes, axis=0, dtype=np.int32)])
-                prints = pack(sums[part - lo + k] - sums[part - lo])
-                for w, i, d in self.near(prints, length):
-                    s = int(part[w])
-                    sim = self.items[i].similarity(sh[s:s + k])
-                    if sim >= THRESHOLD:
-                        yield s, i, d, sim
+                yield part, pack(sums[part - lo + k] - sums[part - lo])
+
+    def _windows(self, sh, starts, size, width, length):
+        """Verified (start, item, distance, similarity) of windows whose fingerprints are near an item's."""
+        k = size - width + 1  # shingles of a window
+        for part, prints in self._prints(sh, starts, k):
+            for w, i, d in self.near(prints, length):
+                s = int(part[w])
+                sim = self.items[i].similarity(sh[s:s + k])
+                if sim >= THRESHOLD:
+                    yield s, i, d, sim
 
 
 def item_blocks(benchmark: DataFrame, limit: int = MAX_INDEX_BYTES) -> Iterator[list[tuple]]:

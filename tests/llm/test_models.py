@@ -105,6 +105,28 @@ def test_contamination_equals_brute_force(spark):
             assert abs(r.similarity - want[k]) < 1e-9 and r.hamming <= D.RADIUS
 
 
+def test_long_items_with_repeated_words_are_found(spark):
+    r = random.Random(9)
+    words = [f"word{i}" for i in range(5000)]
+    items, rows = [], []
+    for n, size in enumerate([40, 100, 150, 200, 300]):
+        v = r.choices(words, k=size)
+        items.append((n, " ".join(v)))
+        keep = size * 8 // 9 + 2
+        rows.append((n, " ".join(v[:keep] + ["rep"] * (size - keep))))  # one shingle swamps the fingerprint
+        rows.append((100 + n, " ".join(r.choices(words, k=70) + v[:keep] + ["rep"] * 300)))
+        rows.append((200 + n, " ".join(v[:size // 2] + ["rep"] * (size - size // 2))))
+    run = ["rep"] * 30
+    items.append((50, " ".join(r.choices(words, k=60) + run + r.choices(words, k=60))))
+    v = items[-1][1].split()
+    rows += [(300, " ".join(v[:75] + v[80:])), (301, " ".join(v[:70] + run[:8] + v[70:])), (302, " ".join(run * 20))]
+    text, item = dict(rows), dict(items)
+    want = {(d, i): s for d in text for i in item if (s := brute_similarity(text[d], item[i])) >= 0.8}
+    got = {(x.doc_id, x.item_id): x for x in D.find_contamination(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == set(want) and len(want) >= 10 and max(x.hamming for x in got.values()) > D.RADIUS
+    assert all(abs(x.similarity - want[k]) < 1e-9 for k, x in got.items())
+
+
 def test_multi_index_finds_every_fingerprint_within_the_radius():
     r = random.Random(4)
     index = D.Index([(i, " ".join(f"q{r.randint(0, 99)}" for _ in range(12))) for i in range(30)])
