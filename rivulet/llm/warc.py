@@ -3,9 +3,10 @@
 ``write_archives`` gives every page a record: of pages with equal payloads of
 at least ``min_revisit`` bytes the one with the smallest page_id is a
 ``response``, the others are ``revisit`` records that refer to it; all other
-pages are responses. Each task writes one archive of gzip members (one a
-record) into the shared folder and yields the index rows: file, offset, length,
-URL, digest. Archive names hold a random part, so a retried or speculative task
+pages are responses. Rows meet their role by page_id, url and payload digest,
+never by a position in a scan, so the splits of two scans may differ. Each task
+writes one archive of gzip members (one a record) into the shared folder and
+yields the index rows: file, offset, length, URL, digest. Archive names hold a random part, so a retried or speculative task
 writes another file and only the files named by the committed index count.
 
 ``read_records`` sorts selected index rows by file and offset, joins ranges
@@ -16,7 +17,8 @@ Archives are reached through ``pyarrow.fs``, which takes local, s3, gs and
 
 Defined cases: a null html is an empty payload; a null url becomes
 ``urn:page:<id>``; control characters of a url are percent-encoded; repeated
-rows of one page_id give one response and revisits that refer to the same id;
+rows of one page_id give one response, for the smallest url (null last), and
+revisits that refer to the same id; of wholly equal rows one is the response;
 null ids rank last; an empty table gives an empty index; extra columns are ignored.
 """
 
@@ -57,9 +59,9 @@ def _header_url(url: str | None, page_id) -> str:
     return "".join(c if c > " " and c != "\x7f" else quote(c) for c in url)
 
 
-def encode_record(page_id, url, kind: str, refers_to, payload: bytes, digest: str, date: str) -> bytes:
+def encode_record(page_id, url, kind: str, refers_to, payload: bytes | None, digest: str, date: str, size: int) -> bytes:
     """One gzip member holding one record. A revisit keeps the HTTP head, the digest and the length, not the payload."""
-    http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
+    http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n").encode()
     block = http + (payload if kind == "response" else b"")
     head = [_VERSION, f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {date}",
             f"WARC-Target-URI: {_header_url(url, page_id)}", f"WARC-Payload-Digest: sha256:{digest}",
@@ -103,11 +105,11 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, date: str) -> Iterator[
             for r in b.to_pylist():
                 if out is None:
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                payload = (r["html"] or "").encode()
-                member = encode_record(r["page_id"], r["url"], r["record_type"], r["refers_to"], payload, r["payload_digest"], date)
+                payload = (r["html"] or "").encode() if r["record_type"] == "response" else None
+                member = encode_record(r["page_id"], r["url"], r["record_type"], r["refers_to"], payload, r["payload_digest"], date, r["payload_bytes"])
                 out.write(member)
                 rows.append({**{k: r[k] for k in ("page_id", "url", "payload_digest", "record_type", "refers_to")},
-                             "file": name, "offset": at, "length": len(member), "payload_bytes": len(payload)})
+                             "file": name, "offset": at, "length": len(member), "payload_bytes": r["payload_bytes"]})
                 at += len(member)
             yield pa.RecordBatch.from_pylist(rows, _arrow(INDEX))
     finally:
@@ -115,19 +117,35 @@ def _write(batches: Iterator[pa.RecordBatch], root: str, date: str) -> Iterator[
             out.close()
 
 
+_ROW = ["page_id", "url", "payload_digest"]
+
+
 def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """(rid, payload_digest, record_type, refers_to) of every page; only ids and digests move."""
+    """(page_id, url, payload_digest, payload_bytes, copies, record_type, refers_to, twins): one row for all equal pages.
+
+    ``copies`` counts them. ``twins``: only one of them is the response, the others are revisits.
+    """
     html = null_as_empty(F.col("html"))
     keyed = materialize(pages.select(
-        "rid", "page_id", F.sha2(html, 256).alias("payload_digest"), F.octet_length(html).alias("n")), "warckeys")
-    rank = F.struct(F.col("page_id").isNull().alias("z"), F.col("page_id").alias("page_id"), F.col("rid").alias("rid"))
-    first = (keyed.where(F.col("n") >= min_revisit).groupBy("payload_digest")
-             .agg(F.min(rank).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies"))
-    revisit = F.col("first").isNotNull() & (F.col("first.rid") != F.col("rid"))
+        "page_id", "url", F.sha2(html, 256).alias("payload_digest"), F.octet_length(html).cast("long").alias("payload_bytes")), "warckeys")
+    rows = keyed.groupBy(*_ROW, "payload_bytes").agg(F.count("*").alias("copies"))
+    rank = F.struct(F.col("page_id").isNull().alias("z"), F.col("page_id").alias("page_id"), F.col("url").isNull().alias("u"), F.col("url").alias("url"))
+    first = (keyed.where(F.col("payload_bytes") >= min_revisit).groupBy("payload_digest")
+             .agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    winner = F.col("first.page_id").eqNullSafe(F.col("page_id")) & F.col("first.url").eqNullSafe(F.col("url"))
+    revisit = F.col("first").isNotNull() & ~winner
     # a digest with a third of all rows: the adaptive plan splits its partition of this join
-    return keyed.join(first, "payload_digest", "left").select(
-        "rid", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first.page_id")).alias("refers_to"))
+    return rows.join(first, "payload_digest", "left").select(
+        *_ROW, "payload_bytes", "copies", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("first.page_id")).alias("refers_to"),
+        (F.col("first").isNotNull() & winner & (F.col("copies") > 1)).alias("twins"))
+
+
+def _with_roles(rows: DataFrame, roles: DataFrame) -> DataFrame:
+    """Every page with the planned row of its page_id, url and digest."""
+    plan = roles.select(*[F.col(c).alias(f"_{c}") if c in _ROW else F.col(c) for c in roles.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _ROW[:2]]
+    return rows.join(plan, [F.col("payload_digest") == F.col("_payload_digest"), *same]).drop(*[f"_{c}" for c in _ROW])
 
 
 def write_archives(pages: DataFrame, root: str | None = None, min_revisit: int = MIN_REVISIT,
@@ -137,9 +155,18 @@ def write_archives(pages: DataFrame, root: str | None = None, min_revisit: int =
     root = root or shared_path(spark, "warc")
     path = spark._jvm.org.apache.hadoop.fs.Path(root)  # noqa: SLF001 - Hadoop FileSystem API
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)  # noqa: SLF001
-    rows = pages.select(F.monotonically_increasing_id().alias("rid"), F.col("page_id").cast("long"), "url", "html")
-    roles = plan_records(rows, min_revisit)
-    full = rows.join(roles, "rid").drop("rid")
+    pages = pages.select(F.col("page_id").cast("long"), "url", "html")
+    roles = materialize(plan_records(pages, min_revisit), "warcroles")
+    rows = pages.withColumn("payload_digest", F.sha2(null_as_empty(F.col("html")), 256))
+    columns = [*_ROW, "payload_bytes", "record_type", "refers_to", "html"]
+    full = _with_roles(rows, roles.where("not twins")).select(columns)
+    twins = roles.where("twins")
+    if not twins.isEmpty():
+        # equal rows are one another's twins: one text is the response, the rest need no text
+        one = _with_roles(rows, twins).groupBy(*_ROW, "payload_bytes", "record_type", "refers_to").agg(F.first("html").alias("html"))
+        rest = twins.withColumn("_i", F.explode(F.sequence(F.lit(2), F.col("copies")))).select(
+            *_ROW, "payload_bytes", F.lit("revisit").alias("record_type"), F.col("page_id").alias("refers_to"), F.lit(None).cast("string").alias("html"))
+        full = full.unionByName(one.select(columns)).unionByName(rest)
     return root, materialize(full.mapInArrow(lambda it: _write(it, root, date), INDEX), "warcindex")
 
 

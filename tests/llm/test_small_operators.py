@@ -98,6 +98,45 @@ def test_warc_round_trip(spark):
     assert raw.count(b"WARC/1.1\r\n") == len(rows)
 
 
+def test_warc_rows_keep_their_roles_when_the_splits_change(spark, scratch, monkeypatch):
+    rows = [(i, f"http://{i}", f"<p>page {i % 60}</p>" * 20) for i in range(200)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8).write.parquet(f"{scratch}/pages")
+    conf = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(conf)
+
+    def resplit(df, name, real=warc.materialize):
+        out = real(df, name)
+        if name == "warckeys":  # from now on the pages are split otherwise, as after the loss of an executor
+            spark.conf.set(conf, "200")
+        return out
+
+    monkeypatch.setattr(warc, "materialize", resplit)
+    try:
+        spark.conf.set(conf, "100m")
+        root, index = warc.write_archives(spark.read.parquet(f"{scratch}/pages"))
+        index = index.collect()
+    finally:
+        spark.conf.set(conf, old)
+    assert len(index) == 200
+    for r in index:
+        assert r.payload_digest == hashlib.sha256(rows[r.page_id][2].encode()).hexdigest() and r.url == f"http://{r.page_id}"
+        assert (r.record_type, r.refers_to) == (("response", None) if r.page_id < 60 else ("revisit", r.page_id % 60))
+    assert {bytes(r.payload) for r in warc.read_records(spark.createDataFrame(index, warc.INDEX), root).where("payload is not null").collect()} == {
+        h.encode() for _, _, h in rows}
+
+
+def test_warc_repeated_rows(spark):
+    long, other = "<p>a</p>" * 30, "<p>b</p>" * 30
+    rows = [(1, "b", long), (1, "a", long), (1, "a", long), (1, "a", long), (1, None, long), (None, "a", long), (1, "a", other),
+            (None, None, "c" * 200), (None, None, "c" * 200), (3, "s", "short"), (3, "s", "short")]
+    root, index = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = Counter((r.page_id, r.url, r.record_type, r.refers_to, bytes(r.payload or b"").decode()) for r in warc.read_records(index, root).collect())
+    anon = "urn:page:None"
+    assert got == Counter({(1, "a", "response", None, long): 1, (1, "a", "revisit", 1, ""): 2, (1, "b", "revisit", 1, ""): 1,
+                           (1, "urn:page:1", "revisit", 1, ""): 1, (None, "a", "revisit", 1, ""): 1, (1, "a", "response", None, other): 1,
+                           (None, anon, "response", None, "c" * 200): 1, (None, anon, "revisit", None, ""): 1, (3, "s", "response", None, "short"): 2})
+
+
 def test_warc_ranges_are_coalesced():
     row = lambda f, o, n: {"file": f, "offset": o, "length": n}
     rows = [row("a", 0, 10), row("a", 10, 5), row("a", 100, 5), row("a", 9000, 5), row("b", 0, 5)]
