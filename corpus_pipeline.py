@@ -18,9 +18,12 @@ MIN_SCORE = 0.5  # posterior of the predicted language below which a document co
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9. Rejects documents without a letter and those whose best language is not even likely.
 
-    The model is fitted on the labelled documents of ``docs`` itself.
+    The model is fitted on the labelled documents of ``docs`` itself. Where no language was learned (no
+    labelled document) nothing can be told about the others: only documents without a letter are rejected.
     """
     model = language_id.train(docs.select("doc_id", "lang", "text"))
+    if not model[0]:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     scored = language_id.identify(docs, model)
     return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
 

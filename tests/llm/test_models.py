@@ -322,3 +322,12 @@ def test_pipeline_stages(spark):
     ids = docs.select("doc_id", "text").distinct()
     assert ids.count() == ids.select("doc_id").distinct().count() == sizes[2] <= sizes[1] <= sizes[0]
     assert os.path.basename(P.__file__) == "corpus_pipeline.py"
+
+
+def test_language_stage_without_labels_rejects_only_texts_without_a_letter(spark):
+    import corpus_pipeline as P
+
+    rows = [(1, "Some words."), (2, "été"), (3, "漢字 1"), (4, "12 -- 3"), (5, ""), (6, None), (None, "x")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], DOCS + ", lang string")
+    out = P.language(spark, docs, SF001)
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {1, 2, 3, None}
