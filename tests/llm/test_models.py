@@ -331,3 +331,20 @@ def test_language_stage_without_labels_rejects_only_texts_without_a_letter(spark
     docs = spark.createDataFrame([(i, t, None) for i, t in rows], DOCS + ", lang string")
     out = P.language(spark, docs, SF001)
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {1, 2, 3, None}
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_component(spark):
+    import corpus_pipeline as P
+
+    r = random.Random(12)
+    text = [" ".join(f"w{r.randint(0, 999)}" for _ in range(60)) for _ in range(6)]
+    near = [t + " end" for t in text]
+    rows = [(0, text[0]), (1, near[0]), (1, text[1]), (2, text[2]), (2, text[3]), (3, near[3]),  # one id, different texts
+            (None, text[4]), (None, near[4]), (None, text[4]), (None, near[2]), (7, text[5]), (7, text[5]), (7, near[5]), (None, None), (8, ""), (8, "")]
+    out = P.near_duplicates(spark, spark.createDataFrame([(*x, "s") for x in rows], DOCS + ", source string").repartition(4), SF001)
+    assert out.columns == ["doc_id", "text", "source"]
+    got = [(x.doc_id, x.text) for x in out.collect()]
+    by = {0: {(0, text[0])}, 1: {(1, text[1])}, 2: {(2, text[2])}, 3: {(2, text[3])}, 4: {(None, text[4]), (None, near[4])}, 5: {(7, text[5]), (7, near[5])}}
+    for n, choice in by.items():
+        assert len([x for x in got if x[1] in (text[n], near[n])]) == 1 and choice & set(got)
+    assert len(got) == 9 and got.count((8, "")) == 2 and (None, None) in got
