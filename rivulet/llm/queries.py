@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, mixing, sharding, token_ledger, toxicity, warc
-from rivulet.llm.common import materialize, shared_path, table
+from rivulet.llm.common import null_as_empty, shared_path, table
 
-TOKENIZER = "byte_bpe_50k"
+TOKENIZERS = ("byte_bpe_50k", "byte_bpe_multi_50k")
 
 
 def remainder(modulus: int) -> Column:
@@ -63,18 +63,25 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after three commits: all documents inserted; the same batch delivered again (no effect);
-    every document whose text occurs more than once counted anew (retracted and added)."""
-    docs = table(spark, sf_dir, "documents")
+    """Totals of the whole table under both tokenizers, after batches that each alter them.
+
+    Batch 0 (delivered twice, the second has no effect) inserts every document, an eighth of them as a draft of
+    other text, source and lang, and for another eighth a stray copy under an id of its own. Batch 1 revises the
+    drafts to what the table says, batch 2 deletes the stray copies.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     ledger = token_ledger.TokenLedger(spark, shared_path(spark, "ledger"),
-                                      {TOKENIZER: f"{token_ledger.TOKENIZER_DIR}/{TOKENIZER}.tiktoken"})
-    everything = docs.select(F.lit("insert").alias("op"), "doc_id", "source", "lang", "text")
-    ledger.apply(0, everything)
-    ledger.apply(0, everything)
-    keyed = materialize(docs.select("doc_id", F.xxhash64("text").alias("h")), "texthash")
-    copied = keyed.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = keyed.join(copied, "h").select("doc_id").distinct()
-    ledger.apply(1, docs.join(again, "doc_id", "left_semi").select(F.lit("revise").alias("op"), "doc_id", "source", "lang", "text"))
+                                      {t: f"{token_ledger.TOKENIZER_DIR}/{t}.tiktoken" for t in TOKENIZERS})
+    draft, strayed = remainder(8) == 1, remainder(8) == 2
+    first = docs.withColumns({"source": F.when(draft, "draft").otherwise(F.col("source")), "lang": F.when(~draft, F.col("lang")),
+                              "text": F.when(draft, F.concat(F.lit("draft "), null_as_empty(F.col("text")))).otherwise(F.col("text"))})
+    stray = docs.where(strayed & F.col("doc_id").isNotNull()).withColumn("doc_id", -1 - F.col("doc_id"))
+    stray = stray.join(docs.where("doc_id < 0").select("doc_id"), "doc_id", "left_anti")  # ids of the table stay the table's
+    inserts = first.unionByName(stray).withColumn("op", F.lit("insert"))
+    ledger.apply(0, inserts)
+    ledger.apply(0, inserts)
+    ledger.apply(1, docs.where(draft).withColumn("op", F.lit("revise")))
+    ledger.apply(2, stray.withColumn("op", F.lit("delete")))
     return ledger.totals()
 
 

@@ -273,6 +273,31 @@ def test_ledger_follows_inserts_revisions_deletes_and_replays(spark):
         assert got == {(s, g, v): (n, want[s, g, v, "t"]) for (s, g, v, k), n in want.items() if k == "n"}
 
 
+def test_registered_ledger_alters_totals_and_ends_at_the_whole_table(spark, monkeypatch):
+    from conftest import SF001
+
+    from rivulet.llm.queries import QUERIES
+
+    seen, real = [], token_ledger.TokenLedger.apply
+
+    def apply(self, batch_id, changes):
+        done = real(self, batch_id, changes)
+        seen.append((done, {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in self.totals().collect()}))
+        return done
+
+    monkeypatch.setattr(token_ledger.TokenLedger, "apply", apply)
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in QUERIES["op10_token_counts"](spark, SF001).collect()}
+    want = defaultdict(lambda: (0, 0))
+    for v, path in VERSIONS.items():
+        enc = token_ledger.encoder(path)
+        for d in spark.read.parquet(f"{SF001}/documents.parquet").collect():
+            n, t = want[d.source, d.lang, v]
+            want[d.source, d.lang, v] = n + 1, t + len(enc.encode_ordinary(d.text or ""))
+    assert got == dict(want) == seen[-1][1]
+    assert [done for done, _ in seen] == [True, False, True, True]
+    assert seen[0][1] == seen[1][1] != seen[2][1] != seen[3][1]
+
+
 def test_ledger_ignores_a_batch_without_its_marker(spark):
     ledger = token_ledger.TokenLedger(spark, shared_path(spark, "ledger"), {"byte_bpe_50k": VERSIONS["byte_bpe_50k"]})
     rows = spark.createDataFrame([("insert", 1, "s", "en", "one two")], "op string, doc_id long, source string, lang string, text string")
