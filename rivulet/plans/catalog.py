@@ -150,9 +150,7 @@ def q_parse_access_log(spark, sf_dir):
 
 def q_parse_user_behavior(spark, sf_dir):
     """S3 over the whole table rendered as CSV lines (with padding spaces the parser trims)."""
-    b = _behavior(spark, sf_dir)
-    lines = b.select(F.concat_ws(", ", *[F.col(c).cast("string") for c in
-                                         ("user_id", "item_id", "category_id", "behavior", "ts")]).alias("value"))
+    lines = tables.user_behavior_lines(tables.events(spark, sf_dir))
     return parse_user_behavior(lines).rows.drop("event_time", "seq")
 
 
@@ -167,6 +165,21 @@ def q_parse_logins(spark, sf_dir):
     return jobs.epoch_ms(parse_logins(tables.login_lines(tables.events(spark, sf_dir)), seq="seq").rows, "event_time")
 
 
+def q_parse_rejects(spark, sf_dir):
+    """Lines and rejected lines of every parser: with the parsers' rows they account for each event."""
+    ev = tables.events(spark, sf_dir)
+    out = None
+    for name, parsed in (("access_log", parse_apache_log(tables.apache_log_lines(ev))),
+                         ("ad_clicks", parse_ad_clicks(tables.ad_click_lines(ev), seq="seq")),
+                         ("logins", parse_logins(tables.login_lines(ev), seq="seq")),
+                         ("user_behavior", parse_user_behavior(tables.user_behavior_lines(ev)))):
+        lines = parsed.rows.select(F.lit(0).alias("bad")).unionByName(parsed.rejects.select(F.lit(1).alias("bad")))
+        part = lines.agg(F.count("*").alias("n_lines"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_rejects")).select(
+            F.lit(name).alias("parser"), "n_lines", "n_rejects")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_views": q_page_views,
     "unique_visitors": q_unique_visitors,
@@ -190,5 +203,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_user_behavior": q_parse_user_behavior,
     "parse_ad_clicks": q_parse_ad_clicks,
     "parse_logins": q_parse_logins,
+    "parse_rejects": q_parse_rejects,
     "page_views_printed": q_page_views_printed,
 }

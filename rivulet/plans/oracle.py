@@ -141,6 +141,11 @@ FROM (SELECT epoch_us(ts) // {H_US} AS w FROM events WHERE event_type = 'view')
 SELECT user_id, {_AD_ID} AS ad_id, {_PROVINCE} AS province, {_PROVINCE} AS city, epoch_us(ts) // 1000000 AS ts,
   event_id AS seq, (epoch_us(ts) // 1000000) * 1000 AS event_time
 FROM events""",
+    "parse_rejects": f"""
+SELECT 'access_log' AS parser, count(*) AS n_lines, count(*) FILTER (WHERE ts IS NULL) AS n_rejects FROM events
+UNION ALL SELECT 'ad_clicks', count(*), count(*) FILTER (WHERE user_id IS NULL OR event_type IS NULL OR ts IS NULL) FROM events
+UNION ALL SELECT 'logins', count(*), count(*) FILTER (WHERE user_id IS NULL OR ts IS NULL) FROM events
+UNION ALL SELECT 'user_behavior', count(*), count(*) FILTER (WHERE user_id IS NULL OR {_K} IS NULL OR ts IS NULL) FROM events""",
     "parse_logins": f"""
 SELECT user_id, {_IP} AS ip, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type,
   epoch_us(ts) // 1000000 AS ts, event_id AS seq, (epoch_us(ts) // 1000000) * 1000 AS event_time

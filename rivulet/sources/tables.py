@@ -72,10 +72,10 @@ def user_behavior(ev: DataFrame, only=None) -> DataFrame:
 
 
 def _ip() -> Column:
-    """10.a.b.c from the user id (user_id >= 0)."""
+    """10.a.b.c from the user id (user_id >= 0); NULL without one."""
     return F.expr(
-        "concat_ws('.', '10', cast((user_id div 65536) % 256 AS STRING), "
-        "cast((user_id div 256) % 256 AS STRING), cast(user_id % 256 AS STRING))"
+        "concat('10.', cast((user_id div 65536) % 256 AS STRING), '.', "
+        "cast((user_id div 256) % 256 AS STRING), '.', cast(user_id % 256 AS STRING))"
     )
 
 
@@ -83,26 +83,34 @@ def _url() -> Column:
     return F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), _k().cast("string"))
 
 
+def _line(sep: str, *fields: Column) -> Column:
+    """Fields joined to a line; a NULL is an empty field, so the others keep their places."""
+    return F.concat_ws(sep, *[F.coalesce(f.cast("string"), F.lit("")) for f in fields]).alias("value")
+
+
+def user_behavior_lines(ev: DataFrame) -> DataFrame:
+    """UserBehavior rows rendered as CSV lines, with padding spaces that the parser trims."""
+    return user_behavior(ev).select(_line(", ", *map(F.col, ("user_id", "item_id", "category_id", "behavior", "ts"))))
+
+
 def apache_log_lines(ev: DataFrame) -> DataFrame:
     """Events rendered as access-log lines: 'ip user - dd/MM/yyyy:HH:mm:ss +0000 METHOD url'."""
     method = F.when(F.col("event_type").isin("purchase", "signup"), F.lit("POST")).otherwise(F.lit("GET"))
-    return ev.select(F.concat_ws(
-        " ", _ip(), F.col("user_id").cast("string"), F.lit("-"), F.date_format(_t(), LOG_TIME_FORMAT),
-        F.lit("+0000"), method, _url(),
-    ).alias("value"))
+    return ev.select(_line(
+        " ", _ip(), F.col("user_id"), F.lit("-"), F.date_format(_t(), LOG_TIME_FORMAT), F.lit("+0000"), method, _url()))
 
 
 def ad_click_lines(ev: DataFrame) -> DataFrame:
     """AdClickEvent rows rendered as CSV lines, with the tab and carriage return that the parser trims."""
     c = ad_clicks(ev)
-    return c.select(F.concat_ws(",", *[F.col(x).cast("string") for x in ("user_id", "ad_id", "province", "city")],
-                                F.concat(F.lit("\t"), F.col("ts").cast("string"), F.lit("\r"))).alias("value"), "seq")
+    return c.select(_line(",", *map(F.col, ("user_id", "ad_id", "province", "city")),
+                          F.concat(F.lit("\t"), F.col("ts").cast("string"), F.lit("\r"))), "seq")
 
 
 def login_lines(ev: DataFrame) -> DataFrame:
     """LoginEvent rows rendered as CSV lines."""
     c = logins(ev)
-    return c.select(F.concat_ws(", ", *[F.col(x).cast("string") for x in ("user_id", "ip", "event_type", "ts")]).alias("value"), "seq")
+    return c.select(_line(", ", *map(F.col, ("user_id", "ip", "event_type", "ts"))), "seq")
 
 
 def marketing(ev: DataFrame, exclude=None) -> DataFrame:
