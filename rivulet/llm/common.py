@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +39,15 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def worker_cache() -> dict:
+    """What this Python process keeps from task to task.
+
+    The package is shipped by value, so a global of its modules lives for one task (and would be shipped
+    with whatever the driver has put in it); this one belongs to the process.
+    """
+    return sys.modules.setdefault("rivulet_worker_cache", types.ModuleType("rivulet_worker_cache")).__dict__.setdefault("held", {})
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, _UPPER, _LOWER)

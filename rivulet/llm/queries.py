@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, mixing, sharding, token_ledger, toxicity, warc
+from rivulet.llm import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, mixing, sharding, token_ids, token_ledger, toxicity, warc
 from rivulet.llm.common import null_as_empty, shared_path, table
 
 TOKENIZERS = ("byte_bpe_50k", "byte_bpe_multi_50k")
@@ -85,6 +85,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, index = token_ids.write_ids(table(spark, sf_dir, "documents"))
+    return token_ids.read_ids(token_ids.starts(index), root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
+    "op11_token_ids": op11_token_ids,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
