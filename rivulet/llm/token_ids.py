@@ -1,12 +1,12 @@
 """Token ids of a corpus as Simple-8b files, written in doc_id order and read back.
 
-1. Every text is tokenised whole and packed (``simple8b``): a document is one or more blocks of at
-   most ``BLOCK`` ids, an end id after its last one. Texts are cut into pieces where this vocabulary
+1. The texts are range-partitioned and sorted by (doc_id, hash of the text, row), so a doc_id that
+   repeats without end still spreads.
+2. Each task tokenises its texts whole and packs them (``simple8b``): a document is one or more blocks
+   of at most ``BLOCK`` ids, an end id after its last one. Texts are cut into pieces where this vocabulary
    always cuts, and each distinct piece is encoded once a worker (a bounded cache); tests hold this
    against encoding whole texts. Other vocabularies need another ``Encoder``.
-2. The packed documents are range-partitioned and sorted by (doc_id, hash of their words, row), so a
-   doc_id that repeats without end still spreads, and each task appends them to one file. Only packed
-   words move, about two bytes an id.
+   The words go straight to the task's one file.
 3. A file is a head, the words of all blocks, a directory (ids, words and raw words of every block,
    blocks of every document) and a foot with the counts and the crc32 of directory and counts.
    A reader needs the foot, the directory and the byte ranges of the documents it wants.
@@ -15,7 +15,7 @@ File names hold a random part and only files named by the committed index table
 and speculative tasks do no harm. Offsets of whole files come from one row per file.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids come first; rows of one
-doc_id follow each other in the order of their words' hash; special-token strings in a text are
+doc_id follow each other in the order of their texts' hash; special-token strings in a text are
 ordinary text; an empty table gives no file and an empty result; extra columns are ignored.
 """
 
@@ -44,7 +44,6 @@ CACHE_PIECES = 1 << 20    # pieces held by a worker's cache; it is emptied beyon
 LONG_PIECE = 64           # characters; longer pieces are encoded but not looked up again
 PART_BYTES = 8 << 20      # bytes of text tokenised at once
 READ_WORDS = 1 << 20      # words read and decoded at once
-PACKED = "n_tokens long, words binary, blocks binary"
 INDEX = "file string, part int, doc long, first long, n_tokens long, word long, n_words long, block long, n_blocks long"
 _MAGIC, _VERSION = b"S8BT", 1
 _HEAD = 8
@@ -171,7 +170,7 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int) -> tuple[np.ndarra
 
 
 def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_tokens, words, blocks): each document's blocks as one run of words and (ids, words, raws) triples."""
+    """(doc_id, n_tokens, words, blocks): each document's blocks as one run of words and (ids, words, raws) triples; order is kept."""
     encode = encoder(path)
     for b in batches:
         for part in textvec.slices(b, "text", PART_BYTES):
@@ -248,12 +247,12 @@ def write_ids(docs: DataFrame, root: str | None = None, text: str = "text", path
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)  # noqa: SLF001 - Hadoop FileSystem API
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)  # noqa: SLF001
     key = dict(docs.dtypes)["doc_id"]
-    packed = docs.select("doc_id", F.col(text).alias("text")).mapInArrow(lambda it: _packed(it, path, end_id), f"doc_id {key}, {PACKED}")
     order = ["doc_id", "_hash", "_row"]
-    packed = materialize(packed.withColumns({"_hash": F.xxhash64("words"), "_row": F.monotonically_increasing_id()}), "packed-ids")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = packed.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "words", "blocks")
-    return root, materialize(rows.mapInArrow(lambda it: _write(it, root), f"doc_id {key}, {INDEX}"), "token-index")
+    rows = docs.select("doc_id", F.col(text).alias("text")).withColumns(
+        {"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})  # _row only spreads equal rows
+    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    return root, materialize(rows.mapInArrow(lambda it: _write(_packed(it, path, end_id), root), f"doc_id {key}, {INDEX}"), "token-index")
 
 
 class File:
