@@ -84,7 +84,11 @@ class Encoder:
 
     def _add(self, pieces: list[str]) -> np.ndarray:
         """Places of new pieces."""
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        # a piece of a-z only passes the normaliser and the splitter unchanged: its ids come from the merges alone
+        plain = [p.isascii() and p.isalpha() and p.islower() for p in pieces]
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, x in zip(pieces, plain) if not x], add_special_tokens=False))
+        merge = self.tokenizer.model.tokenize
+        got = [[t.id for t in merge(p)] if x else next(rest).ids for p, x in zip(pieces, plain)]
         size = np.fromiter(map(len, got), np.int64, len(got))
         total = int(size.sum())
         while self.n + total > len(self.ids):
