@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.llm import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, mixing, sharding, token_ids, token_ledger, toxicity, warc
+from rivulet.llm import (
+    decontamination, exact_dedup, hard_negatives, html_extraction, jaccard_join, language_id, mixing, phrases, sharding, token_ids, token_ledger,
+    toxicity, warc)
 from rivulet.llm.common import null_as_empty, shared_path, table
 
 TOKENIZERS = ("byte_bpe_50k", "byte_bpe_multi_50k")
@@ -90,6 +92,14 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read_ids(token_ids.starts(index), root)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.shifted_labels(table(spark, sf_dir, "embeddings")))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
@@ -102,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
     "op11_token_ids": op11_token_ids,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_phrases": op13_phrases,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,4 +145,35 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM k""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 5""",
+    "op13_phrases": f"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) r(k) WHERE len(w) >= k),
+        f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        i AS (SELECT lang, array_to_string(w[b:e], ' ') AS phrase, max(a) AS b
+              FROM (SELECT *, unnest([1, 2]) AS b, unnest([k - 1, k]) AS e FROM c WHERE k > 2) GROUP BY ALL),
+        z AS (SELECT c.*, unnest(range(1, k)) AS cut FROM c LEFT JOIN i USING (lang, phrase) WHERE i.b IS NULL OR i.b < a),
+        x AS (SELECT z.lang, z.phrase, a, l.f AS l, r.f AS r, n, cut,
+                     CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+              FROM z JOIN n USING (lang) JOIN f l ON l.lang = z.lang AND l.phrase = array_to_string(z.w[1:cut], ' ')
+              JOIN f r ON r.lang = z.lang AND r.phrase = array_to_string(z.w[cut + 1:z.k], ' ')),
+        m AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM m
+        WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000""",
 }

@@ -81,7 +81,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         i = j
 
 
-def _word_hashes(b: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _word_hashes(b: np.ndarray, first: np.ndarray, salt: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, start and end positions of the words of folded bytes; ``first`` marks where texts begin."""
     word = b != 0
     begins = word.copy()
@@ -96,7 +96,7 @@ def _word_hashes(b: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     span = np.diff(np.append(starts, len(b)))
     at = np.arange(starts[0], len(b)) - np.repeat(starts, span)
     # separators between words have value 0; their place can exceed the longest word, so clip it
-    table = multipliers(int((ends - starts).max()), 7)
+    table = multipliers(int((ends - starts).max()), salt)
     np.minimum(at, len(table) - 1, out=at)
     v = b[starts[0]:].astype(np.uint64) * table[at]
     return mix(np.add.reduceat(v, starts - starts[0]) + (ends - starts).astype(np.uint64)), starts, ends
@@ -110,8 +110,8 @@ def fold_latin1(b: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return b
 
 
-def words(column, table: np.ndarray, latin1: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, per-text offsets into them, byte starts, byte ends) of the words of every whole text."""
+def words(column, table: np.ndarray, latin1: bool = False, salt: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, per-text offsets into them, byte starts, byte ends) of the words of every whole text; another salt, other hashes."""
     raw, offsets = texts(column)
     n = len(raw)
     out_h, out_s, out_e = [], [], []
@@ -134,7 +134,7 @@ def words(column, table: np.ndarray, latin1: bool = False) -> tuple[np.ndarray,
         first = np.zeros(len(part), bool)
         cut = offsets[(offsets >= lo) & (offsets < hi)] - lo
         first[cut] = True
-        h, s, e = _word_hashes(b, first)
+        h, s, e = _word_hashes(b, first, salt)
         out_h.append(h)
         out_s.append(s + lo)
         out_e.append(e + lo)
