@@ -11,6 +11,8 @@
    reach ``least`` are ranked again and are the left sides of the next level.
    The ranked lists that tasks receive hold ``HEAD`` entries a level at most. Phrases beyond it pass a bit
    filter of at most 16 MB instead and get ids within the task: a false positive costs time, not correctness.
+   From level three on one more pass has first counted the phrases of each of 2^22 hash buckets (at most
+   4 MB a task and level): phrases of buckets below ``least`` are never sent.
 3. Scores. All parts of a frequent phrase are frequent, so both sides of every cut are in the counted
    tables; arithmetic is decimal and exact below 10^38.
 
@@ -46,6 +48,7 @@ DENSE_FROM = 1 << 15  # pairs of one tile in one flush from which it is counted
 DENSE_TILES = 8       # dense tiles a task keeps (8 MB each)
 BUFFER = 1 << 22      # pairs gathered before they are counted
 ENTRIES = 1 << 21     # distinct pairs a task holds before it sends them
+BUCKET_BITS, BUCKET_BLOCK = 22, 1 << 15
 NO_LANG = "und"
 # fixed values of the contract: what ends a piece, what separates words
 STOPS = ".,;:!?\n\x0b\x0c\r"
@@ -231,37 +234,100 @@ def stretches(part: pa.RecordBatch, table: np.ndarray, salt: int) -> tuple[np.nd
     return textvec.mix(h ^ np.repeat(keys, n)), joined
 
 
-def _level(batches: Iterator[pa.RecordBatch], k: int, salt: int, ranked: list, wanted: list) -> Iterator[pa.RecordBatch]:
+def _walk(part: pa.RecordBatch, k: int, salt: int, ids: list[Ids]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(level, codes, hashes) of the places where a phrase of 2 to ``k`` words starts whose parts of one word less are frequent.
+
+    A level without ids of its own lets all phrases pass on; codes are then empty.
+    """
+    h, joined = stretches(part, word_table(), salt)
+    word = ids[0](h, h)
+    at = np.flatnonzero(word >= 0)
+    element, name = word[at], h[at]  # of the phrase that starts at each of these places
+    for level in range(2, k + 1):
+        # places whose phrase is followed by the phrase of the next word
+        run = at[1:] == at[:-1] + 1
+        if level == 2:
+            run &= joined[at[:-1]]
+        keep = np.flatnonzero(run)
+        at, known = at[keep], level - 2 < len(ids)
+        codes = pair_keys(element[keep], word[at + level - 1]) if known else np.zeros(0, np.uint64)
+        name = phrase_hash([name[keep], h[at + level - 1]])
+        yield level, codes, name
+        if level - 1 < len(ids):
+            element = ids[level - 1](codes, name)
+            good = element >= 0
+            at, element, name = at[good], element[good], name[good]
+
+
+def _level(batches: Iterator[pa.RecordBatch], k: int, salt: int, ranked: list, wanted: list, often: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of k words whose two parts of k - 1 words are frequent: (w1 .. wk, n)."""
-    table = word_table()
     ids = [Ids(r, w) for r, w in zip(ranked, wanted)]
     tiles = Tiles()
     for b in batches:
         for part in textvec.slices(b, "text", 4 * textvec.SLICE_BYTES):
-            h, joined = stretches(part, table, salt)
-            word = ids[0](h, h)
-            at = np.flatnonzero(word >= 0)
-            element, name = word[at], h[at]  # of the phrase that starts at each of these places
-            for level in range(2, k + 1):
-                # places whose phrase is followed by the phrase of the next word
-                run = (at[1:] == at[:-1] + 1)
-                if level == 2:
-                    run &= joined[at[:-1]]
-                keep = np.flatnonzero(run)
-                left, at = element[keep], at[keep]
-                codes = pair_keys(left, word[at + level - 1])
+            for level, codes, name in _walk(part, k, salt, ids):
                 if level == k:
-                    tiles.add(codes)
-                    break
-                name = phrase_hash([name[keep], h[at + level - 1]]) if any(w is not None for w in wanted[level - 1:]) else name[keep]
-                element = ids[level - 1](codes, name)
-                good = element >= 0
-                at, element, name = at[good], element[good], name[good]
+                    tiles.add(codes if often is None else codes[often[_bucket(name)]])
         if tiles.full():
             yield from _counts(tiles, k, ids)
     yield from _counts(tiles, k, ids)
 
 
+def _bucket(name: np.ndarray) -> np.ndarray:
+    return (textvec.mix(name) >> _U(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch], longest: int, salt: int, ranked: list, wanted: list, least: int) -> Iterator[pa.RecordBatch]:
+    """(level, block, counts): how many phrases of three and more words fall into each bucket in this task, at most ``least``."""
+    ids = [Ids(r, w) for r, w in zip(ranked, wanted)]
+    total = np.zeros((longest - 2, 1 << BUCKET_BITS), np.int32)
+    for b in batches:
+        for part in textvec.slices(b, "text", 4 * textvec.SLICE_BYTES):
+            for level, _, name in _walk(part, longest, salt, ids):
+                if level > 2 and len(name):
+                    total[level - 3] = np.minimum(total[level - 3] + np.bincount(_bucket(name), minlength=1 << BUCKET_BITS), least)
+    for i, counts in enumerate(total):
+        blocks = np.flatnonzero(counts.reshape(-1, BUCKET_BLOCK).any(axis=1))
+        yield pa.RecordBatch.from_pydict({
+            "level": pa.array(np.full(len(blocks), i + 3), pa.int32()), "block": pa.array(blocks, pa.int32()),
+            "counts": pa.array([counts[j * BUCKET_BLOCK:(j + 1) * BUCKET_BLOCK].astype(_count_type(least)).tobytes() for j in blocks.tolist()], pa.binary())})
+
+
+def _count_type(least: int) -> str:
+    return "<u1" if least < 256 else "<u4"
+
+
+def _merged_counts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(level, block, bits) of rows sorted by level and block: the buckets with ``least`` phrases in all tasks together."""
+    key, total = None, None
+    done = lambda: pa.RecordBatch.from_pydict({
+        "level": pa.array([key[0]], pa.int32()), "block": pa.array([key[1]], pa.int32()), "bits": pa.array([np.packbits(total >= least).tobytes()], pa.binary())})
+    for b in batches:
+        for level, block, counts in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if key is not None and key != (level, block):
+                yield done()
+                total = None
+            key = (level, block)
+            more = np.frombuffer(counts, _count_type(least)).astype(np.int64)
+            total = more if total is None else np.minimum(total + more, least)
+    if key is not None:
+        yield done()
+
+
+def frequent_buckets(docs: DataFrame, salt: int, ranked: list, wanted: list, least: int, longest: int) -> dict[int, np.ndarray]:
+    """Per level from three: which of 2^BUCKET_BITS hash buckets hold ``least`` phrases whose pairs of words are all frequent.
+
+    A phrase of another bucket is not frequent, so its occurrences are never sent. With very many phrases all buckets fill
+    up and the filter lets everything pass; results do not depend on it.
+    """
+    rows = (docs.mapInArrow(lambda it: _bucket_counts(it, longest, salt, ranked, wanted, least), "level int, block int, counts binary")
+            .repartition("level", "block").sortWithinPartitions("level", "block"))
+    out = {k: np.zeros(1 << BUCKET_BITS, bool) for k in range(3, longest + 1)}
+    for r in rows.mapInArrow(lambda it: _merged_counts(it, least), "level int, block int, bits binary").collect():  # 2^BUCKET_BITS bits a level
+        out[r["level"]][r["block"] * BUCKET_BLOCK:(r["block"] + 1) * BUCKET_BLOCK] = np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool)
+    return out
+
+
 def _counts(tiles: Tiles, k: int, ids: list[Ids]) -> Iterator[pa.RecordBatch]:
     for codes, n in tiles.take():
         for i in range(0, len(codes), 1 << 16):
@@ -314,15 +380,17 @@ def rank(found: DataFrame, k: int, ranked: list[np.ndarray], head: int) -> tuple
 def count_phrases(docs: DataFrame, words: DataFrame, salt: int, least: int, longest: int, head: int) -> list[DataFrame]:
     """Tables (w1 .. wk, f) of the phrases of at least ``least`` occurrences, k = 1 to ``longest``."""
     levels = [words.select(F.col("h").alias("w1"), "f")]
-    ranked, wanted = [], []
+    ranked, wanted, often = [], [], {}
     for k in range(2, longest + 1):
         keys, more = rank(levels[-1], k - 1, ranked, head)
         if not len(keys) and more is None:
             break
         ranked, wanted = [*ranked, keys], [*wanted, more]
+        if k == 3:
+            often = frequent_buckets(docs, salt, ranked, wanted, least, longest)
         cols = [f"w{j + 1}" for j in range(k)]
         schema = ", ".join(f"{c} long" for c in cols) + ", n long"
-        got = docs.mapInArrow(lambda it, k=k, r=ranked, w=wanted: _level(it, k, salt, r, w), schema)
+        got = docs.mapInArrow(lambda it, k=k, r=ranked, w=wanted, o=often.get(k): _level(it, k, salt, r, w, o), schema)
         levels.append(materialize(got.groupBy(*cols).agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"phrases-{k}"))
     return levels
 

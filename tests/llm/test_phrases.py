@@ -64,7 +64,7 @@ def test_equals_brute_force(spark, head):
 
 def test_small_buffers_and_tiles(spark, monkeypatch):
     rows = corpus(2)
-    for name, value in [("TILE", 8), ("DENSE_FROM", 4), ("DENSE_TILES", 3), ("BUFFER", 50), ("ENTRIES", 20)]:
+    for name, value in [("BUCKET_BITS", 8), ("BUCKET_BLOCK", 64), ("TILE", 8), ("DENSE_FROM", 4), ("DENSE_TILES", 3), ("BUFFER", 50), ("ENTRIES", 20)]:
         monkeypatch.setattr(ph, name, value)
     assert got(spark, rows, least=10, top=2000) == brute(rows, 10, 2000)
 
