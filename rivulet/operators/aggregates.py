@@ -11,17 +11,18 @@ Distinct counting never buffers a window's rows in one place:
   of 2^29 bits would hold (collisions included).
 * sketch distinct uses mergeable HLL sketches (kilobytes per window), which
   also roll up (hours -> days) without re-reading rows.
-* running distinct (A7) is a two-level prefix sum; see ``running_distinct``.
+* running distinct (A7) is a prefix sum over parts of equal row counts; see ``running_distinct``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.hashing import poly_hash
 from rivulet.functions.timefmt import duration_ms
-from rivulet.operators.windows import _col, _key_cols, _null_safe_on, slot_index, slot_to_ts, tumbling_aggregate
+from rivulet.operators.prefix import running_sum
+from rivulet.operators.windows import _col, _key_cols, slot_index, slot_to_ts, tumbling_aggregate
 
 
 def integer_average(col_name: str) -> Column:
@@ -76,8 +77,7 @@ def sketch_rollup(sketches: DataFrame, keys, time_col: str, size, name: str = "u
     return res.withColumn(name, F.hll_sketch_estimate("sketch")).drop("sketch")
 
 
-def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, value_col,
-                     name: str = "uv", sub_window=None) -> DataFrame:
+def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, value_col, name: str = "uv") -> DataFrame:
     """For every row, the distinct values seen so far in its tumbling window.
 
     Order inside a window is (time, seq). Plan, all distributed:
@@ -85,51 +85,21 @@ def running_distinct(df: DataFrame, keys, time_col: str, seq_col: str, size, val
          (partial aggregate: a hot visitor collapses map-side);
       2. union rows (weight 0) with first sightings (weight 1, sorting just
          before their own row);
-      3. two-level prefix sum of the weights: totals per sub-window (bounded
-         count per window) give each sub-window's offset; the running sum is
-         then taken inside (window, sub-window) partitions only.
+      3. running sum of the weights over parts of equal row counts
+         (``running_sum``): a minute that holds a third of all rows is spread
+         like any other rows.
     Output: keys, seq, window_start, window_end, name.
     """
     keys = _key_cols(keys)
     size_ms = duration_ms(size)
-    sub_ms = duration_ms(sub_window) if sub_window is not None else max(size_ms // 60, 1)
-    if size_ms % sub_ms:
-        raise ValueError("sub_window must divide size")
     t = _col(time_col)
     base = df.select(*keys, slot_index(t, size_ms).alias("_win"), F.unix_micros(t).alias("_us"),
                      F.col(seq_col).alias("_seq"), _col(value_col).alias("_v"))
-    sub_us = sub_ms * 1000
-    sub_of = lambda c: ((F.col(c) - F.pmod(c, F.lit(sub_us))) / sub_us).cast("long")
     firsts = (base.where(F.col("_v").isNotNull())  # nulls are not values (as in count_distinct)
               .groupBy(*keys, "_win", "_v").agg(F.min(F.struct("_us", "_seq")).alias("_f"))
-              .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"))
-              .withColumn("_sub", sub_of("_us")))
-    # Sub-window offsets count first sightings only, so they come from `firsts` (its shuffle is
-    # reused). A sub-window holding a first sighting covers the following ones up to the next such
-    # sub-window (or the window end): rows may fall where no value is new. Only rows with null values
-    # can precede a window's first sighting; they join no offset and get 0.
-    per = size_ms // sub_ms
-    counts = firsts.groupBy(*keys, "_win", "_sub").agg(F.count(F.lit(1)).alias("_sw"))
-    ws = Window.partitionBy(*keys, "_win").orderBy("_sub")
-    covered = counts.select(
-        *keys, "_win", "_sub",
-        F.coalesce(F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_excl"),
-        F.sum("_sw").over(ws.rowsBetween(Window.unboundedPreceding, 0)).alias("_incl"),
-        F.coalesce(F.lead("_sub").over(ws), (F.col("_win") + 1) * per).alias("_nxt"),
-    )
-    subs = covered.select(*keys, "_win", "_sub", "_excl", "_incl",
-                          F.explode(F.sequence("_sub", F.col("_nxt") - 1)).alias("_s")).select(
-        *keys, "_win", F.col("_s").alias("_sub"),
-        F.when(F.col("_s") == F.col("_sub"), F.col("_excl")).otherwise(F.col("_incl")).alias("_off"))
-    rows = base.select(*keys, "_win", "_us", "_seq", sub_of("_us").alias("_sub"), F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
-    both = firsts.select(*keys, "_win", "_us", "_seq", "_sub", F.lit(1).alias("_w"), F.lit(0).alias("_kind")).unionByName(rows)
-    a, b = both.alias("a"), subs.alias("b")
-    # rows before a window's first sighting (null values) have no covered sub-window: offset 0
-    joined = a.join(b, _null_safe_on("a", "b", keys, ["_win", "_sub"]), "left").select(
-        *[F.col(f"a.{k}").alias(k) for k in keys], "a._win", "a._sub", "a._us", "a._seq", "a._w", "a._kind",
-        F.coalesce(F.col("b._off"), F.lit(0)).alias("_off"))
-    wi = Window.partitionBy(*keys, "_win", "_sub").orderBy("_us", "_seq", "_kind")
-    running = joined.withColumn("_run", F.col("_off") + F.sum("_w").over(wi.rowsBetween(Window.unboundedPreceding, 0)))
+              .select(*keys, "_win", F.col("_f._us").alias("_us"), F.col("_f._seq").alias("_seq"), F.lit(1).alias("_w"), F.lit(0).alias("_kind")))
+    rows = base.select(*keys, "_win", "_us", "_seq", F.lit(0).alias("_w"), F.lit(1).alias("_kind"))
+    running = running_sum(firsts.unionByName(rows), [*keys, "_win"], ["_us", "_seq", "_kind"], "_w", "_run")
     return running.where(F.col("_kind") == 1).select(
         *keys, F.col("_seq").alias(seq_col),
         slot_to_ts(F.col("_win"), size_ms).alias("window_start"),

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from rivulet.functions.reports import blacklist_message, login_warning_message
 from rivulet.functions.timefmt import duration_ms
 from rivulet.operators.windows import _col, _key_cols, _null_safe_on
+from rivulet.session import materialize
 
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
@@ -115,7 +116,6 @@ _RUN_BLOCK = _RUN + ["_rblk"]
 
 _EXITS_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in
                               _RUN_BLOCK + ["cand_us", "cand_seq", "exit_us", "exit_seq"]])
-_ENTRY_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in _RUN_BLOCK + ["entry_us", "entry_seq"]])
 
 
 def _complete_groups(batches, keys: list[str]):
@@ -197,32 +197,34 @@ def _block_exits(batches, w_us: int, b_us: int):
         yield out
 
 
-def _block_entries(batches):
-    """Per run, follow entry -> exit from block 0 over the candidate table (not the run's rows)."""
-    for pdf in _complete_groups(batches, _RUN):
-        gid, gs, ge = _groups(pdf, _RUN)
-        blk = pdf["_rblk"].to_numpy()
-        multi = np.maximum.reduceat(blk, gs) > 0
-        # single-block runs: the one candidate of block 0 is the entry
-        single_rows = np.flatnonzero(~multi[gid])
-        out = [pdf.iloc[single_rows][_RUN_BLOCK + ["cand_us", "cand_seq"]].rename(
-            columns={"cand_us": "entry_us", "cand_seq": "entry_seq"})]
-        rows = []
-        for g in np.flatnonzero(multi):
-            sub = pdf.iloc[gs[g]:ge[g]]
-            head = [int(sub[c].iloc[0]) for c in _RUN]
-            exits = dict(zip(zip(sub["_rblk"].tolist(), sub["cand_us"].tolist(), sub["cand_seq"].tolist()),
-                             zip(sub["exit_us"].tolist(), sub["exit_seq"].tolist())))
-            first = sub[sub["_rblk"] == 0].iloc[0]
-            b, e = 0, (int(first["cand_us"]), int(first["cand_seq"]))
-            while True:
-                rows.append(head + [b, e[0], e[1]])
-                nxt = exits.get((b, e[0], e[1]))
-                if nxt is None or pd.isna(nxt[0]):
-                    break
-                b, e = b + 1, (int(nxt[0]), int(nxt[1]))
-        out.append(pd.DataFrame(rows, columns=_ENTRY_SCHEMA.fieldNames()))
-        yield pd.concat(out, ignore_index=True).astype("int64")
+def _block_entries(exits: DataFrame) -> DataFrame:
+    """(run, block, entry) of every block that its run's chain enters, by pointer doubling.
+
+    A candidate of block b points to its exit, a candidate of block b + 1. The chain starts at block 0's one candidate.
+    Round i adds what the blocks reached so far point to over 2^i blocks and squares the pointers, so the number of rounds
+    is the logarithm of the longest run's blocks, and every round is a join of (run, block, candidate) rows: no task
+    follows a run.
+    """
+    exits = materialize(exits, "run-exits")
+    last = exits.agg(F.max("_rblk")).first()[0] or 0
+    reached = exits.where("_rblk = 0").select(*_RUN_BLOCK, F.col("cand_us").alias("entry_us"), F.col("cand_seq").alias("entry_seq"))
+    pointers = exits.where("exit_us is not null").select(
+        *_RUN_BLOCK, F.col("cand_us").alias("entry_us"), F.col("cand_seq").alias("entry_seq"),
+        (F.col("_rblk") + 1).alias("to_blk"), F.col("exit_us").alias("to_us"), F.col("exit_seq").alias("to_seq"))
+    place, target = ["_rblk", "entry_us", "entry_seq"], ["to_blk", "to_us", "to_seq"]
+    step = 1
+    while step <= last:
+        r, p = reached.alias("r"), pointers.alias("p")
+        hop = r.join(p, _null_safe_on("r", "p", _RUN, place)).select(
+            *[F.col(f"r.{c}").alias(c) for c in _RUN], *[F.col(f"p.{t}").alias(c) for c, t in zip(place, target)])
+        reached = materialize(reached.unionByName(hop), "run-entries")
+        step *= 2
+        if step <= last:
+            a, b = pointers.alias("a"), pointers.alias("b")
+            on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in _RUN] + [F.col(f"a.{t}") == F.col(f"b.{c}") for c, t in zip(place, target)]
+            pointers = materialize(a.join(b, on).select(
+                *[F.col(f"a.{c}").alias(c) for c in [*_RUN, *place]], *[F.col(f"b.{t}").alias(t) for t in target]), "run-pointers")
+    return reached
 
 
 def _block_episodes(batches, w_us: int, min_fails: int, b_us: int):
@@ -265,9 +267,9 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
     Consecutive episode starts are more than W apart and a run has no gap
     over W, so the first start inside a block of length B > 2W lies in the
     block's first 2W. Pass 1 finds, per (run, block), the exit of the chain
-    from each such candidate; a per-run walk over that candidate table (about
-    2W/B of the run's rows) fixes each block's entry; pass 2 re-walks every
-    block from its entry. Rows are split by (run, block) throughout.
+    from each such candidate; pointer doubling over those exits
+    (``_block_entries``) fixes each block's entry; pass 2 re-walks every block
+    from its entry. Rows are split by (run, block) throughout.
     """
     fails = runs.where("_fail").select(*_RUN, "_us", "_seq")
     resets = runs.where(~F.col("_fail")).groupBy(*_RUN).agg(F.min("_us").alias("_reset_us"))
@@ -282,8 +284,7 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
         return df.repartition(*_RUN_BLOCK).sortWithinPartitions(*_RUN_BLOCK, "_us", "_seq")
 
     exits = by_block(copies).mapInPandas(lambda it: _block_exits(it, w_us, b_us), schema=_EXITS_SCHEMA)
-    entries = (exits.repartition(*_RUN).sortWithinPartitions(*_RUN, "_rblk")
-               .mapInPandas(_block_entries, schema=_ENTRY_SCHEMA))
+    entries = _block_entries(exits)
     # null-safe joins infer no isnotnull filters, so this branch keeps the same plan as pass 1's and
     # shares its scan and shuffles
     c, e = copies.alias("c"), entries.alias("e")
@@ -293,32 +294,9 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
     return by_block(walked).mapInPandas(lambda it: _block_episodes(it, w_us, min_fails, b_us), schema=_EPISODE_SCHEMA)
 
 
-def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
-                        type_col: str = "event_type", fail_value: str = "fail", within="2 seconds",
-                        min_fails: int = 2, block="1 hour", run_block=None) -> DataFrame:
-    """T4: the reference's timer rule in event time, deterministic.
-
-    An episode opens at a fail t0 when none is open, holds the fails with
-    t <= t0+W, and at close warns if it holds >= ``min_fails``; any non-fail
-    at t <= t0+W cancels it.
-
-    The state is empty after any non-fail and before any fail more than W
-    after the previous row, so the input splits into independent *runs* (a
-    fail after such a break, the fails that follow within W of each other, and
-    the one non-fail that may end them). Finding runs needs each row's
-    predecessor: inside (user, hour-block) partitions by ``lag``, and for a
-    block's first row from a per-(user, block) summary of last rows - a table
-    of one row per block, so no partition ever holds a whole user.
-
-    Each run is then folded by ``_fold_runs_by_blocks``: a run (a burst of
-    fails with no W-long pause, possibly huge) is cut into blocks of
-    ``run_block`` (default max(4W, 1 hour)), and only a table of candidate
-    entries per block - not the run's rows - is followed in order. The Python
-    passes are ``mapInPandas`` over hash-partitioned, sorted data, so the
-    Python cost is per batch of rows, not per group.
-    Rows without a user or a time take no part.
-    Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count, msg.
-    """
+def _episodes(df: DataFrame, user_col: str, time_col: str, seq_col: str, type_col: str, fail_value: str, within, min_fails: int,
+              block, run_block) -> DataFrame:
+    """Uncancelled episodes of at least ``min_fails`` fails: _u, first_us, last_us, first_seq, fail_count."""
     w_us = duration_ms(within) * 1000
     b_us = duration_ms(block) * 1000
     base = df.select(F.col(user_col).alias("_u"), F.unix_micros(_col(time_col)).alias("_us"),
@@ -365,7 +343,35 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
     rb_us = (duration_ms(run_block) * 1000) if run_block is not None else max(4 * w_us, 3_600_000_000)
     if rb_us <= 2 * w_us:
         raise ValueError("run_block must be longer than twice `within`")
-    episodes = _fold_runs_by_blocks(runs, w_us, min_fails, rb_us)
+    return _fold_runs_by_blocks(runs, w_us, min_fails, rb_us)
+
+
+def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
+                        type_col: str = "event_type", fail_value: str = "fail", within="2 seconds",
+                        min_fails: int = 2, block="1 hour", run_block=None) -> DataFrame:
+    """T4: the reference's timer rule in event time, deterministic.
+
+    An episode opens at a fail t0 when none is open, holds the fails with
+    t <= t0+W, and at close warns if it holds >= ``min_fails``; any non-fail
+    at t <= t0+W cancels it.
+
+    The state is empty after any non-fail and before any fail more than W
+    after the previous row, so the input splits into independent *runs* (a
+    fail after such a break, the fails that follow within W of each other, and
+    the one non-fail that may end them). Finding runs needs each row's
+    predecessor: inside (user, hour-block) partitions by ``lag``, and for a
+    block's first row from a per-(user, block) summary of last rows - a table
+    of one row per block, so no partition ever holds a whole user.
+
+    Each run is then folded by ``_fold_runs_by_blocks``: a run (a burst of
+    fails with no W-long pause, possibly huge) is cut into blocks of
+    ``run_block`` (default max(4W, 1 hour)), whose entries are found by
+    doubling. The Python passes are ``mapInPandas`` over hash-partitioned, sorted data, so the
+    Python cost is per batch of rows, not per group.
+    Rows without a user or a time take no part.
+    Output: user, first_fail_time, last_fail_time (epoch s), first_seq, fail_count, msg.
+    """
+    episodes = _episodes(df, user_col, time_col, seq_col, type_col, fail_value, within, min_fails, block, run_block)
     return episodes.select(
         F.col("_u").alias(user_col),
         F.floor(F.col("first_us") / 1_000_000).alias("first_fail_time"),
@@ -373,3 +379,21 @@ def login_fail_episodes(df: DataFrame, user_col: str = "user_id", time_col: str
         "first_seq", "fail_count",
         login_warning_message("fail_count", within).alias("msg"),
     )
+
+
+def login_open_episodes(df: DataFrame, cut, user_col: str = "user_id", time_col: str = "event_time", seq_col: str = "seq",
+                        type_col: str = "event_type", fail_value: str = "fail", within="2 seconds") -> DataFrame:
+    """The episodes of a table of all rows before ``cut`` (a TIMESTAMP column expression) that later rows can still change:
+    user, t0, s0, n, tl (microseconds), the state a stream that goes on from ``cut`` starts with."""
+    w_us = duration_ms(within) * 1000
+    found = _episodes(df, user_col, time_col, seq_col, type_col, fail_value, within, 1, "1 hour", None)
+    return found.where(F.col("first_us") + w_us >= F.unix_micros(cut)).select(
+        F.col("_u").alias(user_col), F.col("first_us").alias("t0"), F.col("first_seq").alias("s0"), F.col("fail_count").alias("n"), F.col("last_us").alias("tl"))
+
+
+def click_cap_state(clicks: DataFrame, max_count: int = 100, keys=("user_id", "ad_id"), time_col: str = "event_time") -> DataFrame:
+    """What the click cap remembers after a table of clicks: keys, day, count, warned."""
+    us = F.unix_micros(_col(time_col))
+    day = ((us - F.pmod(us, F.lit(86_400_000_000))) / 86_400_000_000).cast("long")
+    return clicks.groupBy(*keys, day.alias("day")).agg(F.count("*").alias("_n")).select(
+        *keys, "day", F.least(F.col("_n"), F.lit(max_count + 1)).alias("count"), (F.col("_n") > max_count + 1).alias("warned"))

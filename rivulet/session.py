@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +73,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """``df`` written as a table in the shared folder and read back: cuts lineage, survives lost executors."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keyed_state(spark: SparkSession) -> None:
+    """Keyed state of ``transformWithState`` needs the RocksDB state store; sessions of other makers may lack it."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of a named streaming query under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)

@@ -19,15 +19,30 @@ from rivulet.operators.topn import top_n
 from rivulet.operators.windows import sliding_count
 from rivulet.plans.jobs import url_counts
 from rivulet.streaming.sinks import read_latest, upsert_latest
-from rivulet.streaming.stateful import CAP_OUTPUT, LOGIN_OUTPUT, ClickCapProcessor, LoginFailProcessor
+from rivulet.streaming.stateful import CAP_OUTPUT, LOGIN_OUTPUT, ClickCapProcessor, ClickCapResetProcessor, LoginFailProcessor
 
 
-def click_cap_stream(clicks: DataFrame, max_count: int = 100, watermark="0 seconds") -> DataFrame:
-    """T1 + T2 on a stream: AdClickEvent rows tagged ``kind`` = 'pass' | 'warn' (with ``msg``)."""
-    src = clicks.withWatermark("event_time", duration_str(watermark)).select(
-        "user_id", "ad_id", "province", "city", "ts", "event_time", "seq")
+_CLICK = ("user_id", "ad_id", "province", "city", "ts", "event_time", "seq")
+
+
+def click_cap_stream(clicks: DataFrame, max_count: int = 100, watermark="0 seconds", earlier: DataFrame | None = None) -> DataFrame:
+    """T1 + T2 on a stream: AdClickEvent rows tagged ``kind`` = 'pass' | 'warn' (with ``msg``).
+
+    ``earlier``: ``operators.patterns.click_cap_state`` of a table of the clicks before the stream's; the cap goes on from it.
+    """
+    src = clicks.withWatermark("event_time", duration_str(watermark)).select(*_CLICK)
     return src.groupBy("user_id", "ad_id").transformWithStateInPandas(
-        ClickCapProcessor(max_count), CAP_OUTPUT, "append", "EventTime", eventTimeColumnName="event_time")
+        ClickCapProcessor(max_count), CAP_OUTPUT, "append", "EventTime",
+        initialState=None if earlier is None else earlier.groupBy("user_id", "ad_id"), eventTimeColumnName="event_time")
+
+
+def click_cap_reset_stream(clicks: DataFrame, max_count: int = 100, reset="1 day") -> DataFrame:
+    """T1 + T2 with the reference's processing-time reset: counts start anew at each multiple of ``reset`` of the clock.
+
+    Open timers keep such a query going: run it under a processing-time trigger, not ``availableNow``.
+    """
+    return clicks.select(*_CLICK).groupBy("user_id", "ad_id").transformWithStateInPandas(
+        ClickCapResetProcessor(max_count, duration_ms(reset)), CAP_OUTPUT, "append", "ProcessingTime")
 
 
 @dataclass
@@ -60,12 +75,15 @@ def read_url_ranking(spark, path: str, top: int = 5) -> DataFrame:
 
 
 def login_fail_warnings_stream(logins: DataFrame, max_fails: int = 2, within="2 seconds",
-                               out_of_order="5 seconds") -> DataFrame:
-    """T4 on a stream (bounded out-of-orderness watermark, as the reference's 5 s)."""
+                               out_of_order="5 seconds", earlier: DataFrame | None = None) -> DataFrame:
+    """T4 on a stream (bounded out-of-orderness watermark, as the reference's 5 s).
+
+    ``earlier``: ``operators.patterns.login_open_episodes`` of a table of the rows before the stream's; those episodes go on.
+    """
     src = logins.withWatermark("event_time", duration_str(out_of_order)).select("user_id", "event_type", "event_time", "seq")
     return src.groupBy("user_id").transformWithStateInPandas(
         LoginFailProcessor(max_fails, duration_ms(within)), LOGIN_OUTPUT, "append", "EventTime",
-        eventTimeColumnName="event_time")
+        initialState=None if earlier is None else earlier.groupBy("user_id"), eventTimeColumnName="event_time")
 
 
 @dataclass

@@ -57,6 +57,15 @@ def _bases(spark: SparkSession, path: str) -> list[int]:
     return sorted(b for b in ids if fs.exists(Path(f"{path}/base={b}/batch_id={b}/_SUCCESS")))
 
 
+def batch_folders(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the complete ``batch_id=N`` folders under ``path``, in order."""
+    fs, Path = _fs(spark, path)
+    if not fs.exists(Path(path)):
+        return []
+    ids = [int(s.getPath().getName()[9:]) for s in fs.listStatus(Path(path)) if s.getPath().getName().startswith("batch_id=")]
+    return sorted(b for b in ids if fs.exists(Path(f"{path}/batch_id={b}/_SUCCESS")))
+
+
 def upsert_latest(df: DataFrame, name: str, path: str, key_cols, order_col: str,
                   output_mode: str = "update", available_now: bool = False,
                   checkpoint: str | None = None, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
@@ -109,6 +118,15 @@ def read_latest_sum(spark: SparkSession, path: str, group_cols, shard_col: str,
     return latest.groupBy(*groups).agg(F.sum(value_col).alias(value_col))
 
 
+def read_bitmap_state(spark: SparkSession, checkpoint: str, name: str = "uv") -> DataFrame:
+    """window_start, window_end, ``name``: the counts of a ``bitmap_shard_counts`` query, read from the state of its last
+    finished batch with Spark's state reader. The query may be running; nothing is written."""
+    state = spark.read.format("statestore").load(checkpoint)
+    held = state.schema["value"].dataType[0].name  # the aggregation's one buffer
+    return (state.select("key.window", F.bitmap_count(f"value.{held}").alias("_n")).groupBy("window").agg(F.sum("_n").alias(name))
+            .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), name))
+
+
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files_per_trigger: int = 1) -> DataFrame:
     """A directory as a stream of files (each file a micro-batch with ``max_files_per_trigger=1``)."""
     return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", str(max_files_per_trigger))

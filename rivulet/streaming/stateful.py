@@ -77,11 +77,14 @@ class ClickCapProcessor(StatefulProcessor):
                 warn[idx[room]] = True
                 warned = True
             self.days.updateValue((d,), (min(count + len(idx), self.max_count + 1), warned))
-        passed = pdf[keep].assign(kind="pass", msg=None)
-        warned_rows = pdf[warn].assign(kind="warn", msg=BLACKLIST_MESSAGE % self.max_count)
-        out = pd.concat([passed, warned_rows], ignore_index=True)
-        if len(out):
-            yield out[[c.split()[0] for c in CAP_OUTPUT.split(", ")]]
+        if keep.any() or warn.any():
+            yield _tagged(pdf[keep], pdf[warn], self.max_count)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """Rows of ``operators.patterns.click_cap_state``: what a table of earlier clicks left."""
+        for day, count, warned in zip(initialState["day"], initialState["count"], initialState["warned"]):
+            self.days.updateValue((int(day),), (int(count), bool(warned)))
+            self.handle.registerTimer((int(day) + 1) * DAY_MS)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         for k in [k for k in self.days.keys() if (k[0] + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs()]:
@@ -92,26 +95,94 @@ class ClickCapProcessor(StatefulProcessor):
         pass
 
 
+class ClickCapResetProcessor(StatefulProcessor):
+    """The click cap with the reference's own reset: counts run until the next reset of the processing clock.
+
+    The first click of a (user, ad) fixes its reset, the next multiple of ``reset_ms`` on the clock of the machine (UTC
+    midnight for a day). State is the count, the warned flag and that reset; a processing-time timer clears it, and its
+    time to live removes it where no timer fires any more. Rows of a micro-batch are handled before its timers, so a
+    reset that has passed is also noticed here. The result depends on when rows arrive: ``ClickCapProcessor`` is the
+    form whose result repeats.
+    """
+
+    def __init__(self, max_count: int = 100, reset_ms: int = DAY_MS):
+        self.max_count, self.reset_ms = max_count, reset_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.cap = handle.getValueState("cap", "count long, warned boolean, reset long", 2 * self.reset_ms)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        state = tuple(self.cap.get()) if self.cap.exists() else None
+        if state is None or state[2] <= now:
+            state = (0, False, (now // self.reset_ms + 1) * self.reset_ms)
+            self.handle.registerTimer(state[2])
+        count, warned, reset = state
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            pdf = pdf.sort_values(["event_time", "seq"], kind="mergesort")
+            room = max(self.max_count + 1 - count, 0)
+            yield _tagged(pdf.iloc[:room], pdf.iloc[room:room + 1] if not warned else pdf.iloc[:0], self.max_count)
+            warned = warned or len(pdf) > room
+            count = min(count + len(pdf), self.max_count + 1)
+        self.cap.update((count, warned, reset))
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.cap.exists() and self.cap.get()[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.cap.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _tagged(passed: pd.DataFrame, warned: pd.DataFrame, max_count: int) -> pd.DataFrame:
+    out = pd.concat([passed.assign(kind="pass", msg=None), warned.assign(kind="warn", msg=BLACKLIST_MESSAGE % max_count)], ignore_index=True)
+    return out[[c.split()[0] for c in CAP_OUTPUT.split(", ")]]
+
+
 class LoginFailProcessor(StatefulProcessor):
     """Per user: an episode opens at a fail t0, holds fails <= t0+W, warns at close if >= N; a non-fail cancels.
 
-    State: the rows the watermark has not passed yet, and the open episode
-    (t0, first seq, count, last fail). A timer at the earliest waiting row (or
-    at the open episode's end) folds every row at or before the watermark in
-    (event time, seq) order.
+    State: the rows the watermark has not passed yet, in map state by spans of time, and the open episode
+    (t0, first seq, count, last fail). A timer at the earliest waiting row (or at the open episode's end) folds every row
+    at or before the watermark in (event time, seq) order; it reads and rewrites only the spans that are due.
     """
 
     def __init__(self, max_fails: int = 2, within_ms: int = 2000, fail_value: str = "fail"):
         self.max_fails = max_fails
         self.w_us = within_ms * 1000
+        self.span_us = max(self.w_us, 1_000_000)
         self.fail_value = fail_value
         self.seconds = seconds_text(timedelta(milliseconds=within_ms))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, seq long, fail boolean")
+        self.waiting = handle.getMapState("waiting", "span long", "us array<long>, seq array<long>, fail array<boolean>")
+        self.spans = handle.getValueState("spans", "span array<long>")  # which spans wait
         self.state = handle.getValueState("episode", "t0 long, s0 long, n long, tl long")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """A row of ``operators.patterns.login_open_episodes``: the episode that a table of earlier rows left open."""
+        for t0, s0, n, tl in zip(*(initialState[c] for c in ("t0", "s0", "n", "tl"))):
+            self.state.update((int(t0), int(s0), int(n), int(tl)))
+            self._set_timer(None, (int(t0), int(s0), int(n), int(tl)))
+
+    def _waiting_spans(self) -> list[int]:
+        return [int(x) for x in self.spans.get()[0]] if self.spans.exists() else []
+
+    def _held(self, span: int) -> list[tuple]:
+        value = self.waiting.getValue((span,)) if self.waiting.containsKey((span,)) else None
+        return [(int(a), int(b), bool(c)) for a, b, c in zip(*value)] if value else []
+
+    def _hold(self, span: int, rows: list[tuple]) -> None:
+        self.waiting.updateValue((span,), tuple([list(x) for x in zip(*rows)]))
+
+    def _first_us(self, spans: list[int]) -> int | None:
+        return min(r[0] for r in self._held(min(spans))) if spans else None
+
     def _warning(self, user, ep, at_us: int) -> dict:
         """``at_us``: the row's event time, just after the watermark that closed the episode."""
         t0, s0, n, tl = ep
@@ -128,24 +199,30 @@ class LoginFailProcessor(StatefulProcessor):
             self.handle.registerTimer(min(due) // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        spans = self._waiting_spans()
         for pdf in rows:
             if len(pdf):
-                us = _us(pdf["event_time"])
+                us, seq = _us(pdf["event_time"]), pdf["seq"].to_numpy()
                 fail = (pdf["event_type"] == self.fail_value).to_numpy()
-                self.waiting.appendList([(int(a), int(b), bool(c)) for a, b, c in zip(us, pdf["seq"].to_numpy(), fail)])
-                first = int(us.min()) if first is None else min(first, int(us.min()))
-        if first is not None:
-            if self.waiting.exists():
-                first = min(first, min(r[0] for r in self.waiting.get()))
-            self._set_timer(first, tuple(self.state.get()) if self.state.exists() else None)
+                at = us // self.span_us
+                for span in np.unique(at).tolist():
+                    here = np.flatnonzero(at == span)
+                    new = [(int(us[i]), int(seq[i]), bool(fail[i])) for i in here]
+                    self._hold(span, (self._held(span) if span in spans else []) + new)
+                    if span not in spans:
+                        spans.append(span)
+        if spans:
+            self.spans.update((sorted(spans),))
+            self._set_timer(self._first_us(spans), tuple(self.state.get()) if self.state.exists() else None)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
+        spans = self._waiting_spans()
+        due = [s for s in spans if s * self.span_us < mark]
+        held = sorted(r for s in due for r in self._held(s))
         ready = [r for r in held if r[0] < mark]
-        rest = held[len(ready):]
+        rest = held[len(ready):]  # of the one span that the watermark is in
         user, ep, out = int(key[0]), tuple(self.state.get()) if self.state.exists() else None, []
         for us, seq, fail in ready:
             if ep is not None and us > ep[0] + self.w_us:  # the episode's window has passed: close it
@@ -160,15 +237,21 @@ class LoginFailProcessor(StatefulProcessor):
             if ep[2] >= self.max_fails:
                 out.append(self._warning(user, ep, mark + 1000))
             ep = None
+        for s in due:
+            self.waiting.removeKey((s,))
+        spans = [s for s in spans if s not in due]
         if rest:
-            self.waiting.put(rest)
-        elif held:
-            self.waiting.clear()
+            spans.insert(0, rest[0][0] // self.span_us)
+            self._hold(spans[0], rest)
+        if spans:
+            self.spans.update((spans,))
+        elif self.spans.exists():
+            self.spans.clear()
         if ep is not None:
             self.state.update(ep)
         elif self.state.exists():
             self.state.clear()
-        self._set_timer(rest[0][0] if rest else None, ep)
+        self._set_timer(self._first_us(spans), ep)
         if out:
             yield pd.DataFrame(out)
 
