@@ -14,15 +14,23 @@ words: the whole sequence as one). Documents with equal sets are one node.
    dual traversal drops node pairs whose maximum possible overlap is too small.
    Pairs that survive connect nodes into candidate components; pairs already
    connected are skipped, so a block never emits more than a forest.
+   Block sizes are counted exactly. A block of more than ``BLOCK_ROWS`` rows is
+   cut into chunks that share a few hub members. Members that are still outside
+   its main class then make finer blocks, one for each pair of its shingle and a
+   later one of the prefix, longer by one: linked sets share those too, while
+   sets that have one frequent shingle in common no longer meet. This repeats
+   (``depth``); only what is then still large is compared chunk by chunk. No task
+   holds more than about ``BLOCK_ROWS`` rows of a block (twice that in the last
+   step); chunks are cut by hash.
 3. Signature trees over each candidate component, now with the exact sets at
    the leaves: surviving pairs are verified by intersection. Components too
    large for one task are cut into chunks that share hub members; only nodes
    left outside a component's main class then meet all its chunks. No cap, no
    pair list.
 
-Blocks of the most frequent shingles (hit only by sets that consist mostly of
-such shingles) are joined through hubs per size class instead of a tree, which
-may only enlarge candidate components; step 3 stays exact.
+A set's identity is a 127-bit digest of its shingles. Shingles are 64-bit
+hashes: a pair of different shingles of two compared sets is taken for one with
+probability 2^-64, which changes their overlap by one.
 
 Defined cases: null and empty texts, and texts without words, have size 0, link
 with nothing and are their own component; repeated rows and equal texts share
@@ -49,6 +57,8 @@ from rivulet.llm.components import connected_components
 COUNTERS = 4096      # Misra-Gries counters of a task
 HEAVY = 16384        # frequent shingles that are ordered last (affects speed only)
 HEAVY_LEAST = 128    # estimated occurrences from which a shingle can be one of them
+BLOCK_ROWS = 1024    # rows of a block that one task compares
+DEPTH = 4            # shingles that name the finest blocks
 CHUNK = 4_000_000    # shingles of one step-3 task
 HUBS = 16
 FANOUT = 8
@@ -232,24 +242,35 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
 
 
-def digest(shingles: np.ndarray) -> int:
-    """Identity of a set: 63 bits of a digest of its sorted members."""
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little") >> 1
+def digest(shingles: np.ndarray) -> tuple[int, int]:
+    """Identity of a set: 63 and 64 bits of a digest of its sorted members."""
+    d = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(d[:8], "little") >> 1, int.from_bytes(d[8:], "little", signed=True)
+
+
+def depth(percent: int) -> int:
+    """Shingles that may name a block: no more than any two different linked sets share."""
+    return DEPTH if percent >= 100 else max(1, min(DEPTH, -(-percent // (100 - percent))))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], k: int, percent: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, node, prefix, ordinary, bitmap); the last three only at a node's first sight in the task."""
+    """(doc_id, n, node, proof, prefix, bitmap); the last two only at a set's first sight in the task.
+
+    The prefix is as long as the finest blocks need it.
+    """
     table = textvec.ascii_space_table()
-    seen: set[int] = set()
+    seen: set[tuple[int, int]] = set()
+    more = depth(percent)
     for b in batches:
         for part in textvec.slices(b, "text"):
-            n, node, prefix, ordinary, bits = [], [], [], [], []
+            n, node, proof, prefix, bits = [], [], [], [], []
             for s in textvec.shingle_sets(part.column("text"), table, k):
                 d = digest(s) if len(s) else None
                 n.append(len(s))
-                node.append(d)
+                node.append(d and d[0])
+                proof.append(d and d[1])
                 if d is None or d in seen:
-                    prefix.append(None), ordinary.append(None), bits.append(None)
+                    prefix.append(None), bits.append(None)
                     continue
                 if len(seen) >= _SEEN:
                     seen.clear()
@@ -259,15 +280,13 @@ def _sketches(batches: Iterator[pa.RecordBatch], k: int, percent: int, heavy: np
                     often = heavy[at] == s
                 else:
                     often = np.zeros(len(s), bool)
-                p = len(s) - -(-percent * len(s) // 100) + 1
-                order = np.concatenate([s[~often], s[often]])[:p]
-                prefix.append(order.view(np.int64))
-                ordinary.append(min(p, int((~often).sum())))
+                p = len(s) - -(-percent * len(s) // 100) + more
+                prefix.append(np.concatenate([s[~often], s[often]])[:p].view(np.int64))
                 bits.append(bitmap(s))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
-                 pa.array(ordinary, pa.int32()), pa.array(bits, pa.binary())],
-                names=["doc_id", "n", "node", "prefix", "ordinary", "bitmap"])
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(proof, pa.int64()),
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                names=["doc_id", "n", "node", "proof", "prefix", "bitmap"])
 
 
 def _filter_places(x: np.ndarray, bits: int) -> np.ndarray:
@@ -292,24 +311,23 @@ def node_filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """(node, n, shingles) of the wanted nodes, once a task."""
+    """(node, proof, shingles) of the wanted nodes, once a task."""
     table = textvec.ascii_space_table()
-    seen: set[int] = set()
+    seen: set[tuple[int, int]] = set()
     for b in batches:
         for part in textvec.slices(b, "text"):
             sets = [s for s in textvec.shingle_sets(part.column("text"), table, k) if len(s)]
-            node = np.array([digest(s) for s in sets], np.int64)
-            at = _filter_places(node, bits)
+            names = [digest(s) for s in sets]
+            at = _filter_places(np.array([d[0] for d in names], np.int64), bits)
             hit = (wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1
             out = []
             for i in np.flatnonzero(hit).tolist():
-                d = int(node[i])
-                if d not in seen:
+                if names[i] not in seen:
                     if len(seen) >= _SEEN:
                         seen.clear()
-                    seen.add(d)
+                    seen.add(names[i])
                     out.append(i)
-            yield pa.RecordBatch.from_pydict({"node": pa.array(node[out]), "n": pa.array([len(sets[i]) for i in out], pa.int64()),
+            yield pa.RecordBatch.from_pydict({"node": pa.array([names[i][0] for i in out], pa.int64()), "proof": pa.array([names[i][1] for i in out], pa.int64()),
                                               "shingles": pa.array([sets[i].tobytes() for i in out], pa.binary())})
 
 
@@ -337,10 +355,19 @@ def _edges(classes: Classes) -> Iterator[pa.RecordBatch]:
 
 
 def _candidate_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Forest of the pairs that a block's signature trees cannot exclude."""
+    """Forest of the pairs that a block's signature trees cannot exclude: within it, or of outsiders against the others."""
     classes = Classes()
-    for rows in _groups(batches, "token"):
-        traverse(build_trees([Leaf(r["node"], r["n"], r["bitmap"]) for r in rows]), None, classes, percent, lambda x, y: True)
+    for rows in _groups(batches, "block"):
+        leaves = {(r["rid"], r["outside"]): Leaf(r["rid"], r["n"], r["bitmap"]) for r in rows}
+        for r in rows:
+            if r["label"] is not None:
+                classes.join(r["rid"], r["label"])
+        inside = build_trees([x for (_, o), x in leaves.items() if not o])
+        outside = build_trees([x for (_, o), x in leaves.items() if o])
+        if outside:
+            traverse(outside, inside, classes, percent, lambda x, y: x.key != y.key)
+        else:
+            traverse(inside, None, classes, percent, lambda x, y: True)
     yield from _edges(classes)
 
 
@@ -350,11 +377,11 @@ def _true_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
     for rows in _groups(batches, "block"):
         leaves: dict[tuple, Leaf] = {}
         for r in rows:
-            if (r["node"], r["outside"]) not in leaves:
+            if (r["rid"], r["outside"]) not in leaves:
                 s = np.frombuffer(r["shingles"], np.uint64)
-                leaves[r["node"], r["outside"]] = Leaf(r["node"], r["n"], bitmap(s), s)
+                leaves[r["rid"], r["outside"]] = Leaf(r["rid"], r["n"], bitmap(s), s)
             if r["label"] is not None:
-                classes.join(r["node"], r["label"])
+                classes.join(r["rid"], r["label"])
         test = lambda x, y: x.key != y.key and linked(x, y, percent)
         if rows[0]["grid"]:
             out = [x for (_, o), x in leaves.items() if o]
@@ -366,10 +393,10 @@ def _true_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
 
 
 def _verify(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    """Verified forest edges of (node, block, outside, grid, label) rows."""
+    """Verified forest edges of (rid, node, proof, n, block, outside, grid, label) rows."""
     n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sets.join(blocks, "node").repartition(n, "block").sortWithinPartitions("block", "node")
-    return rows.select("block", "node", "n", "shingles", "outside", "grid", "label").mapInArrow(
+    rows = sets.join(blocks, ["node", "proof"]).repartition(n, "block").sortWithinPartitions("block", "rid")
+    return rows.select("block", "rid", "n", "shingles", "outside", "grid", "label").mapInArrow(
         lambda it: _true_links(it, percent), "a long, b long")
 
 
@@ -421,34 +448,113 @@ def _fitting(batches: Iterator[pa.RecordBatch], steps: int) -> Iterator[pa.Recor
         whole = under | (several & index)  # every row of the class has an index partner that is not larger
         each = np.repeat(np.arange(len(key)), size)
         keep = whole[each] | ((x & 1 == 1) & (more | several)[each])
-        yield pa.RecordBatch.from_pydict({"token": pa.array(x[keep] >> 16), "rid": pa.array(rid[keep])})
+        yield pa.RecordBatch.from_pydict({"block": pa.array(x[keep] >> 16), "rid": pa.array(rid[keep])})
+
+
+def _trees(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidate edges of (block, rid, outside, label) rows: signature trees over each block."""
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    full = rows.join(nodes.select("rid", "n", "bitmap"), "rid").repartition(parts, "block").sortWithinPartitions("block")
+    return full.select("block", "rid", "n", "bitmap", "outside", "label").mapInArrow(lambda it: _candidate_links(it, percent), "a long, b long")
+
+
+def _plain(rows: DataFrame) -> DataFrame:
+    return rows.select("block", "rid", F.lit(False).alias("outside"), F.lit(None).cast("long").alias("label"))
+
+
+def _pieces(count, rows: int) -> Column:
+    return F.ceil(F.col(count) / F.lit(rows)).cast("int")
 
 
-def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
+def _large_blocks(rows: DataFrame, large: DataFrame, nodes: DataFrame, percent: int, size: int) -> DataFrame:
+    """Candidate edges of blocks of more than ``size`` rows, by chunks that share hub members."""
+    mine = rows.join(large.select("block", _pieces("count", size).alias("chunks")), "block")
+    first = Window.partitionBy("block").orderBy(F.xxhash64("rid"), "rid")
+    hubs = mine.withColumn("r", F.row_number().over(first)).where(F.col("r") <= HUBS).select(
+        "block", "rid", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    every = mine.select("block", "rid", F.pmod(F.xxhash64("rid"), F.col("chunks")).cast("int").alias("chunk")).unionByName(hubs).distinct()
+    return _trees(_plain(every.select(F.xxhash64("block", "chunk").alias("block"), "rid")), nodes, percent)
+
+
+def _finer(open_: DataFrame, nodes: DataFrame, percent: int, level: int) -> DataFrame:
+    """Rows (block, rid, pos, label, out) of the blocks named by one shingle more than those of ``open_``."""
+    length = f"cast(least(size(prefix), n - ({percent} * n + 99) div 100 + {level + 1}) as int)"
+    spread = (open_.join(nodes.select("rid", "n", "prefix"), "rid").withColumn("length", F.expr(length)).where("pos + 1 < length")
+              .select("block", "rid", "label", "out", "pos", F.posexplode(F.expr("slice(prefix, pos + 2, length - pos - 1)")).alias("step", "token"))
+              .select(F.xxhash64("block", "token").alias("block"), "rid", (F.col("pos") + F.col("step") + 1).alias("pos"), "label", "out"))
+    # a block is of use if it holds an outsider and two classes
+    useful = spread.groupBy("block").agg(F.max("out").alias("o"), F.min("label").alias("a"), F.max("label").alias("b")).where("o and a <> b")
+    return spread.join(useful.select("block"), "block", "left_semi")
+
+
+def _candidates(nodes: DataFrame, percent: int, size: int = BLOCK_ROWS) -> DataFrame:
     """Candidate edges (a, b) of row ids from signature trees over the prefix blocks."""
     t = percent
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = nodes.select("rid", "n", "ordinary", F.posexplode("prefix").alias("pos", "token"))
+    each = nodes.select("rid", "n", F.posexplode(F.expr(f"slice(prefix, 1, cast(n - ({t} * n + 99) div 100 + 1 as int))")).alias("pos", "token"))
     short = F.expr(f"n - ({2 * t} * n + {100 + t - 1}) div {100 + t} + 1")  # index prefix of the smaller set
     # the rows of the largest shuffle are two numbers: 48 bits of the shingle (shared ones only add candidates),
     # 15 of the size class, the index flag; and the row id
     x = F.shiftleft(F.col("token"), 16).bitwiseOR(F.shiftleft(_size_class(F.col("n")), 1)).bitwiseOR((F.col("pos") < short).cast("long"))
-    rows = each.where(F.col("pos") < F.col("ordinary")).select(x.alias("x"), "rid")
+    rows = each.select(x.alias("x"), "rid")
     steps = int(np.ceil(np.log(100 / t) / np.log(1.01))) + 1
-    light = (rows.repartition(parts, F.shiftright("x", 16)).sortWithinPartitions("x")
-             .mapInArrow(lambda it: _fitting(it, steps), "token long, rid long"))
-    full = light.join(nodes.select("rid", "n", "bitmap"), "rid").repartition(parts, "token").sortWithinPartitions("token")
-    trees = full.select("token", F.col("rid").alias("node"), "n", "bitmap").mapInArrow(lambda it: _candidate_links(it, t), "a long, b long")
-    # blocks of frequent shingles: hubs per size class; fitting sizes are in one class or in neighbours
-    size = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / t)))).cast("long")
-    hot = each.where(F.col("pos") >= F.col("ordinary")).select("token", "rid", size.alias("class"))
-    hubs = hot.groupBy("token", "class").agg(F.min("rid").alias("hub"))
-    star = hot.join(hubs, ["token", "class"]).select(F.col("rid").alias("a"), F.col("hub").alias("b"))
-    chain = hubs.alias("x").join(hubs.select("token", (F.col("class") - 1).alias("class"), F.col("hub").alias("next")), ["token", "class"])
-    return trees.unionByName(star).unionByName(chain.select(F.col("hub").alias("a"), F.col("next").alias("b"))).where("a <> b")
-
-
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: int = CHUNK) -> DataFrame:
+    rows = materialize(rows.repartition(parts, F.shiftright("x", 16)).sortWithinPartitions("x")
+                       .mapInArrow(lambda it: _fitting(it, steps), "block long, rid long"), "blocks")
+    large = materialize(rows.groupBy("block").agg(F.count("*").alias("count")).where(F.col("count") > size), "large-blocks")
+    found = _trees(_plain(rows.join(large, "block", "left_anti")), nodes, t)
+    if large.isEmpty():
+        return found
+    found = materialize(found, "links-1")
+    rows = rows.join(large, "block", "left_semi")
+    # where the block's shingle stands in the row's prefix
+    at = F.expr("array_position(transform(prefix, x -> shiftright(shiftleft(x, 16), 16)), block) - 1").cast("int")
+    rows = materialize(rows.join(nodes.select("rid", "prefix"), "rid").select("block", "rid", at.alias("pos")), "blocks-1")
+    for level in range(1, depth(t) + 1):
+        found = materialize(found.unionByName(_large_blocks(rows, large, nodes, t, size)), f"links-{level}")
+        open_ = _open_blocks(rows, found)
+        if open_.isEmpty():
+            return found
+        if level == depth(t):
+            return found.unionByName(_last_blocks(open_, nodes, t, size))
+        rows = materialize(_finer(open_, nodes, t, level), f"blocks-{level + 1}")
+        large = materialize(rows.groupBy("block").agg(F.count("*").alias("count")).where(F.col("count") > size), "large-blocks")
+        small = rows.join(large, "block", "left_anti").select("block", "rid", F.lit(False).alias("outside"), "label")
+        found = materialize(found.unionByName(_trees(small, nodes, t)), f"links-{level}s")
+        rows = materialize(rows.join(large, "block", "left_semi").select("block", "rid", "pos"), f"blocks-{level + 1}l")
+        if large.isEmpty():
+            return found
+    return found
+
+
+def _open_blocks(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of blocks that are not one class yet, with their class; ``out``: outside the block's largest class."""
+    labels = connected_components(found, "open").withColumnRenamed("node", "rid").withColumnRenamed("component", "label")
+    put = materialize(rows.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "open-blocks")
+    count = put.groupBy("block", "label").agg(F.count("*").alias("k"))
+    main = count.groupBy("block").agg(F.max(F.struct("k", "label")).alias("m"), F.count("*").alias("classes")).where("classes > 1")
+    return put.join(main.select("block", F.col("m.label").alias("main")), "block").select(
+        "block", "rid", "pos", "label", (F.col("label") != F.col("main")).alias("out"))
+
+
+def _last_blocks(open_: DataFrame, nodes: DataFrame, percent: int, size: int) -> DataFrame:
+    """Candidate edges of the outsiders of each block against all of it, chunk by chunk."""
+    open_ = materialize(open_, "last-blocks")
+    parts = open_.groupBy("block").agg(_sum_if("out").alias("o"), F.count("*").alias("count")).select(
+        "block", _pieces("o", size).alias("across"), _pieces("count", size).alias("down"))
+    put = open_.join(parts, "block")
+    name = F.xxhash64("block", "i", "j").alias("block")
+    outer = put.where("out").select("block", "rid", "label", F.pmod(F.xxhash64("rid", F.lit(2)), F.col("across")).alias("i"),
+                                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("down").cast("long") - 1)).alias("j")).select(name, "rid", F.lit(True).alias("outside"), "label")
+    inner = put.select("block", "rid", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("across").cast("long") - 1)).alias("i"),
+                       F.pmod(F.xxhash64("rid"), F.col("down")).alias("j")).select(name, "rid", F.lit(False).alias("outside"), "label")
+    return _trees(outer.unionByName(inner), nodes, percent)
+
+
+def _sum_if(flag: str) -> Column:
+    return F.sum(F.col(flag).cast("int"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: int = CHUNK, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -456,54 +562,58 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: in
     key = dict(docs.dtypes)["doc_id"]
     sketch = materialize(docs.mapInArrow(
         lambda it: _sketches(it, k, percent, heavy),
-        f"doc_id {key}, n long, node long, prefix array<long>, ordinary int, bitmap binary")
+        f"doc_id {key}, n long, node long, proof long, prefix array<long>, bitmap binary")
         .withColumn("rid", F.monotonically_increasing_id()), "sketches")
     # a node that several tasks saw first: one of its rows stays (only ids move)
     seen = sketch.where("prefix is not null")
-    twice = seen.groupBy("node").agg(F.min("rid").alias("keep"), F.count("*").alias("k")).where("k > 1").select("node", "keep")
-    losers = materialize(seen.select("node", "rid").join(twice, "node").where("rid <> keep").select("rid"), "losers")
+    name = ["node", "proof"]
+    twice = seen.groupBy(*name).agg(F.min("rid").alias("keep"), F.count("*").alias("k")).where("k > 1").select(*name, "keep")
+    losers = materialize(seen.select(*name, "rid").join(twice, name).where("rid <> keep").select("rid"), "losers")
     nodes = seen.join(losers, "rid", "left_anti").drop("doc_id")
-    near = connected_components(_candidates(nodes, percent), "candidates").withColumnRenamed("node", "rid")
-    members = materialize(near.join(nodes.select("rid", "node", "n"), "rid").drop("rid"), "members")
+    near = connected_components(_candidates(nodes, percent, block_rows), "candidates").withColumnRenamed("node", "rid")
+    members = materialize(near.join(nodes.select("rid", *name, "n"), "rid"), "members")
     labels = _components(docs, members, k, percent, chunk)
     # smallest doc_id of every component, through the (few) nodes
-    first = sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    named = first.join(labels, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    ids = named.join(named.groupBy("c").agg(F.min("low").alias("component_id")), "c").select("node", "component_id")
-    return sketch.select("doc_id", "n", "node").join(ids, "node", "left").select(
+    first = sketch.where("node is not null").groupBy(*name).agg(F.min("doc_id").alias("low"))
+    named = first.join(members.select(*name, "rid").join(labels, "rid").select(*name, "component"), name, "left")
+    least = named.where("component is not null").groupBy("component").agg(F.min("low").alias("least"))
+    ids = named.join(least, "component", "left").select(*name, F.coalesce("least", "low").alias("component_id"))
+    return sketch.select("doc_id", "n", *name).join(ids, name, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _components(docs: DataFrame, members: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
-    """(node, component) of the verified links among candidate components."""
+    """(rid, component) of the verified links among candidate components."""
     wanted, bits = node_filter(members)
-    sets = docs.select("text").mapInArrow(lambda it: _sets(it, k, wanted, bits), "node long, n long, shingles binary")
+    sets = docs.select("text").mapInArrow(lambda it: _sets(it, k, wanted, bits), "node long, proof long, shingles binary")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / chunk).cast("int").alias("chunks"))
     rows = materialize(members.join(sizes, "component"), "chunks")
     large = rows.where("chunks > 1")
-    plain = lambda df: df.select("node", "block", F.lit(False).alias("outside"), F.lit(False).alias("grid"), F.lit(None).cast("long").alias("label"))
-    own = rows.select("node", F.concat_ws("/", "component", F.pmod(F.xxhash64("node"), F.col("chunks"))).alias("block"))
+    who = ["rid", "node", "proof", "n"]
+    plain = lambda df: df.select(*who, "block", F.lit(False).alias("outside"), F.lit(False).alias("grid"), F.lit(None).cast("long").alias("label"))
+    own = rows.select(*who, F.concat_ws("/", "component", F.pmod(F.xxhash64("rid"), F.col("chunks"))).alias("block"))
+    done = lambda edges: connected_components(edges, "links").withColumnRenamed("node", "rid")
     if large.isEmpty():
-        return connected_components(_verify(sets, plain(own), percent), "links")
+        return done(_verify(sets, plain(own), percent))
     sets = materialize(sets, "sets")  # read in two rounds
     # hubs: the members with the smallest hashes of a large component meet every chunk
-    rank = Window.partitionBy("component").orderBy("node")
+    rank = Window.partitionBy("component").orderBy("node", "proof")
     hubs = (large.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= HUBS)
-            .select("node", "component", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
-            .select("node", F.concat_ws("/", "component", "c").alias("block")))
+            .select(*who, "component", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("c"))
+            .select(*who, F.concat_ws("/", "component", "c").alias("block")))
     edges = materialize(_verify(sets, plain(own.unionByName(hubs).distinct()), percent), "links1")
-    labels = connected_components(edges, "links1").withColumnRenamed("component", "label")
+    labels = connected_components(edges, "links1").withColumnRenamed("component", "label").withColumnRenamed("node", "rid")
     # what is outside the main class of a large component meets all its chunks
-    put = materialize(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    put = materialize(large.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "labelled")
     count = put.groupBy("component", "label").agg(F.count("*").alias("size"))
     main = count.groupBy("component").agg(F.max(F.struct("size", "label")).alias("m")).select("component", F.col("m.label").alias("main"))
     put = put.join(main, "component")
     out = put.where("label <> main")
     parts = out.groupBy("component").agg(F.ceil(F.sum("n") / chunk).cast("int").alias("parts"))
     grid = put.join(parts, "component")
-    mine = F.pmod(F.xxhash64("node", F.lit(2)), F.col("parts"))
-    outer = grid.where("label <> main").select("node", "component", "label", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), F.lit(True).alias("outside"))
-    inner = grid.select("node", "component", "label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(F.xxhash64("node"), F.col("chunks")).alias("j"), F.lit(False).alias("outside"))
+    mine = F.pmod(F.xxhash64("rid", F.lit(2)), F.col("parts"))
+    outer = grid.where("label <> main").select(*who, "component", "label", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), F.lit(True).alias("outside"))
+    inner = grid.select(*who, "component", "label", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.pmod(F.xxhash64("rid"), F.col("chunks")).alias("j"), F.lit(False).alias("outside"))
     blocks = outer.unionByName(inner.select(outer.columns)).select(
-        "node", F.concat_ws("/", "component", "i", "j").alias("block"), "outside", F.lit(True).alias("grid"), "label")
-    return connected_components(edges.unionByName(_verify(sets, blocks, percent)), "links")
+        *who, F.concat_ws("/", "component", "i", "j").alias("block"), "outside", F.lit(True).alias("grid"), "label")
+    return done(edges.unionByName(_verify(sets, blocks, percent)))
