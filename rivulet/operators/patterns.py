@@ -271,6 +271,7 @@ def _fold_runs_by_blocks(runs: DataFrame, w_us: int, min_fails: int, b_us: int)
     (``_block_entries``) fixes each block's entry; pass 2 re-walks every block
     from its entry. Rows are split by (run, block) throughout.
     """
+    runs = materialize(runs, "runs")  # both passes read them
     fails = runs.where("_fail").select(*_RUN, "_us", "_seq")
     resets = runs.where(~F.col("_fail")).groupBy(*_RUN).agg(F.min("_us").alias("_reset_us"))
     off = F.col("_us") - F.col("_run_us")

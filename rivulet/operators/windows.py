@@ -12,8 +12,8 @@ Sliding windows have three plans, picked by ``method``:
 ``pane``    count per slide-wide pane first (partial + final aggregate, so a
             hot key collapses map-side), partition the panes by key, and only
             behind that exchange spread each pane over the size/slide windows
-            that contain it and add. The default of tables for small ratios
-            (the 12x windows of hot items / hot URLs). Works on streams (two
+            that contain it and add. For tables with many rows a pane and key;
+            a key's whole history is then one partition. Works on streams (two
             chained windowed aggregations in append mode).
 
 ``delta``   A window count is a step function of the window end:
@@ -21,7 +21,8 @@ Sliding windows have three plans, picked by ``method``:
             ``p+1+size/slide``. Aggregate the +/- deltas per (key, slot), take
             a running sum, and expand each constant segment into its slots.
             Work is O(panes + output rows) instead of O(panes * size/slide),
-            which is what makes the 360x / 720x windows cheap. The running sum
+            which is what makes the 360x / 720x windows cheap; the default of
+            tables at every ratio. The running sum
             is two-level (per block of slots, then within a block), so a single
             key - the global windows of the marketing job - is still spread
             over many tasks. On streams the same idea runs as a keyed
@@ -89,7 +90,7 @@ def sliding_count(df: DataFrame, keys, time_col: str, size, slide, method: str =
         if df.isStreaming:
             method = "direct" if ratio <= DIRECT_MAX_RATIO else "delta"
         else:
-            method = "pane" if ratio <= DIRECT_MAX_RATIO else "delta"
+            method = "delta"
     if window_struct and method not in ("direct", "pane"):
         raise ValueError("window_struct needs the 'direct' or 'pane' method")
     if method == "direct":
