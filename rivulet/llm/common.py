@@ -57,6 +57,14 @@ def null_as_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first ``name_``, ``name__`` ... that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 FILTER_BITS = 27  # a broadcast id filter has at most 2^27 bits, 16 MB
 
 
@@ -71,13 +79,14 @@ def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     ids = materialize(ids.select(key).where(F.col(key).isNotNull()), "ids")
     bits = min(FILTER_BITS, max(15, (64 * ids.count()).bit_length()))
     place = F.shiftrightunsigned(F.xxhash64(key), 64 - bits)
-    blocks = ids.select(place.alias("_at")).groupBy(F.shiftright("_at", 15).alias("_block")).agg(
-        F.bitmap_construct_agg(F.col("_at") % 32768).alias("_bits"))
-    at = F.col("_at") % 32768
-    byte = F.conv(F.hex(F.col("_bits").substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.col("_bits").isNotNull() & (byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0)
-    marked = (df.withColumn("_at", place).withColumn("_block", F.shiftright("_at", 15))
-              .join(F.broadcast(blocks), "_block", "left").withColumn("_hit", F.coalesce(hit, F.lit(False))))
-    sure = marked.where(~F.col("_hit")).select(*df.columns)
-    rest = marked.where("_hit").select(*df.columns).join(ids, key, "left_anti")
+    at_, block_, bits_, hit_ = (free_name(df, n) for n in ("_at", "_block", "_bits", "_hit"))
+    blocks = ids.select(place.alias(at_)).groupBy(F.shiftright(at_, 15).alias(block_)).agg(
+        F.bitmap_construct_agg(F.col(at_) % 32768).alias(bits_))
+    at = F.col(at_) % 32768
+    byte = F.conv(F.hex(F.col(bits_).substr((at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.col(bits_).isNotNull() & (byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0)
+    marked = (df.withColumn(at_, place).withColumn(block_, F.shiftright(at_, 15))
+              .join(F.broadcast(blocks), block_, "left").withColumn(hit_, F.coalesce(hit, F.lit(False))))
+    sure = marked.where(~F.col(hit_)).select(*df.columns)
+    rest = marked.where(hit_).select(*df.columns).join(ids, key, "left_anti")
     return sure.unionByName(rest.select(*df.columns))

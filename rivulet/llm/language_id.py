@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rivulet.llm import textvec
-from rivulet.llm.common import bound_batches, materialize
+from rivulet.llm.common import bound_batches, materialize, worker_cache
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_TRAIN_DOCS = 1500   # labelled documents per language that the classifier is fitted on
@@ -241,11 +241,11 @@ def train(labelled: DataFrame, path: str = PIECES, max_train_docs: int = MAX_TRA
     spark = labelled.sparkSession
     bound_batches(spark)
     labelled = labelled.where("lang is not null and text is not null")
-    # per language the rows with the smallest hashes: a share just above the bound by counts, then exactly the bound,
-    # so no task ranks a whole language
+    # per language the rows with the smallest hashes: a share just above the bound by counts (a row a language, broadcast, as
+    # the model holds every language anyway), then exactly the bound, so no task reads or ranks a whole language
     keys = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
     share = keys.groupBy("lang").agg((F.lit(1.2 * max_train_docs + 50) / F.count("*")).alias("share"))
-    few = keys.join(share, "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.col("share"))
+    few = keys.join(F.broadcast(share), "lang").where((F.col("h") / F.lit(2.0 ** 64) + 0.5) < F.col("share"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= max_train_docs).select("doc_id", "lang").distinct()
     # at most max_train_docs rows a language: bounded, so broadcast
@@ -294,14 +294,12 @@ class Scorer:
         return out
 
 
-_SCORER: list = []
-
-
 def scorer(path: str, probs: np.ndarray) -> Scorer:
     """This worker's scorer; its cache outlives a task as long as the model stays the same."""
-    if not _SCORER or _SCORER[0] != path or not np.array_equal(_SCORER[1].probs, probs):
-        _SCORER[:] = [path, Scorer(path, probs)]
-    return _SCORER[1]
+    held = worker_cache().get("language", (None, None))
+    if held[0] != path or not np.array_equal(held[1].probs, probs):
+        held = worker_cache()["language"] = (path, Scorer(path, probs))
+    return held[1]
 
 
 def score_batch(column, words_of: Scorer, langs: list[str]) -> tuple[list[str], np.ndarray]:
@@ -328,18 +326,19 @@ def score_batch(column, words_of: Scorer, langs: list[str]) -> tuple[list[str],
     return pred, score
 
 
-def _score(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], probs: np.ndarray, text: str) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], probs: np.ndarray, text: str, names) -> Iterator[pa.RecordBatch]:
     words_of = scorer(path, probs) if langs else None
     for b in batches:
         for part in textvec.slices(b, text):
             pred, score = score_batch(part.column(text), words_of, langs)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                                             names=[*part.schema.names, "lang_pred", "score"])
+                                             names=[*part.schema.names, *names])
 
 
-def identify(docs: DataFrame, model: tuple, text: str = "text", path: str = PIECES) -> DataFrame:
-    """``docs`` with lang_pred and score added (columns of those names must not exist in ``docs``)."""
+def identify(docs: DataFrame, model: tuple, text: str = "text", path: str = PIECES, names=("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the columns ``names``, prediction and posterior, added; columns of those names are replaced."""
     bound_batches(docs.sparkSession)
     langs, probs = model
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(lambda it: _score(it, path, langs, probs, text), schema)
+    docs = docs.drop(*(n for n in names if n != text))
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.mapInArrow(lambda it: _score(it, path, langs, probs, text, names), schema)
