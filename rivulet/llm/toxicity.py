@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 A text is folded (A-Z and accented Latin-1 lowered, every run of other ASCII
-signs one space) and its n-grams of 3 to 6 bytes are hashed to 2^22 buckets. On
+signs one space) and its n-grams of 3 to 6 characters are hashed to 2^22 buckets. On
 at most ``max_train_docs`` labelled documents, chosen by a hash of doc_id (the
 classifier's documented bound), Spark counts in how many documents of either
 class a bucket occurs. The buckets whose smoothed log-count ratio r is large and
@@ -13,7 +13,8 @@ Scoring reads every n-gram of every whole text in one vectorised pass.
 
 Defined cases: null and empty texts score like a text without any feature;
 repeated rows score equally; a document with several labels counts as toxic if
-one of them is; without labelled rows of both classes the score is the share of
+one of them is, and of several labelled rows with one id the one with the
+smallest text hash is read; without labelled rows of both classes the score is the share of
 label 1 (0 without rows); extra columns are kept by ``score``.
 """
 
@@ -60,7 +61,10 @@ def fold(part) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(b: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per order: (bucket of the n-gram at each position, text of the position); n-grams across texts are left out."""
+    """Per order: (bucket of the n-gram at each character, text of the character); n-grams across texts are left out."""
+    first = (b & 0xC0) != 0x80  # where UTF-8 characters begin
+    off = np.concatenate([[0], np.cumsum(first)])[off]
+    b = b if first.all() else np.frombuffer(b.tobytes().decode().encode("utf-32-le"), np.uint32)
     c = b.astype(np.uint64) + np.uint64(1)
     text = np.repeat(np.arange(len(off) - 1), np.diff(off))
     h = np.zeros(len(b), np.uint64)
@@ -126,9 +130,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train_docs: int = MAX_TRAIN_DO
     bound_batches(docs.sparkSession)
     picked = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train_docs))
-    # at most max_train_docs rows: bounded, so broadcast; documents repeated under one id count each
+    # at most max_train_docs rows: bounded, so broadcast; one row of each id, however often it repeats
     spark = docs.sparkSession
-    rows = materialize(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("y", "text")
+    rows = docs.select("doc_id", F.struct(F.xxhash64("text").alias("h"), F.col("text").alias("text")).alias("t")).join(F.broadcast(picked), "doc_id")
+    rows = materialize(rows.groupBy("doc_id").agg(F.min("t").alias("t"), F.first("y").alias("y")).select("y", "t.text")
                        .repartition(spark.sparkContext.defaultParallelism), "toxtrain")
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     neg, pos = n.get(0, 0), n.get(1, 0)
@@ -163,8 +168,9 @@ def _score(batches: Iterator[pa.RecordBatch], slot, weights, bias, threshold, te
 
 
 def score(docs: DataFrame, model: tuple, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with score and predicted added (columns of those names must not exist in ``docs``)."""
+    """``docs`` with score and predicted added; columns of those names are replaced."""
     bound_batches(docs.sparkSession)
     slot, weights, bias = model
+    docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return docs.mapInArrow(lambda it: _score(it, slot, weights, bias, threshold, text), schema)
