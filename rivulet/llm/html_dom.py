@@ -1,7 +1,10 @@
 """A small DOM of block elements for main-text extraction: parse, node features, text runs.
 
 Only block elements become nodes; inline markup vanishes, its text belongs to
-the block around it. Never-visible elements and form controls leave no text.
+the block around it, formulas (MathML) included. Elements that a browser does
+not show (``hidden``, ``display:none``, ``noscript`` where scripts run), drawings
+and form controls leave no text; ``aria-hidden`` elements are shown and stay.
+Text directly under the document root has no block to judge and is always kept.
 """
 
 from __future__ import annotations
@@ -13,9 +16,11 @@ import numpy as np
 
 # fixed values: HTML element names
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong "
-                    "sub sup time tt u var wbr input embed source track area base link meta col param nobr ruby rt rp".split())
+                    "sub sup time tt u var wbr input embed source track area base link meta col param nobr ruby rt rp "
+                    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom menclose mfenced "
+                    "msub msup msubsup munder mover munderover mmultiscripts".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math object canvas audio video select button datalist".split())
+_RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg annotation annotation-xml canvas audio video select button datalist".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
            "thead": ("tr", "td", "th", "thead", "tbody"), "tbody": ("tr", "td", "th", "thead", "tbody"), "option": ("option",)}
 _SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -133,7 +138,7 @@ class Dom:
             if attrs:
                 for a in _ATTR.finditer(attrs):
                     k, v = a[1].lower(), (a[2] or "").strip("\"'").lower()
-                    if k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and "display:none" in v.replace(" ", ""):
+                    if k == "hidden" or k == "style" and "display:none" in v.replace(" ", ""):
                         hide = True
                     elif k == "data-y":
                         label = v

@@ -261,7 +261,7 @@ def _flatten(text: str) -> tuple:
 def train(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES, layouts: int = LAYOUTS) -> Forest:
     """Fit on generated layouts filled with the words of a bounded, hash-chosen sample of pages."""
     spark: SparkSession = pages.sparkSession
-    text = F.regexp_replace(F.substring(null_as_empty(F.col("html")), 1, 20000), "<[^>]*>", " ")  # filler words only
+    text = F.regexp_replace(null_as_empty(F.col("html")), "<[^>]*>", " ")  # filler words only
     # ids first: every task sends its few best ids, never page texts
     ids = [r[0] for r in pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id")
            .limit(max_train_pages).collect()]
@@ -292,7 +292,8 @@ def _extract(batches: Iterator[pa.RecordBatch], forest: Forest, column: str) ->
 
 
 def extract(pages: DataFrame, forest: Forest, column: str = "html") -> DataFrame:
-    """``pages`` with text and n_chars added (columns of those names must not exist in ``pages``)."""
+    """``pages`` with text and n_chars added; columns of those names are replaced (but for the page's own column)."""
     bound_batches(pages.sparkSession, 256)
+    pages = pages.drop(*(c for c in ("text", "n_chars") if c != column))
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     return pages.mapInArrow(lambda it: _extract(it, forest, column), schema)
