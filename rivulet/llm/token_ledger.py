@@ -10,7 +10,10 @@ again over its own folders and was never visible.
 
 Changes are rows (op, doc_id, source, lang, text). ``insert`` and ``revise``
 replace whatever the ledger holds for that doc_id under that tokenizer;
-``delete`` takes it back. Only documents named in a batch are looked up.
+``delete`` takes it back. Only documents named in a batch are looked up. A batch
+has no order of rows: its deletions and replacements apply to what earlier
+batches left, then its inserted and revised rows count, also those whose id the
+same batch deletes. An ``op`` that is none of the three raises.
 
 Defined cases: a null text has no tokens; null source, lang or id are groups
 of their own; rows repeated within one batch count as often as they stand
@@ -73,6 +76,8 @@ class TokenLedger:
 
     def __init__(self, spark: SparkSession, root: str, tokenizers: dict[str, str]):
         """``tokenizers``: version name -> rank file, readable on every executor."""
+        if not tokenizers:
+            raise ValueError("a ledger needs a tokenizer")
         self.spark, self.root, self.tokenizers = spark, root.rstrip("/"), dict(tokenizers)
 
     def _batches(self) -> list[str]:
@@ -98,7 +103,8 @@ class TokenLedger:
         if self.committed(batch_id):
             return False
         key_type = dict(changes.dtypes)["doc_id"]
-        changes = changes.select("op", "doc_id", "source", "lang", "text")
+        known = F.when(F.col("op").isin(*OPS), F.col("op")).otherwise(F.raise_error(F.concat(F.lit("unknown op "), F.coalesce("op", F.lit("null")))))
+        changes = changes.select(known.alias("op"), "doc_id", "source", "lang", "text")
         added = None
         for version, path in self.tokenizers.items():
             rows = changes.where(F.col("op").isin("insert", "revise")).select(
