@@ -5,13 +5,15 @@ The order is realised by a range partitioning on both keys, so one text that
 holds a third of all rows still spreads over many tasks. Each partition keeps a
 running byte sum; its total goes to the driver (one row per partition), where
 the totals become offsets. The n-1 cuts lie at equal byte targets. A cut that
-would split a group of equal texts moves to that group's nearer end, unless the
-group is larger than a whole shard: then it is cut between its rows, as sizes
-could not be near equal otherwise. Shards are contiguous, slots are gapless.
+would split a group of equal texts moves to that group's nearer end, if that
+moves it by at most ``TOLERANCE`` of a shard; else the group is cut between its
+rows, as sizes would not be near equal otherwise. A shard's size is therefore
+within twice ``TOLERANCE`` of the target, give or take one row. Shards are
+contiguous, slots are gapless.
 
 Defined cases: a null text has size 1 and hashes as the empty text; an empty
 table gives an empty result; fewer rows than shards leave shards empty;
-repeated rows keep one slot each. Columns other than those named by ``carry``
+repeated rows keep one slot each and spread over tasks. Columns other than those named by ``carry``
 are dropped; a carried column must not be one of the result's names.
 """
 
@@ -28,6 +30,9 @@ from pyspark.sql import types as T
 from rivulet.llm.common import materialize, null_as_empty
 
 
+TOLERANCE = 0.05  # of a shard's target size: how far a cut moves to keep equal texts together
+
+
 def _running(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Adds run_rows and run_bytes: rows and bytes up to and with each row of a sorted partition."""
     rows = total = 0
@@ -77,9 +82,9 @@ def _place(docs: DataFrame, n_shards: int, text: str, carry: Sequence[str], keep
     t = null_as_empty(F.col(text))
     base = docs.select(
         "doc_id", (F.octet_length(t) + F.lit(1)).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("text_crc32"),
-        _group(text).alias("_g"), *[F.col(c) for c in carry if c != "doc_id"])
+        _group(text).alias("_g"), F.monotonically_increasing_id().alias("_tie"), *[F.col(c) for c in carry if c != "doc_id"])
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    part = (base.repartitionByRange(n, "_g", "doc_id").sortWithinPartitions("_g", "doc_id")
+    part = (base.repartitionByRange(n, "_g", "doc_id", "_tie").sortWithinPartitions("_g", "doc_id", "_tie")
             .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType([*part.schema.fields, T.StructField("run_rows", T.LongType()), T.StructField("run_bytes", T.LongType())])
     at = part.columns.index("size")
@@ -111,7 +116,7 @@ def _cuts(placed: DataFrame, total: int, rows: int, n_shards: int, keep_groups:
     for t in targets:
         h = next(x for x in hit if x["b"] < t <= x["e"])
         g = extent[h["_g"]]
-        if keep_groups and g["e"] - g["b"] <= total / n_shards:
+        if keep_groups and min(t - g["b"], g["e"] - t) <= TOLERANCE * total / n_shards:
             cut = g["r0"] if t - g["b"] < g["e"] - t else g["r1"] + 1
         else:
             cut = h["_row"] if t - h["b"] < h["e"] - t else h["_row"] + 1
