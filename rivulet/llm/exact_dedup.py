@@ -10,7 +10,7 @@ any partition's input.
 Defined cases: a null text is an empty text; repeated rows (same id, same text)
 form one group whose winner is one of them (``kept`` is true for exactly one
 row); an empty table gives an empty result; null ids rank below all others.
-Extra columns are ignored by the query form and kept by ``dedup``.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
