@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm import decontamination, jaccard_join, language_id, mixing, sharding
-from rivulet.llm.common import materialize, table, without_ids
+from rivulet.llm.common import free_name, materialize, table, without_ids
 
 MIN_SCORE = 0.5  # posterior of the predicted language below which a document counts as in no language
 
@@ -24,8 +24,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.select("doc_id", "lang", "text"))
     if not model[0]:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    scored = language_id.identify(docs, model)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    found = free_name(docs, "lang_pred"), free_name(docs, "score")  # columns of those names are the documents' own
+    scored = language_id.identify(docs, model, names=found)
+    return scored.where((F.col(found[0]) != "und") & (F.col(found[1]) >= MIN_SCORE)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +39,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").isEmpty():
         found = jaccard_join.jaccard_components(docs, k=5, percent=80).where("n_shingles > 0")
         return without_ids(docs, found.where("doc_id <> component_id").select("doc_id"), "doc_id").select(*columns)
-    docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = jaccard_join.jaccard_components(docs.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
-    found = found.where("n_shingles > 0").select(F.col("doc_id").alias("_row"), "component_id")
-    found = materialize(found.join(docs.select("_row", "doc_id"), "_row"), "members")
-    rank = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("doc_id"), F.col("_row").alias("row"))
+    row = free_name(docs, "_row")
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = jaccard_join.jaccard_components(docs.select(F.col(row).alias("doc_id"), "text"), k=5, percent=80)
+    found = found.where("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
+    found = materialize(found.join(docs.select(F.col(row).alias("row"), "doc_id"), "row"), "members")
+    rank = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
     first = found.groupBy("component_id").agg(F.min(rank).alias("first"))
-    drop = found.join(first, "component_id").where("_row <> first.row").select("_row")
-    return without_ids(docs, drop, "_row").select(*columns)
+    drop = found.join(first, "component_id").where(F.col("row") != F.col("first.row")).select(F.col("row").alias(row))
+    return without_ids(docs, drop, row).select(*columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2. The documents with their shard, 0 to 15."""
+    """Operator 2. The documents with their shard, 0 to 15; a column ``shard`` of theirs is replaced."""
     return sharding.assign_shards(docs, 16)
 
 
