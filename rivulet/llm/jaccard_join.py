@@ -19,7 +19,9 @@ words: the whole sequence as one). Documents with equal sets are one node.
    its main class then make finer blocks, one for each pair of its shingle and a
    later one of the prefix, longer by one: linked sets share those too, while
    sets that have one frequent shingle in common no longer meet. This repeats
-   (``depth``); only what is then still large is compared chunk by chunk. No task
+   (``depth``) as long as the finer blocks hold fewer pairs than the block itself;
+   else, as with many copies that are not quite linked, the outsiders are compared
+   with the block chunk by chunk. No task
    holds more than about ``BLOCK_ROWS`` rows of a block (twice that in the last
    step); chunks are cut by hash.
 3. Signature trees over each candidate component, now with the exact sets at
@@ -477,14 +479,22 @@ def _large_blocks(rows: DataFrame, large: DataFrame, nodes: DataFrame, percent:
 
 
 def _finer(open_: DataFrame, nodes: DataFrame, percent: int, level: int) -> DataFrame:
-    """Rows (block, rid, pos, label, out) of the blocks named by one shingle more than those of ``open_``."""
+    """Rows (parent, block, rid, pos, label, out) of the blocks named by one shingle more than those of ``open_``."""
     length = f"cast(least(size(prefix), n - ({percent} * n + 99) div 100 + {level + 1}) as int)"
     spread = (open_.join(nodes.select("rid", "n", "prefix"), "rid").withColumn("length", F.expr(length)).where("pos + 1 < length")
               .select("block", "rid", "label", "out", "pos", F.posexplode(F.expr("slice(prefix, pos + 2, length - pos - 1)")).alias("step", "token"))
-              .select(F.xxhash64("block", "token").alias("block"), "rid", (F.col("pos") + F.col("step") + 1).alias("pos"), "label", "out"))
+              .select(F.col("block").alias("parent"), F.xxhash64("block", "token").alias("block"), "rid",
+                      (F.col("pos") + F.col("step") + 1).alias("pos"), "label", "out"))
     # a block is of use if it holds an outsider and two classes
     useful = spread.groupBy("block").agg(F.max("out").alias("o"), F.min("label").alias("a"), F.max("label").alias("b")).where("o and a <> b")
-    return spread.join(useful.select("block"), "block", "left_semi")
+    return spread.join(useful.select("block"), "block", "left_semi").select("parent", "block", "rid", "pos", "label", "out")
+
+
+def _split(open_: DataFrame, finer: DataFrame) -> DataFrame:
+    """The blocks whose finer blocks hold fewer pairs of an outsider and a member than they do themselves."""
+    pairs = lambda df, *keys: df.groupBy(*keys).agg((_sum_if("out") * F.count("*")).cast("double").alias("pairs"))
+    below = pairs(finer, "parent", "block").groupBy(F.col("parent").alias("block")).agg(F.sum("pairs").alias("below"))
+    return pairs(open_, "block").join(below, "block", "left").where("coalesce(below, 0) < pairs").select("block")
 
 
 def _candidates(nodes: DataFrame, percent: int, size: int = BLOCK_ROWS) -> DataFrame:
@@ -511,18 +521,21 @@ def _candidates(nodes: DataFrame, percent: int, size: int = BLOCK_ROWS) -> DataF
     rows = materialize(rows.join(nodes.select("rid", "prefix"), "rid").select("block", "rid", at.alias("pos")), "blocks-1")
     for level in range(1, depth(t) + 1):
         found = materialize(found.unionByName(_large_blocks(rows, large, nodes, t, size)), f"links-{level}")
-        open_ = _open_blocks(rows, found)
+        open_ = materialize(_open_blocks(rows, found), "open")
         if open_.isEmpty():
             return found
         if level == depth(t):
             return found.unionByName(_last_blocks(open_, nodes, t, size))
-        rows = materialize(_finer(open_, nodes, t, level), f"blocks-{level + 1}")
+        finer = materialize(_finer(open_, nodes, t, level), f"blocks-{level + 1}")
+        split = materialize(_split(open_, finer), "split-blocks")
+        found = materialize(found.unionByName(_last_blocks(open_.join(split, "block", "left_anti"), nodes, t, size)), f"links-{level}g")
+        rows = finer.join(split.withColumnRenamed("block", "parent"), "parent", "left_semi")
         large = materialize(rows.groupBy("block").agg(F.count("*").alias("count")).where(F.col("count") > size), "large-blocks")
         small = rows.join(large, "block", "left_anti").select("block", "rid", F.lit(False).alias("outside"), "label")
         found = materialize(found.unionByName(_trees(small, nodes, t)), f"links-{level}s")
-        rows = materialize(rows.join(large, "block", "left_semi").select("block", "rid", "pos"), f"blocks-{level + 1}l")
         if large.isEmpty():
             return found
+        rows = materialize(rows.join(large, "block", "left_semi").select("block", "rid", "pos"), f"blocks-{level + 1}l")
     return found
 
 
@@ -538,7 +551,6 @@ def _open_blocks(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def _last_blocks(open_: DataFrame, nodes: DataFrame, percent: int, size: int) -> DataFrame:
     """Candidate edges of the outsiders of each block against all of it, chunk by chunk."""
-    open_ = materialize(open_, "last-blocks")
     parts = open_.groupBy("block").agg(_sum_if("out").alias("o"), F.count("*").alias("count")).select(
         "block", _pieces("o", size).alias("across"), _pieces("count", size).alias("down"))
     put = open_.join(parts, "block")
