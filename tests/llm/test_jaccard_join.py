@@ -113,68 +113,3 @@ def test_connected_components(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def crowd(n, seed=9, shared=5, length=45):
-    """Unrelated texts with a passage of ``shared`` words in each."""
-    r = random.Random(seed)
-    passage = [f"common{i}" for i in range(shared)]
-    return [(i, " ".join(r.sample([f"u{i}x{j}" for j in range(length)], length)[:length // 2] + passage + [f"u{i}y{j}" for j in range(length // 2)])) for i in range(n)]
-
-
-@pytest.mark.parametrize("k,percent", [(4, 85), (4, 60)])
-def test_large_blocks_are_split(spark, monkeypatch, k, percent):
-    """Blocks far over the bound: near copies, unrelated texts with common passages, and both; no task gets much more than the bound."""
-    monkeypatch.setattr(J, "HUBS", 2)
-    held = []
-    real = J._trees  # noqa: SLF001
-
-    def trees(rows, nodes, percent):
-        rows = J.materialize(rows, "seen")
-        held.append(rows.groupBy("block").count().agg({"count": "max"}).first()[0] or 0)
-        return real(rows, nodes, percent)
-
-    monkeypatch.setattr(J, "_trees", trees)
-    r = random.Random(3)
-    base = [f"b{i}" for i in range(60)]
-    copies = []
-    for i in range(40):
-        w = list(base)
-        w[r.randrange(60)] = f"z{i}"
-        copies.append((1000 + i, " ".join(w)))
-    rows = corpus(groups=8) + [(500 + i, t) for i, t in crowd(60)] + copies + [(2000 + i, t) for i, t in crowd(60, shared=14)]
-    assert run(spark, rows, k, percent, block_rows=12) == brute(rows, k, percent)
-    assert len(held) > 3 and max(held) <= 3 * 12 + 4
-
-
-def test_a_common_shingle_costs_no_more_than_its_rows(spark, monkeypatch):
-    """The pairs that trees look at grow with the rows of a block, not with their square; frequent shingles are not listed here."""
-    monkeypatch.setattr(J, "HEAVY_LEAST", 10**9)
-    seen = []
-    real = J._trees  # noqa: SLF001
-
-    def trees(rows, nodes, percent):
-        rows = J.materialize(rows, "seen")
-        sizes = rows.groupBy("block").count()
-        seen.append(sum(x["count"] ** 2 for x in sizes.collect()))
-        return real(rows, nodes, percent)
-
-    monkeypatch.setattr(J, "_trees", trees)
-    work = []
-    for n in (300, 600):
-        seen.clear()
-        got = run(spark, crowd(n, shared=14), 4, 85, block_rows=64)
-        assert all(c == i for i, _, c in got)
-        work.append(sum(seen))
-    assert 0 < work[1] < 3 * work[0]
-
-
-def test_sets_with_one_short_digest_stay_apart(spark, monkeypatch):
-    real = J.digest
-    monkeypatch.setattr(J, "digest", lambda s: (7, real(s)[1]))
-    rows = corpus(groups=6)
-    assert run(spark, rows) == brute(rows, 4, 85)
-
-
-def test_depth_is_what_linked_sets_share():
-    assert [J.depth(p) for p in (50, 60, 75, 80, 85, 100)] == [1, 2, 3, 4, 4, 4]
