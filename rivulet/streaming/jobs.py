@@ -19,21 +19,44 @@ from rivulet.operators.topn import top_n
 from rivulet.operators.windows import sliding_count
 from rivulet.plans.jobs import url_counts
 from rivulet.streaming.sinks import read_latest, upsert_latest
-from rivulet.streaming.stateful import CAP_OUTPUT, LOGIN_OUTPUT, ClickCapProcessor, ClickCapResetProcessor, LoginFailProcessor
-
-
-_CLICK = ("user_id", "ad_id", "province", "city", "ts", "event_time", "seq")
-
-
-def click_cap_stream(clicks: DataFrame, max_count: int = 100, watermark="0 seconds", earlier: DataFrame | None = None) -> DataFrame:
+from rivulet.streaming.stateful import (
+    CAP_MARKED,
+    CAP_OUTPUT,
+    CLICK,
+    CLICK_NUMBERS,
+    LOGIN_OUTPUT,
+    ClickCapProcessor,
+    ClickCapResetProcessor,
+    LoginFailProcessor,
+)
+
+SHARDS = 256  # keys of a stateful operator: fixed for the life of a checkpoint
+
+
+def _by_pair(df: DataFrame, shards: int):
+    """Rows of (user_id, ad_id) by the shard of that pair, nulls as 0; each kind of null has shards of its own."""
+    user, ad = F.col("user_id").cast("long"), F.col("ad_id").cast("long")
+    kind = F.when(user.isNull(), 2).otherwise(0) + F.when(ad.isNull(), 1).otherwise(0)
+    shard = F.pmod(F.xxhash64(user, ad), F.lit(shards)) + kind * shards
+    rows = df.withColumn("shard", shard.cast("int"))
+    return rows.withColumns({"user_id": F.coalesce(user, F.lit(0)), "ad_id": F.coalesce(ad, F.lit(0))}).groupBy("shard")
+
+
+def click_cap_stream(clicks: DataFrame, max_count: int = 100, watermark="0 seconds", earlier: DataFrame | None = None,
+                     shards: int = SHARDS) -> DataFrame:
     """T1 + T2 on a stream: AdClickEvent rows tagged ``kind`` = 'pass' | 'warn' (with ``msg``).
 
     ``earlier``: ``operators.patterns.click_cap_state`` of a table of the clicks before the stream's; the cap goes on from it.
+    ``shards``: into how many keys the (user, ad) pairs are dealt; a call handles a shard's rows of a micro-batch.
     """
-    src = clicks.withWatermark("event_time", duration_str(watermark)).select(*_CLICK)
-    return src.groupBy("user_id", "ad_id").transformWithStateInPandas(
-        ClickCapProcessor(max_count), CAP_OUTPUT, "append", "EventTime",
-        initialState=None if earlier is None else earlier.groupBy("user_id", "ad_id"), eventTimeColumnName="event_time")
+    src = clicks.withWatermark("event_time", duration_str(watermark)).select(*CLICK)
+    marks = [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(CLICK_NUMBERS)]
+    src = src.withColumn("nulls", sum(marks, F.lit(0))).withColumns({c: F.coalesce(c, F.lit(0)) for c in ("ts", "seq")})
+    tagged = _by_pair(src, shards).transformWithStateInPandas(
+        ClickCapProcessor(max_count), CAP_MARKED, "append", "EventTime",
+        initialState=None if earlier is None else _by_pair(earlier, shards), eventTimeColumnName="event_time")
+    given = {c: F.when(F.col("nulls").bitwiseAND(1 << i) == 0, F.col(c)) for i, c in enumerate(CLICK_NUMBERS)}
+    return tagged.withColumns(given).drop("nulls")
 
 
 def click_cap_reset_stream(clicks: DataFrame, max_count: int = 100, reset="1 day") -> DataFrame:
@@ -41,7 +64,7 @@ def click_cap_reset_stream(clicks: DataFrame, max_count: int = 100, reset="1 day
 
     Open timers keep such a query going: run it under a processing-time trigger, not ``availableNow``.
     """
-    return clicks.select(*_CLICK).groupBy("user_id", "ad_id").transformWithStateInPandas(
+    return clicks.select(*CLICK).groupBy("user_id", "ad_id").transformWithStateInPandas(
         ClickCapResetProcessor(max_count, duration_ms(reset)), CAP_OUTPUT, "append", "ProcessingTime")
 
 

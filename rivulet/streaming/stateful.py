@@ -25,17 +25,18 @@ from rivulet.functions.reports import BLACKLIST_MESSAGE, LOGIN_WARNING_MESSAGE,
 
 DAY_MS = 86_400_000
 
+CLICK = ("user_id", "ad_id", "province", "city", "ts", "event_time", "seq")
+CLICK_COLUMNS = (*CLICK, "nulls")
+CLICK_NUMBERS = ("user_id", "ad_id", "ts", "seq")  # bits 0 to 3 of ``nulls``
+NO_SEQ = 1 << CLICK_NUMBERS.index("seq")
+
 CAP_OUTPUT = ("user_id long, ad_id long, province string, city string, ts long, event_time timestamp, seq long, "
               "kind string, msg string")
+CAP_MARKED = CAP_OUTPUT.replace("kind", "nulls int, kind")
 LOGIN_OUTPUT = ("user_id long, first_fail_time long, last_fail_time long, first_seq long, fail_count long, msg string, "
                 "event_time timestamp")
 
 
-def _frame(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    parts = [p for p in rows if len(p)]
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
-
-
 def _us(ts: pd.Series) -> np.ndarray:
     return ts.astype("datetime64[us]").astype("int64").to_numpy()
 
@@ -43,52 +44,92 @@ def _us(ts: pd.Series) -> np.ndarray:
 class ClickCapProcessor(StatefulProcessor):
     """Per (user, ad): the first ``max_count + 1`` clicks of a UTC day pass; click max+2 warns once.
 
-    State: day -> clicks counted (up to the cap) and a warned flag. An
-    event-time timer at the end of a day removes its entry (the reference's
-    processing-time reset, made repeatable). Output rows are tagged ``kind`` =
-    'pass' | 'warn'.
+    A key of the stream is a shard of the (user, ad) pairs, so a micro-batch costs a call and some state
+    requests per shard and day, not per pair. State: day -> clicks counted (up to the cap) and a warned flag of
+    each pair of the shard, packed as ``PAIRS``. An event-time timer at the end of a day removes its entry (the
+    reference's processing-time reset, made repeatable). Of a pair and day no more than ``max_count + 2`` rows of
+    a micro-batch are held. Output rows are tagged ``kind`` = 'pass' | 'warn'.
+
+    Rows are ``CLICK_COLUMNS`` with 0 for a missing number and a bit for it in ``nulls``: pandas would turn a column
+    with a null into doubles. Pairs with a null user or ad are in shards of their own, so values alone tell pairs apart.
     """
 
+    PAIRS = np.dtype([("user_id", "<i8"), ("ad_id", "<i8"), ("count", "<i8"), ("warned", "?")])
+    HELD = 200_000  # rows to collect before those over the cap are let go
+
     def __init__(self, max_count: int = 100):
         self.max_count = max_count
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.days = handle.getMapState("days", "day long", "count long, warned boolean")
+        self.days = handle.getMapState("days", "day long", "pairs binary")
+
+    def _first(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        """In order, the rows that can pass or warn: ``n`` counts those of a pair and day from 0."""
+        pdf = pdf.assign(day=_us(pdf["event_time"]) // (DAY_MS * 1000), no_seq=pdf["nulls"] & NO_SEQ)
+        pdf = pdf.sort_values(["event_time", "no_seq", "seq"], kind="mergesort", ignore_index=True)
+        pdf["n"] = pdf.groupby(["day", "user_id", "ad_id"], sort=False).cumcount()
+        return pdf[pdf["n"] < self.max_count + 2]
+
+    def _pairs(self, day: int) -> pd.DataFrame | None:
+        if not self.days.containsKey((day,)):
+            return None
+        return pd.DataFrame(np.frombuffer(self.days.getValue((day,))[0], self.PAIRS)).assign(day=day)
+
+    def _keep(self, day: int, pairs: pd.DataFrame) -> None:
+        packed = np.empty(len(pairs), self.PAIRS)
+        for c in self.PAIRS.names:
+            packed[c] = pairs[c].to_numpy()
+        self.days.updateValue((day,), (packed.tobytes(),))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows)
-        if pdf.empty:
+        parts, held, first = [], 0, 0
+        for pdf in rows:
+            if len(pdf):
+                parts.append(pdf)
+                held += len(pdf)
+            if held > 2 * first + self.HELD:
+                parts = [self._first(pd.concat(parts, ignore_index=True))]
+                held = first = len(parts[0])
+        if not parts:
             return
-        pdf = pdf.sort_values(["event_time", "seq"], kind="mergesort").reset_index(drop=True)
-        days = _us(pdf["event_time"]) // (DAY_MS * 1000)
-        keep = np.zeros(len(pdf), dtype=bool)
-        warn = np.zeros(len(pdf), dtype=bool)
-        for d in np.unique(days).tolist():  # rows of one day are contiguous after the sort
-            idx = np.flatnonzero(days == d)
-            if self.days.containsKey((d,)):
-                count, warned = self.days.getValue((d,))
-            else:
-                count, warned = 0, False
+        pdf = self._first(pd.concat(parts, ignore_index=True))
+        pair = ["day", "user_id", "ad_id"]
+        known = []
+        for d in pdf["day"].unique().tolist():
+            pairs = self._pairs(d)
+            if pairs is None:
                 self.handle.registerTimer((d + 1) * DAY_MS)
-            room = max(self.max_count + 1 - count, 0)
-            keep[idx[:room]] = True
-            if len(idx) > room and not warned:
-                warn[idx[room]] = True
-                warned = True
-            self.days.updateValue((d,), (min(count + len(idx), self.max_count + 1), warned))
+            else:
+                known.append(pairs)
+        here = pdf.groupby(pair, sort=False).agg(count=("n", "size")).reset_index().assign(warned=False)
+        before = pd.concat([*known, here.assign(count=0)], ignore_index=True).drop_duplicates(pair)  # the known one first
+        at = pdf[pair].merge(before, "left", pair)  # keeps the order of the rows
+        room = np.maximum(self.max_count + 1 - at["count"].to_numpy(np.int64), 0)
+        n = pdf["n"].to_numpy()
+        keep, warn = n < room, (n == room) & ~at["warned"].to_numpy(bool)
+        now = pd.concat([before, here, pdf[warn][pair].assign(count=0, warned=True)], ignore_index=True)
+        now = now.groupby(pair, sort=False).agg(count=("count", "sum"), warned=("warned", "max")).reset_index()
+        now["count"] = now["count"].clip(upper=self.max_count + 1)
+        for d, pairs in now.groupby("day"):
+            self._keep(int(d), pairs)
         if keep.any() or warn.any():
-            yield _tagged(pdf[keep], pdf[warn], self.max_count)
+            yield _tagged(pdf[keep], pdf[warn], self.max_count, CLICK_COLUMNS)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
         """Rows of ``operators.patterns.click_cap_state``: what a table of earlier clicks left."""
-        for day, count, warned in zip(initialState["day"], initialState["count"], initialState["warned"]):
-            self.days.updateValue((int(day),), (int(count), bool(warned)))
-            self.handle.registerTimer((int(day) + 1) * DAY_MS)
+        for day, pairs in initialState.groupby("day"):
+            before = self._pairs(int(day))
+            if before is None:
+                self.handle.registerTimer((int(day) + 1) * DAY_MS)
+            else:
+                pairs = pd.concat([before, pairs], ignore_index=True)
+            self._keep(int(day), pairs.drop_duplicates(["user_id", "ad_id"], keep="last"))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        for k in [k for k in self.days.keys() if (k[0] + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs()]:
-            self.days.removeKey(k)
+        day = (expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1,)  # each day has its own timer
+        if self.days.containsKey(day):
+            self.days.removeKey(day)
         return iter([])
 
     def close(self) -> None:
@@ -138,9 +179,9 @@ class ClickCapResetProcessor(StatefulProcessor):
         pass
 
 
-def _tagged(passed: pd.DataFrame, warned: pd.DataFrame, max_count: int) -> pd.DataFrame:
+def _tagged(passed: pd.DataFrame, warned: pd.DataFrame, max_count: int, columns=CLICK) -> pd.DataFrame:
     out = pd.concat([passed.assign(kind="pass", msg=None), warned.assign(kind="warn", msg=BLACKLIST_MESSAGE % max_count)], ignore_index=True)
-    return out[[c.split()[0] for c in CAP_OUTPUT.split(", ")]]
+    return out[[*columns, "kind", "msg"]]
 
 
 class LoginFailProcessor(StatefulProcessor):
