@@ -42,6 +42,13 @@ def _by_pair(df: DataFrame, shards: int):
     return rows.withColumns({"user_id": F.coalesce(user, F.lit(0)), "ad_id": F.coalesce(ad, F.lit(0))}).groupBy("shard")
 
 
+def _by_user(df: DataFrame, shards: int):
+    """Rows by the shard of their user; those without one, as 0, are shard -1."""
+    user = F.col("user_id").cast("long")
+    shard = F.when(user.isNull(), -1).otherwise(F.pmod(F.xxhash64(user), F.lit(shards)))
+    return df.withColumn("shard", shard.cast("int")).withColumn("user_id", F.coalesce(user, F.lit(0))).groupBy("shard")
+
+
 def click_cap_stream(clicks: DataFrame, max_count: int = 100, watermark="0 seconds", earlier: DataFrame | None = None,
                      shards: int = SHARDS) -> DataFrame:
     """T1 + T2 on a stream: AdClickEvent rows tagged ``kind`` = 'pass' | 'warn' (with ``msg``).
@@ -98,15 +105,16 @@ def read_url_ranking(spark, path: str, top: int = 5) -> DataFrame:
 
 
 def login_fail_warnings_stream(logins: DataFrame, max_fails: int = 2, within="2 seconds",
-                               out_of_order="5 seconds", earlier: DataFrame | None = None) -> DataFrame:
+                               out_of_order="5 seconds", earlier: DataFrame | None = None, shards: int = SHARDS) -> DataFrame:
     """T4 on a stream (bounded out-of-orderness watermark, as the reference's 5 s).
 
     ``earlier``: ``operators.patterns.login_open_episodes`` of a table of the rows before the stream's; those episodes go on.
+    ``shards``: into how many keys the users are dealt; a call handles a shard's rows of a micro-batch.
     """
     src = logins.withWatermark("event_time", duration_str(out_of_order)).select("user_id", "event_type", "event_time", "seq")
-    return src.groupBy("user_id").transformWithStateInPandas(
+    return _by_user(src, shards).transformWithStateInPandas(
         LoginFailProcessor(max_fails, duration_ms(within)), LOGIN_OUTPUT, "append", "EventTime",
-        initialState=None if earlier is None else earlier.groupBy("user_id"), eventTimeColumnName="event_time")
+        initialState=None if earlier is None else _by_user(earlier, shards), eventTimeColumnName="event_time")
 
 
 @dataclass

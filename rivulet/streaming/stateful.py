@@ -187,114 +187,136 @@ def _tagged(passed: pd.DataFrame, warned: pd.DataFrame, max_count: int, columns=
 class LoginFailProcessor(StatefulProcessor):
     """Per user: an episode opens at a fail t0, holds fails <= t0+W, warns at close if >= N; a non-fail cancels.
 
-    State: the rows the watermark has not passed yet, in map state by spans of time, and the open episode
-    (t0, first seq, count, last fail). A timer at the earliest waiting row (or at the open episode's end) folds every row
-    at or before the watermark in (event time, seq) order; it reads and rewrites only the spans that are due.
+    A key of the stream is a shard of the users, so a micro-batch costs a call and some state requests per shard, not per
+    user. Rows without a user (shard -1) take no part, as in ``operators.patterns.login_fail_episodes``. State: the rows the watermark has not passed yet, in chunks of at
+    most ``CHUNK`` rows in time order, the chunks' numbers and first times, and the shard's open episodes
+    (user, t0, first seq, count, last fail). A timer at the earliest waiting row (or at the end of the first open episode)
+    folds every row at or before the watermark in (event time, seq) order; it reads and rewrites only the chunks that are due.
     """
 
+    ROWS = np.dtype([("user", "<i8"), ("us", "<i8"), ("seq", "<i8"), ("fail", "?")])
+    CHUNKS = np.dtype([("number", "<i8"), ("us", "<i8")])
+    OPEN = np.dtype([("user", "<i8"), ("t0", "<i8"), ("s0", "<i8"), ("n", "<i8"), ("tl", "<i8")])
+    CHUNK = 8192
+    HELD = 262_144  # rows to collect before they are put into state
+
     def __init__(self, max_fails: int = 2, within_ms: int = 2000, fail_value: str = "fail"):
         self.max_fails = max_fails
         self.w_us = within_ms * 1000
-        self.span_us = max(self.w_us, 1_000_000)
         self.fail_value = fail_value
         self.seconds = seconds_text(timedelta(milliseconds=within_ms))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "span long", "us array<long>, seq array<long>, fail array<boolean>")
-        self.spans = handle.getValueState("spans", "span array<long>")  # which spans wait
-        self.state = handle.getValueState("episode", "t0 long, s0 long, n long, tl long")
+        self.waiting = handle.getMapState("waiting", "number long", "rows binary")
+        self.chunks = handle.getValueState("chunks", "chunks binary")
+        self.episodes = handle.getValueState("episodes", "open binary")
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
-        """A row of ``operators.patterns.login_open_episodes``: the episode that a table of earlier rows left open."""
-        for t0, s0, n, tl in zip(*(initialState[c] for c in ("t0", "s0", "n", "tl"))):
-            self.state.update((int(t0), int(s0), int(n), int(tl)))
-            self._set_timer(None, (int(t0), int(s0), int(n), int(tl)))
-
-    def _waiting_spans(self) -> list[int]:
-        return [int(x) for x in self.spans.get()[0]] if self.spans.exists() else []
-
-    def _held(self, span: int) -> list[tuple]:
-        value = self.waiting.getValue((span,)) if self.waiting.containsKey((span,)) else None
-        return [(int(a), int(b), bool(c)) for a, b, c in zip(*value)] if value else []
-
-    def _hold(self, span: int, rows: list[tuple]) -> None:
-        self.waiting.updateValue((span,), tuple([list(x) for x in zip(*rows)]))
-
-    def _first_us(self, spans: list[int]) -> int | None:
-        return min(r[0] for r in self._held(min(spans))) if spans else None
-
-    def _warning(self, user, ep, at_us: int) -> dict:
-        """``at_us``: the row's event time, just after the watermark that closed the episode."""
-        t0, s0, n, tl = ep
-        return {"user_id": user, "first_fail_time": t0 // 1_000_000, "last_fail_time": tl // 1_000_000,
-                "first_seq": s0, "fail_count": n, "msg": LOGIN_WARNING_MESSAGE % (self.seconds, n),
-                "event_time": pd.Timestamp(at_us, unit="us")}
-
-    def _set_timer(self, first_us: int | None, ep) -> None:
-        """One timer at the first millisecond after which a waiting row or the open episode is due."""
+        """Rows of ``operators.patterns.login_open_episodes``: the episodes that a table of earlier rows left open."""
+        new = np.empty(len(initialState), self.OPEN)
+        for name, column in zip(self.OPEN.names, ("user_id", "t0", "s0", "n", "tl")):
+            new[name] = initialState[column].to_numpy()
+        episodes = np.concatenate([self._packed(self.episodes, self.OPEN), new])
+        self._pack(self.episodes, episodes)
+        self._set_timer(self._packed(self.chunks, self.CHUNKS), episodes)
+
+    @staticmethod
+    def _packed(state, dtype: np.dtype) -> np.ndarray:
+        return np.frombuffer(state.get()[0], dtype) if state.exists() else np.empty(0, dtype)
+
+    @staticmethod
+    def _pack(state, values: np.ndarray) -> None:
+        if len(values):
+            state.update((values.tobytes(),))
+        elif state.exists():
+            state.clear()
+
+    def _hold(self, chunks: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """``chunks`` with those that ``rows`` make."""
+        rows = rows[np.argsort(rows["us"], kind="stable")]
+        number = int(chunks["number"].max()) + 1 if len(chunks) else 0
+        new = []
+        for at in range(0, len(rows), self.CHUNK):
+            self.waiting.updateValue((number,), (rows[at:at + self.CHUNK].tobytes(),))
+            new.append((number, int(rows["us"][at])))
+            number += 1
+        return np.concatenate([chunks, np.array(new, self.CHUNKS)])
+
+    def _set_timer(self, chunks: np.ndarray, episodes: np.ndarray) -> None:
+        """One timer at the first millisecond after which a waiting row or an open episode is due."""
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        due = [x for x in (first_us, ep[0] + self.w_us if ep else None) if x is not None]
+        due = [int(chunks["us"].min())] if len(chunks) else []
+        if len(episodes):
+            due.append(int(episodes["t0"].min()) + self.w_us)
         if due:
             self.handle.registerTimer(min(due) // 1000 + 1)
 
+    def _rows(self, pdf: pd.DataFrame) -> np.ndarray:
+        if pdf["seq"].hasnans:
+            raise ValueError("a login row without seq has no place in the order")
+        rows = np.empty(len(pdf), self.ROWS)
+        rows["user"], rows["us"], rows["seq"] = pdf["user_id"].to_numpy(), _us(pdf["event_time"]), pdf["seq"].to_numpy()
+        rows["fail"] = (pdf["event_type"] == self.fail_value).to_numpy(bool)
+        return rows
+
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        spans = self._waiting_spans()
+        if key[0] < 0:
+            return iter([])
+        chunks, parts, held = self._packed(self.chunks, self.CHUNKS), [], 0
         for pdf in rows:
             if len(pdf):
-                us, seq = _us(pdf["event_time"]), pdf["seq"].to_numpy()
-                fail = (pdf["event_type"] == self.fail_value).to_numpy()
-                at = us // self.span_us
-                for span in np.unique(at).tolist():
-                    here = np.flatnonzero(at == span)
-                    new = [(int(us[i]), int(seq[i]), bool(fail[i])) for i in here]
-                    self._hold(span, (self._held(span) if span in spans else []) + new)
-                    if span not in spans:
-                        spans.append(span)
-        if spans:
-            self.spans.update((sorted(spans),))
-            self._set_timer(self._first_us(spans), tuple(self.state.get()) if self.state.exists() else None)
+                parts.append(self._rows(pdf))
+                held += len(pdf)
+            if held > self.HELD:
+                chunks, parts, held = self._hold(chunks, np.concatenate(parts)), [], 0
+        if parts:
+            chunks = self._hold(chunks, np.concatenate(parts))
+        self._pack(self.chunks, chunks)
+        self._set_timer(chunks, self._packed(self.episodes, self.OPEN))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        spans = self._waiting_spans()
-        due = [s for s in spans if s * self.span_us < mark]
-        held = sorted(r for s in due for r in self._held(s))
-        ready = [r for r in held if r[0] < mark]
-        rest = held[len(ready):]  # of the one span that the watermark is in
-        user, ep, out = int(key[0]), tuple(self.state.get()) if self.state.exists() else None, []
-        for us, seq, fail in ready:
+        chunks = self._packed(self.chunks, self.CHUNKS)
+        due, chunks = chunks["number"][chunks["us"] < mark].tolist(), chunks[chunks["us"] >= mark]
+        rows = [np.frombuffer(self.waiting.getValue((n,))[0], self.ROWS) for n in due]
+        rows = np.concatenate(rows) if rows else np.empty(0, self.ROWS)
+        ready, rest = rows[rows["us"] < mark], rows[rows["us"] >= mark]
+        ready = ready[np.lexsort([ready[c] for c in ("fail", "seq", "us", "user")])]
+        held = self._packed(self.episodes, self.OPEN)
+        episodes, closed = {ep[0]: ep[1:] for ep in held.tolist()}, []
+        for user, us, seq, fail in ready.tolist():
+            ep = episodes.pop(user, None)
             if ep is not None and us > ep[0] + self.w_us:  # the episode's window has passed: close it
-                if ep[2] >= self.max_fails:
-                    out.append(self._warning(user, ep, mark + 1000))
-                ep = None
-            if fail:
-                ep = (us, seq, 1, us) if ep is None else (ep[0], ep[1], ep[2] + 1, us)
-            else:  # any non-fail inside the window cancels the episode
+                closed.append((user, *ep))
                 ep = None
-        if ep is not None and ep[0] + self.w_us < mark:
-            if ep[2] >= self.max_fails:
-                out.append(self._warning(user, ep, mark + 1000))
-            ep = None
-        for s in due:
-            self.waiting.removeKey((s,))
-        spans = [s for s in spans if s not in due]
-        if rest:
-            spans.insert(0, rest[0][0] // self.span_us)
-            self._hold(spans[0], rest)
-        if spans:
-            self.spans.update((spans,))
-        elif self.spans.exists():
-            self.spans.clear()
-        if ep is not None:
-            self.state.update(ep)
-        elif self.state.exists():
-            self.state.clear()
-        self._set_timer(self._first_us(spans), ep)
+            if fail:  # any non-fail inside the window cancels the episode
+                episodes[user] = (us, seq, 1, us) if ep is None else (ep[0], ep[1], ep[2] + 1, us)
+        for user, ep in list(episodes.items()):
+            if ep[0] + self.w_us < mark:
+                closed.append((user, *episodes.pop(user)))
+        for n in due:
+            self.waiting.removeKey((n,))
+        if len(rest):
+            chunks = self._hold(chunks, rest)
+        self._pack(self.chunks, chunks)
+        still = np.array([(user, *ep) for user, ep in episodes.items()], self.OPEN)
+        self._pack(self.episodes, still)
+        self._set_timer(chunks, still)
+        out = [ep for ep in closed if ep[3] >= self.max_fails]
         if out:
-            yield pd.DataFrame(out)
+            yield self._warnings(out, mark + 1000)
+
+    def _warnings(self, episodes: list[tuple], at_us: int) -> pd.DataFrame:
+        """``at_us``: the rows' event time, just after the watermark that closed the episodes."""
+        return pd.DataFrame({
+            "user_id": [ep[0] for ep in episodes],
+            "first_fail_time": [ep[1] // 1_000_000 for ep in episodes], "last_fail_time": [ep[4] // 1_000_000 for ep in episodes],
+            "first_seq": [ep[2] for ep in episodes], "fail_count": [ep[3] for ep in episodes],
+            "msg": [LOGIN_WARNING_MESSAGE % (self.seconds, ep[3]) for ep in episodes],
+            "event_time": pd.Timestamp(at_us, unit="us")})
 
     def close(self) -> None:
         pass

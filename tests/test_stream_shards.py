@@ -5,9 +5,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from rivulet.operators.patterns import click_cap
+from rivulet.operators.patterns import click_cap, login_fail_episodes
 from rivulet.plans.streams import feed
-from rivulet.streaming.jobs import click_cap_stream
+from rivulet.streaming.jobs import click_cap_stream, login_fail_warnings_stream
 from rivulet.streaming.sinks import start
 
 T0 = 1_600_041_600  # a UTC midnight
@@ -44,3 +44,20 @@ def test_the_click_cap_keeps_state_by_shard(spark, scratch):
     warned = [(x.user_id, x.ad_id, x.ts) for x in got.where("kind = 'warn'").collect()]
     assert sorted(warned, key=str) == sorted((tuple(x) for x in whole.warnings.select("user_id", "ad_id", "ts").collect()), key=str)
     assert {BIG, None, 0} <= {x[0] for x in warned}
+
+
+def test_the_login_rule_keeps_state_by_shard(spark, scratch):
+    r = random.Random(6)
+    rows = sorted(((r.randint(1, 1500), r.choice(["fail", "fail", "success"]), r.randint(0, 3000)) for _ in range(6000)), key=lambda x: x[2])
+    rows += [(BIG, "fail", 3010), (BIG, "fail", 3011), (None, "fail", 3020), (0, "fail", 3020), (None, "fail", 3021)]
+    rows = [(*x, BIG + i) for i, x in enumerate(rows)]
+    df = lambda part: spark.createDataFrame(part, "user_id long, event_type string, t long, seq long").withColumn("event_time", F.timestamp_seconds("t"))
+    path = os.path.join(scratch, "logins")
+    held = _fed([df(rows[:3000]), df(rows[3000:]), df([(9, "success", 9000, BIG - 1)])],
+                lambda s: login_fail_warnings_stream(s, 2, "100 seconds", "5 minutes", shards=8), path)
+    assert max(held) < 200  # 1,500 users
+    columns = ["user_id", "first_fail_time", "last_fail_time", "first_seq", "fail_count"]
+    found = lambda x: sorted((tuple(r) for r in x.select(*columns).collect()), key=str)
+    got = found(spark.read.parquet(path))
+    assert got == found(login_fail_episodes(df(rows), within="100 seconds"))
+    assert BIG in {x[0] for x in got} and None not in {x[0] for x in got}
