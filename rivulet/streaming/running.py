@@ -1,8 +1,9 @@
 """W10 / A7 on streams: one row per page view with the distinct visitors of its window so far.
 
-1. ``FirstSightingProcessor`` (keyed by window and a shard of the bitmap) keeps the window's bitmap as pages of
-   ``PAGE`` bits in map state and marks each row whose bit was not set before. A window is ``shards`` keys, so a window that
-   takes all traffic is as many tasks, and a row costs one page of state, not a bitmap.
+1. ``FirstSightingProcessor`` (keyed by a shard of the bitmap, all windows together) marks each row whose bit was not set
+   in its window before. While a window's shard has at most ``SPARSE`` bits they are one list of offsets in map state, one
+   request for all rows of a micro-batch; then they are pages of ``PAGE`` bits, and a row costs one page, not a bitmap. A
+   window is ``shards`` keys, so a window that takes all traffic is as many tasks.
 2. Each micro-batch's marked rows are written once, then numbered: the window's count before the batch plus the running
    sum of the marks in (event time, seq) order, taken over parts of equal row counts (``running_sum``). The counts of the
    windows that can still grow are written next to them for the next batch.
@@ -29,67 +30,103 @@ from rivulet.operators.prefix import running_sum
 from rivulet.session import keyed_state, stream_checkpoint
 from rivulet.streaming.sinks import batch_folders
 
-PAGE = 1024  # bits of a bitmap page, the unit of state
+PAGE = 1024  # bits of a bitmap page, the unit of state of a full window
+SPARSE = 8192  # offsets of a window's shard that are kept as a list
 MARKS = "window_start timestamp, shard long, event_time timestamp, seq long, is_new long"
+SIGHTED = "start long, shard long, event_time timestamp, seq long, no_seq boolean, is_new long"
 
 
 class FirstSightingProcessor(StatefulProcessor):
-    """Per (window, bitmap shard): marks rows whose offset the window has not seen; forgets a window when it closes."""
+    """Per bitmap shard: marks rows whose offset their window (``start``, ms) has not seen; forgets a window when it closes."""
 
-    def __init__(self, size_ms: int):
-        self.size_ms = size_ms
+    def __init__(self, size_ms: int, sparse: int = SPARSE):
+        self.size_ms, self.sparse = size_ms, sparse
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pages = handle.getMapState("pages", "page long", "bits binary")
+        self.windows = handle.getMapState("windows", "start long", "paged boolean, held binary")  # offsets, or page numbers
+        self.pages = handle.getMapState("pages", "start long, page long", "bits binary")
+
+    def _unseen(self, start: int, values: np.ndarray) -> np.ndarray:
+        """Which of the window's sorted distinct ``values`` are new to it; they are kept."""
+        if self.windows.containsKey((start,)):
+            paged, held = self.windows.getValue((start,))
+            held = np.frombuffer(held, np.int64)
+        else:
+            paged, held = False, np.empty(0, np.int64)
+            self.handle.registerTimer(start + self.size_ms)
+        if paged:
+            return self._unseen_in_pages(start, values, held)
+        fresh = ~np.isin(values, held, assume_unique=True)
+        if fresh.any():
+            held = np.union1d(held, values)
+            if len(held) > self.sparse:
+                self._unseen_in_pages(start, held, np.empty(0, np.int64))
+            else:
+                self.windows.updateValue((start,), (False, held.tobytes()))
+        return fresh
+
+    def _unseen_in_pages(self, start: int, values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        page = values // PAGE
+        here = np.unique(page)
+        fresh = np.zeros(len(values), bool)
+        for number, a, b in zip(here.tolist(), np.searchsorted(page, here), np.searchsorted(page, here, "right")):
+            at = (start, number)
+            held = self.pages.getValue(at) if self.pages.containsKey(at) else None
+            bits = np.unpackbits(np.frombuffer(held[0], np.uint8)) if held else np.zeros(PAGE, np.uint8)
+            place = values[a:b] % PAGE
+            fresh[a:b] = bits[place] == 0
+            if fresh[a:b].any():
+                bits[place] = 1
+                self.pages.updateValue(at, (np.packbits(bits).tobytes(),))
+        if not np.isin(here, numbers).all():
+            self.windows.updateValue((start,), (True, np.union1d(numbers, here).tobytes()))
+        return fresh
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         parts = [p for p in rows if len(p)]
         if not parts:
             return
-        pdf = pd.concat(parts, ignore_index=True).sort_values(["event_time", "seq"], kind="mergesort").reset_index(drop=True)
-        self.handle.registerTimer(int(pd.Timestamp(key[0]).value // 1_000_000) + self.size_ms)
-        offset = pdf["offset"].to_numpy()
-        known = ~pd.isna(offset)
-        at = np.flatnonzero(known)
-        values, first = np.unique(offset[at].astype(np.int64), return_index=True)
-        page = values // PAGE
+        pdf = pd.concat(parts, ignore_index=True).sort_values(["event_time", "no_seq", "seq"], kind="mergesort", ignore_index=True)
+        known = pdf.loc[pdf["offset"].notna(), ["start", "offset"]].astype(np.int64).drop_duplicates()
         new = np.zeros(len(pdf), np.int64)
-        for start, stop in zip(np.searchsorted(page, np.unique(page)), np.searchsorted(page, np.unique(page), "right")):
-            number = int(page[start])
-            held = self.pages.getValue((number,)) if self.pages.containsKey((number,)) else None
-            bits = np.unpackbits(np.frombuffer(held[0], np.uint8)) if held else np.zeros(PAGE, np.uint8)
-            place = values[start:stop] % PAGE
-            fresh = bits[place] == 0
-            if fresh.any():
-                new[at[first[start:stop][fresh]]] = 1
-                bits[place] = 1
-                self.pages.updateValue((number,), (np.packbits(bits).tobytes(),))
-        yield pd.DataFrame({"window_start": key[0], "shard": key[1], "event_time": pdf["event_time"], "seq": pdf["seq"], "is_new": new})
+        for start, first in known.sort_values("offset").groupby("start")["offset"]:
+            new[first.index[self._unseen(int(start), first.to_numpy())]] = 1
+        yield pdf[["start", "event_time", "seq", "no_seq"]].assign(shard=key[0], is_new=new)[[c.split()[0] for c in SIGHTED.split(", ")]]
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.pages.clear()
+        start = expiredTimerInfo.getExpiryTimeInMs() - self.size_ms  # each window has its own timer
+        if self.windows.containsKey((start,)):
+            paged, held = self.windows.getValue((start,))
+            for number in np.frombuffer(held, np.int64).tolist() if paged else []:
+                self.pages.removeKey((start, number))
+            self.windows.removeKey((start,))
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def first_sightings(rows: DataFrame, offset_col: str, size, watermark="0 seconds", shards: int = 64) -> DataFrame:
+def first_sightings(rows: DataFrame, offset_col: str, size, watermark="0 seconds", shards: int = 64, sparse: int = SPARSE) -> DataFrame:
     """MARKS rows of a stream of (event_time, seq, offset): each row with 1 if its window saw the offset for the first time."""
     keyed_state(rows.sparkSession)
     size_ms = duration_ms(size)
     src = rows.withWatermark("event_time", duration_str(watermark)).select(
-        F.window("event_time", f"{size_ms} milliseconds")["start"].alias("window_start"),
+        F.unix_millis(F.window("event_time", f"{size_ms} milliseconds")["start"]).alias("start"),
         # neighbouring pages fall to different shards; a null visitor belongs to shard 0
         F.coalesce(F.pmod(F.floor(F.col(offset_col) / PAGE), F.lit(shards)), F.lit(0)).cast("long").alias("shard"),
-        "event_time", "seq", F.col(offset_col).cast("long").alias("offset"))
-    return src.groupBy("window_start", "shard").transformWithStateInPandas(
-        FirstSightingProcessor(size_ms), MARKS, "append", "EventTime", eventTimeColumnName="event_time")
+        # a column with a null would reach pandas as doubles
+        "event_time", F.coalesce("seq", F.lit(0)).alias("seq"), F.col("seq").isNull().alias("no_seq"),
+        F.col(offset_col).cast("long").alias("offset"))
+    marks = src.groupBy("shard").transformWithStateInPandas(
+        FirstSightingProcessor(size_ms, sparse), SIGHTED, "append", "EventTime", eventTimeColumnName="event_time")
+    return marks.select(F.timestamp_millis("start").alias("window_start"), "shard", "event_time",
+                        F.when(~F.col("no_seq"), F.col("seq")).alias("seq"), "is_new")
 
 
 def start_running_visitors(rows: DataFrame, name: str, path: str, offset_col: str = "offset", size="1 hour", watermark="0 seconds",
-                           shards: int = 64, checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+                           shards: int = 64, checkpoint: str | None = None, available_now: bool = False,
+                           sparse: int = SPARSE) -> StreamingQuery:
     """One row per input row under ``path``/rows: window_start, window_end, event_time, seq, uv (see ``read_running_visitors``)."""
     size_ms, delay_ms = duration_ms(size), duration_ms(watermark)
     totals = "window_start timestamp, uv long"
@@ -115,7 +152,7 @@ def start_running_visitors(rows: DataFrame, name: str, path: str, offset_col: st
             now = now.where(F.unix_millis("window_start") + size_ms > F.lit(newest - delay_ms))
         now.write.mode("overwrite").parquet(here["totals"])
 
-    w = (first_sightings(rows, offset_col, size, watermark, shards).writeStream.queryName(name).outputMode("append").foreachBatch(write)
+    w = (first_sightings(rows, offset_col, size, watermark, shards, sparse).writeStream.queryName(name).outputMode("append").foreachBatch(write)
          .option("checkpointLocation", checkpoint or stream_checkpoint(rows.sparkSession, name)))
     return (w.trigger(availableNow=True) if available_now else w).start()
 

@@ -3,10 +3,12 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators.patterns import click_cap, login_fail_episodes
 from rivulet.plans.streams import feed
+from rivulet.streaming import running
 from rivulet.streaming.jobs import click_cap_stream, login_fail_warnings_stream
 from rivulet.streaming.sinks import start
 
@@ -61,3 +63,29 @@ def test_the_login_rule_keeps_state_by_shard(spark, scratch):
     got = found(spark.read.parquet(path))
     assert got == found(login_fail_episodes(df(rows), within="100 seconds"))
     assert BIG in {x[0] for x in got} and None not in {x[0] for x in got}
+
+
+@pytest.mark.parametrize("sparse", [3, 8192])
+def test_running_visitors_keep_lists_then_pages(spark, scratch, sparse):
+    r = random.Random(9)
+    rows = sorted((r.randint(0, 2 * 3600 - 1), r.choice([-1, *range(0, 3_000_000, 3_001)])) for _ in range(900))
+    rows = [(s, BIG + i, None if o < 0 else o) for i, (s, o) in enumerate(rows)]
+    df = lambda part: spark.createDataFrame(part, "s long, seq long, offset long").select(F.timestamp_seconds(F.col("s") + T0).alias("event_time"), "seq", "offset")
+    path, queries = os.path.join(scratch, "uv"), []
+
+    def run(s):
+        queries.append(running.start_running_visitors(s, "uv", path, watermark="5 seconds", shards=4, sparse=sparse, checkpoint=f"{path}-ck", available_now=True))
+        return queries[-1]
+
+    feed([df(rows[i:i + 300]) for i in range(0, 900, 300)] + [df([(90_000, 1, 5)])], run)
+    held = [max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) for q in queries]
+    assert sparse == 3 or max(held) < 100  # by shard and window, not by page
+    assert queries[-1].lastProgress["stateOperators"][0]["numRowsTotal"] < 10  # the closed windows' lists and pages are gone
+    got = {x.seq: x.uv for x in running.read_running_visitors(spark, path).collect()}
+    seen, want = {}, {1: 1}
+    for s, seq, o in rows:
+        w = seen.setdefault(s // 3600, set())
+        if o is not None:
+            w.add(o)
+        want[seq] = len(w)
+    assert got == want
