@@ -30,6 +30,9 @@ Sliding windows have three plans, picked by ``method``:
             windows emitted from prefix sums as the watermark passes them.
 
 All three give identical rows (tested).
+
+Streams in update mode that rank or store revised counts may hold ``sliding_blocks`` in place of the windows: one state
+row per key and block of ``size`` with the block's pane counts; ``block_counts`` reads the windows off it.
 """
 
 from __future__ import annotations
@@ -108,6 +111,38 @@ def sliding_count(df: DataFrame, keys, time_col: str, size, slide, method: str =
     raise ValueError(f"unknown method {method!r}")
 
 
+def sliding_blocks(df: DataFrame, keys, time_col: str, size, slide) -> DataFrame:
+    """Pane counts per key and block: block_start, keys, _newest, _p0 .. _pN; for update mode.
+
+    The block at ``b`` counts the panes of the windows that end in [b + size, b + 2 * size): 2 * size/slide - 1 of them, so
+    a row lies in two blocks at most where it lies in size/slide windows. A block's row is dropped as late only when all its
+    windows are. ``_newest`` is the newest ``time_col`` of the block.
+    """
+    keys, n, size_ms, slide_ms = _key_cols(keys), _ratio(size, slide), duration_ms(size), duration_ms(slide)
+    w = F.window(F.col(time_col), f"{(2 * n - 1) * slide_ms} milliseconds", f"{size_ms} milliseconds")
+    rows = df.select(*keys, F.col(time_col), w.alias("_block"))
+    pane = F.floor((F.unix_micros(time_col) - F.unix_micros("_block.start")) / F.lit(slide_ms * 1000))
+    panes = [F.count_if(F.col("_pane") == i).alias(f"_p{i}") for i in range(2 * n - 1)]
+    counted = rows.withColumn("_pane", pane).groupBy("_block", *keys).agg(F.max(time_col).alias("_newest"), *panes)
+    return counted.select(F.col("_block.start").alias("block_start"), *keys, "_newest", *[f"_p{i}" for i in range(2 * n - 1)])
+
+
+def block_counts(blocks: DataFrame, keys, size, slide, count_name: str = "count") -> DataFrame:
+    """block_start, keys, window_end, count of the windows of ``sliding_blocks`` that hold a row."""
+    keys, n, size_ms, slide_ms = _key_cols(keys), _ratio(size, slide), duration_ms(size), duration_ms(slide)
+    each = blocks.select("*", F.explode(F.array(*[F.lit(i) for i in range(n)])).alias("_i"))
+    held = [F.when((F.col("_i") <= j) & (F.col("_i") > j - n), F.col(f"_p{j}")).otherwise(0) for j in range(2 * n - 1)]
+    end = F.timestamp_micros(F.unix_micros("block_start") + F.lit(size_ms * 1000) + F.col("_i").cast("long") * F.lit(slide_ms * 1000))
+    counts = each.select("block_start", *keys, end.alias("window_end"), sum(held[1:], held[0]).alias(count_name))
+    return counts.where(F.col(count_name) > 0)
+
+
+def _ratio(size, slide) -> int:
+    if duration_ms(size) % duration_ms(slide):
+        raise ValueError("slide must divide size")
+    return duration_ms(size) // duration_ms(slide)
+
+
 def _window_out(res, keys, count_name, window_struct):
     if window_struct:
         return res.select("window", *keys, count_name)

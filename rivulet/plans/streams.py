@@ -90,8 +90,7 @@ def q_stream_url_changelog(spark, sf_dir):
 
     def start(s: DataFrame) -> StreamingQuery:
         logs = parse_apache_log(tables.apache_log_lines(s)).rows
-        counts = jobs.url_counts(logs, allowed_lateness=SPAN)
-        return revisions.start_ranking_changelog(counts, "url_changelog", path, "url", 5, "1 minute", SPAN, checkpoint, available_now=True)
+        return stream_jobs.start_url_changelog(logs, "url_changelog", path, allowed_lateness=SPAN, checkpoint=checkpoint, available_now=True)
 
     feed(in_id_slices(ev), start)
     return jobs.epoch_ms(revisions.fold_changelog(revisions.read_changelog(spark, path, "url"), "url"), "window_end")

@@ -18,6 +18,7 @@ from rivulet.functions.timefmt import duration_ms, duration_str
 from rivulet.operators.topn import top_n
 from rivulet.operators.windows import sliding_count
 from rivulet.plans.jobs import url_counts
+from rivulet.streaming.revisions import start_sliding_changelog
 from rivulet.streaming.sinks import read_latest, upsert_latest
 from rivulet.streaming.stateful import (
     CAP_MARKED,
@@ -98,6 +99,13 @@ def start_url_revisions(logs: DataFrame, name: str, path: str, checkpoint: str |
                          checkpoint=checkpoint, available_now=available_now)
 
 
+def start_url_changelog(logs: DataFrame, name: str, path: str, top: int = 5, size="1 minute", slide="5 seconds", out_of_order="1 second",
+                        allowed_lateness="60 seconds", checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """The top URLs per window as a signed changelog under ``path``; a late row revises its windows' rankings."""
+    delay = f"{duration_ms(out_of_order) + duration_ms(allowed_lateness)} milliseconds"
+    return start_sliding_changelog(logs, name, path, "url", top, size, slide, delay, checkpoint=checkpoint, available_now=available_now)
+
+
 def read_url_ranking(spark, path: str, top: int = 5) -> DataFrame:
     """The ranking of every window by the last revision of its counts: window_end, rank, url, count."""
     latest = read_latest(spark, path, ["window_end", "url"])
