@@ -15,10 +15,13 @@ words: the whole sequence as one). Documents with equal sets are one node.
    Pairs that survive connect nodes into candidate components; pairs already
    connected are skipped, so a block never emits more than a forest.
 3. Signature trees over each candidate component, now with the exact sets at
-   the leaves: surviving pairs are verified by intersection. Components too
-   large for one task are cut into chunks that share hub members; only nodes
-   left outside a component's main class then meet all its chunks. No cap, no
-   pair list.
+   the leaves: surviving pairs are verified by intersection. In larger
+   components the sets with too few members in common with all others together
+   leave first, and the traversal ends at nodes of up to PACK sets, whose
+   overlaps are counted together: frequent shingles by a product of 0/1
+   matrices, the others by their pairs of rows. Components too large for one
+   task are cut into chunks that share hub members; only nodes left outside a
+   component's main class then meet all its chunks. No cap, no pair list.
 
 Blocks of the most frequent shingles (hit only by sets that consist mostly of
 such shingles) are joined through hubs per size class instead of a tree, which
@@ -52,6 +55,11 @@ HEAVY_LEAST = 128    # estimated occurrences from which a shingle can be one of
 CHUNK = 4_000_000    # shingles of one step-3 task
 HUBS = 16
 FANOUT = 8
+FEW = 24             # sets of a step-3 block from which overlaps are counted by packs
+PACK = 512           # sets of a pack,
+PACK_SHINGLES = 1 << 19  # and their shingles together
+DENSE = 1500         # pairs of rows from which a shingle is a matrix column
+_COLUMNS, _PAIRS = 2048, 1 << 19  # counted at once
 FILTER_BITS = 27     # at most 16 MB of id filter are broadcast
 _SEEN = 1 << 20
 
@@ -66,7 +74,7 @@ def _need(total: int, percent: int) -> int:
 class Leaf:
     """One set: size, bitmap (an int of ``width`` bits) and, in step 3, its sorted shingles."""
 
-    __slots__ = ("key", "n", "width", "bits", "half", "excess", "half_excess", "shingles", "low", "high", "kids", "first", "one")
+    __slots__ = ("key", "n", "width", "bits", "half", "excess", "half_excess", "shingles", "low", "high", "kids", "first", "one", "count", "total", "pack")
 
     def __init__(self, key: int, n: int, bitmap: bytes, shingles: np.ndarray | None = None):
         self.key, self.n, self.width, self.shingles = key, n, len(bitmap) * 8, shingles
@@ -76,12 +84,13 @@ class Leaf:
         self.excess, self.half_excess = n - self.bits.bit_count(), n - self.half.bit_count()
         self.low = self.high = n
         self.kids, self.first, self.one = (), key, True
+        self.count, self.total, self.pack = 1, n, None
 
 
 class Node:
-    """OR of the members' bitmaps, their size range and the largest bitmap excess."""
+    """OR of the members' bitmaps, their size range and the largest bitmap excess; in step 3 its pack, where it is one."""
 
-    __slots__ = ("width", "bits", "half", "excess", "half_excess", "low", "high", "kids", "first", "one")
+    __slots__ = ("width", "bits", "half", "excess", "half_excess", "low", "high", "kids", "first", "one", "count", "total", "pack")
 
     def __init__(self, kids: list):
         self.kids, self.width, self.first, self.one = kids, kids[0].width, kids[0].first, False
@@ -91,6 +100,7 @@ class Node:
             self.half |= k.half
         self.excess, self.half_excess = max(k.excess for k in kids), max(k.half_excess for k in kids)
         self.low, self.high = min(k.low for k in kids), max(k.high for k in kids)
+        self.count, self.total, self.pack = sum(k.count for k in kids), sum(k.total for k in kids), None
 
 
 def build_trees(leaves: list[Leaf]) -> list:
@@ -153,8 +163,11 @@ def _uniform(node, classes: Classes) -> bool:
     return node.one
 
 
-def traverse(left: list, right: list | None, classes: Classes, percent: int, verify) -> None:
-    """Dual traversal: joins the classes of all pairs (left x right, or within left) that pass ``verify``."""
+def traverse(left: list, right: list | None, classes: Classes, percent: int, verify, meet=None) -> None:
+    """Dual traversal: joins the classes of all pairs (left x right, or within left) that pass ``verify``.
+
+    With ``meet`` it ends at nodes that are packs: meet(x, y) joins the classes of the linked pairs of two of them.
+    """
     if right is None:
         stack = [(left[j], left[i]) for i in range(len(left)) for j in range(i)] + [(x, x) for x in left]
     else:
@@ -164,6 +177,9 @@ def traverse(left: list, right: list | None, classes: Classes, percent: int, ver
         if x is y:
             if not x.kids or _uniform(x, classes):
                 continue
+            if meet and _is_pack(x):
+                meet(x, x)
+                continue
             kids = x.kids
             stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i + 1, len(kids))]
             stack += [(k, k) for k in kids]
@@ -174,9 +190,15 @@ def traverse(left: list, right: list | None, classes: Classes, percent: int, ver
             continue
         if _uniform(x, classes) and _uniform(y, classes) and classes.find(x.first) == classes.find(y.first):
             continue
-        if not x.kids and not y.kids:
+        if meet and _is_pack(x) and _is_pack(y):
+            meet(x, y)
+        elif not x.kids and not y.kids:
             if verify(x, y):
                 classes.join(x.key, y.key)
+        elif meet and x.kids and _is_pack(y) and not _is_pack(x):
+            stack += [(k, y) for k in x.kids]
+        elif meet and y.kids and _is_pack(x) and not _is_pack(y):
+            stack += [(x, k) for k in y.kids]
         elif x.kids and (not y.kids or x.high - x.low >= y.high - y.low):
             stack += [(k, y) for k in x.kids]
         else:
@@ -191,6 +213,116 @@ def linked(x: Leaf, y: Leaf, percent: int) -> bool:
     return 100 * common >= percent * (x.n + y.n - common)
 
 
+# ---- overlaps of packs ---------------------------------------------------------
+
+def _is_pack(x) -> bool:
+    """Small enough for one pack; a single set always is."""
+    return not x.kids or (x.count <= PACK and x.total <= PACK_SHINGLES)
+
+
+class Pack:
+    """The sets under a tree node by shingle: of shingle i, the rows ``row[at[i]:at[i] + k[i]]`` hold it."""
+
+    def __init__(self, node):
+        leaves, stack = [], [node]
+        while stack:
+            x = stack.pop()
+            stack += x.kids
+            if not x.kids:
+                leaves.append(x)
+        self.keys = [x.key for x in leaves]
+        self.n = np.array([x.n for x in leaves], np.int64)
+        every = np.concatenate([x.shingles for x in leaves])
+        order = np.argsort(every, kind="stable")
+        self.row = np.repeat(np.arange(len(leaves)), self.n)[order]
+        every = every[order]
+        self.at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        self.shingle, self.k = every[self.at], np.diff(np.r_[self.at, len(every)])
+
+
+def _spans(at: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """at[0], at[0] + 1, ... (k[0] of them), at[1], ..."""
+    return np.repeat(at - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+
+
+def _parts(size: np.ndarray, limit: int) -> Iterator[slice]:
+    """Runs of about ``limit`` in all, one element at least."""
+    total, a = np.cumsum(size), 0
+    while a < len(size):
+        z = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + limit, "right")))
+        yield slice(a, z)
+        a = z
+
+
+def overlaps(x: Pack, y: Pack) -> np.ndarray:
+    """Size of the intersection of every set of x with every set of y."""
+    at = np.minimum(np.searchsorted(y.shingle, x.shingle), len(y.shingle) - 1)
+    i = np.flatnonzero(y.shingle[at] == x.shingle)
+    xa, xk, ya, yk = x.at[i], x.k[i], y.at[at[i]], y.k[at[i]]
+    nx, ny = len(x.n), len(y.n)
+    out = np.zeros((nx, ny), np.int64)
+    pairs = xk * yk
+    dense = np.flatnonzero(pairs >= DENSE)
+    for c in range(0, len(dense), _COLUMNS):
+        d = dense[c:c + _COLUMNS]
+        one, two = np.zeros((nx, len(d)), np.float32), np.zeros((ny, len(d)), np.float32)
+        one[x.row[_spans(xa[d], xk[d])], np.repeat(np.arange(len(d)), xk[d])] = 1
+        two[y.row[_spans(ya[d], yk[d])], np.repeat(np.arange(len(d)), yk[d])] = 1
+        out += (one @ two.T).astype(np.int64)
+    thin = np.flatnonzero(pairs < DENSE)
+    for part in _parts(pairs[thin], _PAIRS):
+        d = thin[part]
+        mine = _spans(xa[d], xk[d])
+        many = np.repeat(yk[d], xk[d])
+        code = np.repeat(x.row[mine], many) * ny + y.row[_spans(np.repeat(ya[d], xk[d]), many)]
+        out += np.bincount(code, minlength=nx * ny).reshape(nx, ny)
+    return out
+
+
+def meet_packs(x, y, classes: Classes, percent: int) -> None:
+    """Joins the classes of all linked pairs of sets under x and y."""
+    for z in (x, y):
+        if z.pack is None:
+            z.pack = Pack(z)
+    p, q = x.pack, y.pack
+    common = overlaps(p, q)
+    link = 100 * common >= percent * (p.n[:, None] + q.n[None, :] - common)
+    own, other = np.arange(len(p.n)), np.arange(len(q.n)) + (0 if x is y else len(p.n))
+    top = len(p.n) + len(q.n)
+    while True:  # each set's least neighbour's label, until none changes
+        was = own, other
+        own = np.minimum(own, np.where(link, other[None, :], top).min(axis=1))
+        other = own if x is y else np.minimum(other, np.where(link, own[:, None], top).min(axis=0))
+        if (own == was[0]).all() and (other == was[1]).all():
+            break
+    keys = p.keys if x is y else p.keys + q.keys
+    for i, r in enumerate((own if x is y else np.concatenate([own, other])).tolist()):
+        if i != r:
+            classes.join(keys[i], keys[r])
+
+
+def linkable(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the distinct sets have enough members in common with the others together; the rest link with none.
+
+    A few rounds, as a set that leaves takes members from others; none of the left out is linked, whenever it stops.
+    """
+    n = np.array([len(s) for s in sets], np.int64)
+    need = -(-percent * n // 100)
+    _, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    alive = np.ones(len(sets), bool)
+    for _ in range(8):
+        shared = np.bincount(at)[at] > 1
+        keep = np.bincount(owner[shared], minlength=len(sets)) >= need
+        gone = int((alive & ~keep).sum())
+        alive &= keep
+        if not alive.any() or gone * 64 <= int(alive.sum()):
+            break
+        stay = alive[owner]
+        at, owner = at[stay], owner[stay]
+    return alive
+
+
 def bitmap(shingles: np.ndarray) -> bytes:
     """Token bitmap of a power-of-two width, half to once the set's size (64 bits at least).
 
@@ -238,8 +370,10 @@ def digest(shingles: np.ndarray) -> int:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], k: int, percent: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, node, prefix, ordinary, bitmap); the last three only at a node's first sight in the task."""
+    """(doc_id, print, n, node, prefix, ordinary, bitmap); the last three only at a node's first sight in the task."""
     table = textvec.ascii_space_table()
+    maybe = np.zeros(1 << 20, bool)
+    maybe[(heavy >> np.uint64(44)).astype(np.int64)] = True
     seen: set[int] = set()
     for b in batches:
         for part in textvec.slices(b, "text"):
@@ -254,20 +388,19 @@ def _sketches(batches: Iterator[pa.RecordBatch], k: int, percent: int, heavy: np
                 if len(seen) >= _SEEN:
                     seen.clear()
                 seen.add(d)
-                if len(heavy):
-                    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-                    often = heavy[at] == s
-                else:
-                    often = np.zeros(len(s), bool)
+                often = maybe[(s >> np.uint64(44)).astype(np.int64)]
+                if often.any():
+                    x = s[often]
+                    often[often] = heavy[np.minimum(np.searchsorted(heavy, x), len(heavy) - 1)] == x
                 p = len(s) - -(-percent * len(s) // 100) + 1
                 order = np.concatenate([s[~often], s[often]])[:p]
                 prefix.append(order.view(np.int64))
                 ordinary.append(min(p, int((~often).sum())))
                 bits.append(bitmap(s))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
+                [part.column("doc_id"), part.column("print"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
                  pa.array(ordinary, pa.int32()), pa.array(bits, pa.binary())],
-                names=["doc_id", "n", "node", "prefix", "ordinary", "bitmap"])
+                names=["doc_id", "print", "n", "node", "prefix", "ordinary", "bitmap"])
 
 
 def _filter_places(x: np.ndarray, bits: int) -> np.ndarray:
@@ -292,18 +425,17 @@ def node_filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int, wanted: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
-    """(node, n, shingles) of the wanted nodes, once a task."""
+    """(node, n, shingles) of the texts with wanted prints, once a task."""
     table = textvec.ascii_space_table()
     seen: set[int] = set()
     for b in batches:
-        for part in textvec.slices(b, "text"):
+        at = _filter_places(b.column("print").to_numpy(zero_copy_only=False), bits)
+        hit = (wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        for part in textvec.slices(b.filter(pa.array(hit == 1)), "text"):
             sets = [s for s in textvec.shingle_sets(part.column("text"), table, k) if len(s)]
             node = np.array([digest(s) for s in sets], np.int64)
-            at = _filter_places(node, bits)
-            hit = (wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1
             out = []
-            for i in np.flatnonzero(hit).tolist():
-                d = int(node[i])
+            for i, d in enumerate(node.tolist()):
                 if d not in seen:
                     if len(seen) >= _SEEN:
                         seen.clear()
@@ -348,20 +480,25 @@ def _true_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
     """Forest of the verified pairs of each block: within it, or of outsiders against members."""
     classes = Classes()
     for rows in _groups(batches, "block"):
-        leaves: dict[tuple, Leaf] = {}
+        sets: dict[int, np.ndarray] = {}
+        sides: dict[tuple, None] = {}
         for r in rows:
-            if (r["node"], r["outside"]) not in leaves:
-                s = np.frombuffer(r["shingles"], np.uint64)
-                leaves[r["node"], r["outside"]] = Leaf(r["node"], r["n"], bitmap(s), s)
+            sets.setdefault(r["node"], np.frombuffer(r["shingles"], np.uint64))
+            sides[r["node"], r["outside"]] = None
             if r["label"] is not None:
                 classes.join(r["node"], r["label"])
+        meet = None
+        if len(sets) > FEW:
+            meet = lambda x, y: meet_packs(x, y, classes, percent)
+            sets = {d: s for (d, s), stays in zip(sets.items(), linkable(list(sets.values()), percent)) if stays}
+        leaves = {(d, o): Leaf(d, len(sets[d]), bitmap(sets[d]), sets[d]) for d, o in sides if d in sets}
         test = lambda x, y: x.key != y.key and linked(x, y, percent)
         if rows[0]["grid"]:
             out = [x for (_, o), x in leaves.items() if o]
             all_ = [x for (_, o), x in leaves.items() if not o]
-            traverse(build_trees(out), build_trees(all_), classes, percent, test)
+            traverse(build_trees(out), build_trees(all_), classes, percent, test, meet)
         else:
-            traverse(build_trees(list(leaves.values())), None, classes, percent, test)
+            traverse(build_trees(list(leaves.values())), None, classes, percent, test, meet)
     yield from _edges(classes)
 
 
@@ -451,12 +588,12 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     bound_batches(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
     heavy = frequent_shingles(docs.select("text"), k)
     key = dict(docs.dtypes)["doc_id"]
     sketch = materialize(docs.mapInArrow(
         lambda it: _sketches(it, k, percent, heavy),
-        f"doc_id {key}, n long, node long, prefix array<long>, ordinary int, bitmap binary")
+        f"doc_id {key}, print long, n long, node long, prefix array<long>, ordinary int, bitmap binary")
         .withColumn("rid", F.monotonically_increasing_id()), "sketches")
     # a node that several tasks saw first: one of its rows stays (only ids move)
     seen = sketch.where("prefix is not null")
@@ -464,7 +601,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: in
     losers = materialize(seen.select("node", "rid").join(twice, "node").where("rid <> keep").select("rid"), "losers")
     nodes = seen.join(losers, "rid", "left_anti").drop("doc_id")
     near = connected_components(_candidates(nodes, percent), "candidates").withColumnRenamed("node", "rid")
-    members = materialize(near.join(nodes.select("rid", "node", "n"), "rid").drop("rid"), "members")
+    members = materialize(near.join(nodes.select("rid", "print", "node", "n"), "rid").drop("rid"), "members")
     labels = _components(docs, members, k, percent, chunk)
     # smallest doc_id of every component, through the (few) nodes
     first = sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
@@ -476,8 +613,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, chunk: in
 
 def _components(docs: DataFrame, members: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
     """(node, component) of the verified links among candidate components."""
-    wanted, bits = node_filter(members)
-    sets = docs.select("text").mapInArrow(lambda it: _sets(it, k, wanted, bits), "node long, n long, shingles binary")
+    wanted, bits = node_filter(members.select(F.col("print").alias("node")))
+    members = members.drop("print")
+    sets = docs.select("print", "text").mapInArrow(lambda it: _sets(it, k, wanted, bits), "node long, n long, shingles binary")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / chunk).cast("int").alias("chunks"))
     rows = materialize(members.join(sizes, "component"), "chunks")
     large = rows.where("chunks > 1")

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20  # bytes of text handled at once; longer texts are cut between words, never shortened
+_BLOCK = 256 << 10  # bytes whose words are found at once: the arrays of a block stay in the processor's cache
 _U = np.uint64
 
 
@@ -117,7 +118,7 @@ def words(column, table: np.ndarray, latin1: bool = False, salt: int = 7) -> tup
     out_h, out_s, out_e = [], [], []
     lo = 0
     while lo < n:
-        hi = min(n, lo + 2 * SLICE_BYTES)
+        hi = min(n, lo + _BLOCK)
         while hi < n:  # move the cut to a separator or the start of a text
             block = raw[hi:hi + 65536]
             gap = np.flatnonzero(table[block] == 0)
@@ -155,6 +156,14 @@ def shingles(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values."""
+    x = np.sort(x)
+    first = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=first[1:])
+    return x[first]
+
+
 def shingle_sets(column, table: np.ndarray, k: int) -> Iterator[np.ndarray]:
     """The sorted distinct k-word shingle hashes of each text; fewer words give the whole sequence as one."""
     h, off, _, _ = words(column, table)
@@ -162,7 +171,7 @@ def shingle_sets(column, table: np.ndarray, k: int) -> Iterator[np.ndarray]:
     for i in range(len(off) - 1):
         a, b = int(off[i]), int(off[i + 1])
         if b - a >= k:
-            yield np.unique(sh[a:b - k + 1])
+            yield distinct(sh[a:b - k + 1])
         elif b > a:
             yield shingles(h[a:b], b - a)[:1] ^ _U(b - a)
         else:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rivulet.llm import jaccard_join as J
@@ -113,3 +114,90 @@ def test_connected_components(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def family(seed, members, size=120, changes=0.5):
+    """Sets that share a core, each with 0 to ``changes`` of its members taken from a small or a large pool."""
+    r = np.random.default_rng(seed)
+    core = r.integers(0, 2**63, size).astype(np.uint64)
+    small = r.integers(0, 2**63, 300).astype(np.uint64)
+    out = []
+    for _ in range(members):
+        s = core.copy()
+        other = r.random(size) < r.random() * changes
+        s[other] = np.where(r.random(int(other.sum())) < 0.5, r.choice(small, int(other.sum())), r.integers(0, 2**63, int(other.sum())).astype(np.uint64))
+        out.append(np.unique(s[:r.integers(size // 2, size + 1)] if r.random() < 0.2 else s))
+    return out
+
+
+def block(sets, outside=None):
+    rows = [{"block": "b", "node": i, "n": len(s), "shingles": s.tobytes(), "outside": o, "grid": outside is not None, "label": None}
+            for o in ([False] if outside is None else [False, True]) for i, s in enumerate(sets) if not o or i in outside]
+    schema = pa.schema([("block", pa.string()), ("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary()), ("outside", pa.bool_()),
+                        ("grid", pa.bool_()), ("label", pa.int64())])
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+def classes_of(batches, sets):
+    c = J.Classes()
+    for b in batches:
+        for a, z in zip(b["a"].to_pylist(), b["b"].to_pylist()):
+            c.join(a, z)
+    return [c.find(i) for i in range(len(sets))]
+
+
+def brute_classes(sets, percent, wanted=lambda a, b: True):
+    c = J.Classes()
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if wanted(a, b) and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                c.join(a, b)
+    return [c.find(i) for i in range(len(sets))]
+
+
+def test_large_component_is_not_verified_pair_by_pair(monkeypatch):
+    """Copies of one text, many of them too much changed to be linked: no intersection of single pairs."""
+    calls = []
+    single = J.linked
+    monkeypatch.setattr(J, "linked", lambda x, y, percent: calls.append(1) or single(x, y, percent))
+    sets = family(1, 250)
+    got = classes_of(J._true_links(iter([block(sets)]), 80), sets)
+    assert got == brute_classes(sets, 80)
+    assert 20 < len(set(got)) < 230
+    assert len(calls) < len(sets)
+
+
+@pytest.mark.parametrize("grid", [False, True])
+def test_packs_of_any_size_equal_brute_force(monkeypatch, grid):
+    for name, value in {"FEW": 3, "PACK": 9, "PACK_SHINGLES": 700, "DENSE": 6, "_COLUMNS": 5, "_PAIRS": 40}.items():
+        monkeypatch.setattr(J, name, value)
+    lone = [np.array([7], np.uint64), np.array([7], np.uint64), np.arange(3, dtype=np.uint64)]
+    sets = family(2, 40) + family(3, 30, size=20) + family(4, 20, size=400, changes=0.3) + lone[:1] + lone[2:]
+    outside = set(range(0, len(sets), 3)) if grid else None
+    got = classes_of(J._true_links(iter([block(sets, outside)]), 70), sets)
+    assert got == brute_classes(sets, 70, lambda a, b: not grid or a in outside or b in outside)
+
+
+def test_overlaps_are_exact():
+    sets = family(5, 60) + family(6, 50, size=30)
+    x, y = (J.Node([J.Leaf(i, len(s), J.bitmap(s), s) for i, s in part]) for part in (list(enumerate(sets))[:70], list(enumerate(sets))[40:]))
+    p, q = J.Pack(x), J.Pack(y)
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in q.keys] for a in p.keys]
+    assert J.overlaps(p, q).tolist() == want
+
+
+def test_sets_that_leave_before_the_trees_have_no_link():
+    sets = family(7, 120) + family(8, 60, size=15)
+    for percent in (60, 80, 100):
+        alive = J.linkable(sets, percent)
+        classes = brute_classes(sets, percent)
+        assert all(alive[i] or classes.count(classes[i]) == 1 for i in range(len(sets)))
+        assert not alive.all()
+
+
+def test_texts_of_equal_words_with_other_prints(spark):
+    """Texts that differ in case only are one node; the row whose text is read for it stands for the others."""
+    base = [" ".join(f"w{i}_{j}" for j in range(40)) for i in range(3)]
+    rows = [(i, t) for i, t in enumerate([base[0], base[0].upper(), base[0] + " x", base[1], base[1].title(), base[2], base[2] + "\n", None])]
+    assert run(spark, rows) == brute(rows, 4, 85)
