@@ -234,15 +234,15 @@ class Pack:
         self.n = np.array([x.n for x in leaves], np.int64)
         every = np.concatenate([x.shingles for x in leaves])
         order = np.argsort(every, kind="stable")
-        self.row = np.repeat(np.arange(len(leaves)), self.n)[order]
+        self.row = np.repeat(np.arange(len(leaves), dtype=np.int32), self.n)[order]
         every = every[order]
-        self.at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-        self.shingle, self.k = every[self.at], np.diff(np.r_[self.at, len(every)])
+        at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        self.shingle, self.at, self.k = every[at], at.astype(np.int32), np.diff(np.r_[at, len(every)]).astype(np.int32)
 
 
 def _spans(at: np.ndarray, k: np.ndarray) -> np.ndarray:
     """at[0], at[0] + 1, ... (k[0] of them), at[1], ..."""
-    return np.repeat(at - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+    return np.repeat(at - np.cumsum(k, dtype=np.int64) + k, k) + np.arange(int(k.sum()))
 
 
 def _parts(size: np.ndarray, limit: int) -> Iterator[slice]:
@@ -308,8 +308,14 @@ def linkable(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """
     n = np.array([len(s) for s in sets], np.int64)
     need = -(-percent * n // 100)
-    _, at = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), n)
+    every = np.concatenate(sets)
+    at, known = np.empty(len(every), np.int32), 0
+    for part in range(8):  # an eighth of the shingles at a time
+        mine = np.flatnonzero(every & np.uint64(7) == part)
+        values, place = np.unique(every[mine], return_inverse=True)
+        at[mine] = place + known
+        known += len(values)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), n)
     alive = np.ones(len(sets), bool)
     for _ in range(8):
         shared = np.bincount(at)[at] > 1

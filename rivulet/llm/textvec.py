@@ -118,7 +118,7 @@ def words(column, table: np.ndarray, latin1: bool = False, salt: int = 7) -> tup
     out_h, out_s, out_e = [], [], []
     lo = 0
     while lo < n:
-        hi = min(n, lo + _BLOCK)
+        hi = min(n, lo + min(_BLOCK, 2 * SLICE_BYTES))
         while hi < n:  # move the cut to a separator or the start of a text
             block = raw[hi:hi + 65536]
             gap = np.flatnonzero(table[block] == 0)
